@@ -1,0 +1,8 @@
+"""Queries that write and read tables (ingest, publish); rows-only checks.
+
+Filled in by the storage and streaming layers.
+"""
+
+from __future__ import annotations
+
+ROWS_ONLY: dict = {}
