@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Names of the parts added by with_date_parts, in the order they are added.
 DATE_PART_NAMES = ("hour", "minute", "second", "day", "dayofweek", "month", "week", "year", "quarter")
@@ -52,23 +53,29 @@ def _as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
-def date_window(ts: Column | str, as_of: dt.date | str, days_back: int) -> Column:
+def date_window(ts: Column | str, as_of: dt.date | str, days_back: int, dirty: bool = False) -> Column:
     """``as_of - days_back <= to_date(ts) <= as_of``, both ends included.
 
-    Written as a range on the raw column so the bound reaches the scan: on a
-    timestamp column Catalyst turns it into ``ts >= lo AND ts < hi + 1 day``,
-    which parquet row-group statistics can use.
+    On a typed timestamp column Catalyst turns this into ``ts >= lo AND
+    ts < hi + 1 day``, which reaches the parquet scan. ``dirty=True`` parses
+    a landed string first (unparsable dates fall outside every window).
     """
     hi = _as_date(as_of)
     lo = hi - dt.timedelta(days=days_back)
-    return F.to_date(_col(ts)).between(F.lit(lo), F.lit(hi))
+    t = parse_timestamp(ts) if dirty else _col(ts)
+    return F.to_date(t).between(F.lit(lo), F.lit(hi))
 
 
 def window_extract(df: DataFrame, ts: str, as_of, days_back: int, drop=(), with_parts: bool = False) -> DataFrame:
-    """Rows of the rolling window, optional date parts, dropped columns."""
-    out = df.filter(date_window(ts, as_of, days_back))
+    """Rows of the rolling window, optional date parts, dropped columns.
+
+    A string date column (as landed) is parsed; a typed one is used as is so
+    the bound is pushed to the scan.
+    """
+    dirty = isinstance(df.schema[ts].dataType, T.StringType)
+    out = df.filter(date_window(ts, as_of, days_back, dirty=dirty))
     if with_parts:
-        out = with_date_parts(out, ts)
+        out = with_date_parts(out, parse_timestamp(ts) if dirty else ts)
     if drop:
         out = out.drop(*drop)
     return out

@@ -1,8 +1,139 @@
-"""Queries that write and read tables (ingest, publish); rows-only checks.
+"""Queries that write and read tables: feed ingest and star publishing.
 
-Filled in by the storage and streaming layers.
+Both work in fresh folders below the checkpoint root and return what was
+published, so the result can be compared with SQL over the inputs.
 """
 
 from __future__ import annotations
 
-ROWS_ONLY: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
+from ..sources.catalog import register_tables
+from ..sources.feeds import FeedSpec
+from ..sources.store import TableStore
+from ..streaming.ingest import ingest_stream
+from .analogues import EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, customer_locations
+from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
+from .tables import table
+
+EVENT_FEED = FeedSpec(
+    name="raw_events",
+    mark_name="Events",
+    schema=T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.StringType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+            T.StructField("props", T.StringType()),
+        ]
+    ),
+    keys=("event_id",),
+    date_col="ts",
+)
+
+
+def q_feed_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """``events`` landed as JSON in two overlapping batches, each ingested by
+    an availableNow file stream that upserts into the raw table."""
+    ev = table(spark, sf, "events")
+    landing = scratch_path(spark, "landing", "events")
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    ckpt = scratch_path(spark, "streams", "events")
+    batches = [
+        ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")),
+        ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")),
+    ]
+    for i, b in enumerate(batches):
+        b.write.mode("overwrite").json(f"{landing}/batch-{i}")
+        ingest_stream(spark, EVENT_FEED, f"{landing}/*", store, max_files_per_trigger=4, checkpoint=ckpt)
+    raw = store.read(EVENT_FEED.name)
+    return raw.select("event_id", "user_id", "event_type", "value", "year", "month", "day")
+
+
+def orders_star() -> Star:
+    return Star(
+        main="orders",
+        ts="o_orderdate",
+        record_id="o_orderkey",
+        fact_name="fact_orders",
+        value_dims=(
+            ValueDim("dim_location", "location_id", tuple(LOCATION_ATTRS), fill=None),
+            ValueDim("dim_priority", "priority_id", ("o_orderpriority",)),
+            ValueDim("dim_status", "status_id", ("o_orderstatus",)),
+        ),
+        entity_dims=(EntityDim("dim_part", "parts", "p_partkey", ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")),),
+        bridges=(Bridge("bridge_part_group", "lineitem", "l_orderkey", "l_partkey", "part_group_key", "part_id"),),
+        histories=(History("status_mini_dim", "dim_location", "dim_status"),),
+        group_keys=("part_group_key",),
+        measures={"o_totalprice": None},
+        bits=256,
+    )
+
+
+def orders_frames(spark: SparkSession, sf: str, lo: str | None, hi: str | None) -> dict[str, DataFrame]:
+    o = table(spark, sf, "orders")
+    if lo:
+        o = o.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+    if hi:
+        o = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+    loc = customer_locations(spark, sf)
+    orders = o.join(loc, o.o_custkey == loc.c_custkey, "left").drop("c_custkey")
+    li = table(spark, sf, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    sold = li.select(F.col("l_partkey").alias("p_partkey")).distinct()
+    parts = table(spark, sf, "part").join(sold, "p_partkey", "left_semi")
+    return {"orders": orders, "lineitem": li, "parts": parts}
+
+
+def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:
+    """Two overlapping batches published, the second twice; row count per
+    published table, read through the SQL catalog."""
+    star = orders_star()
+    rules = publish_rules(star)
+    store = TableStore(spark, scratch_path(spark, "served"))
+    names: list[str] = []
+    for lo, hi in [(None, ORDER_SPLIT), (ORDER_OVERLAP, None), (ORDER_OVERLAP, None)]:
+        tables = build_star(spark, star, orders_frames(spark, sf, lo, hi))
+        names = publish_star(store, tables, rules, star.fact_name)
+    db = "star_orders"
+    register_tables(spark, store, db, names)
+    counts = [spark.sql(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {db}.{n}") for n in names]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+ROWS_ONLY = {
+    "feed_ingest": q_feed_ingest,
+    "publish_star": q_publish_star,
+}
+
+SQL = {
+    "feed_ingest": """
+        SELECT event_id, user_id, event_type, value,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(dayofmonth(ts) AS INTEGER) AS day
+        FROM events
+    """,
+    "publish_star": """
+        WITH loc AS (SELECT c.c_custkey, n.n_name, r.r_name, c.c_mktsegment
+                     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                     JOIN region r ON n.n_regionkey = r.r_regionkey),
+             o AS (SELECT o.*, loc.n_name, loc.r_name, loc.c_mktsegment
+                   FROM orders o LEFT JOIN loc ON o.o_custkey = loc.c_custkey)
+        SELECT 'dim_location' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT n_name, r_name, c_mktsegment FROM o)
+        UNION ALL SELECT 'dim_priority', count(DISTINCT o_orderpriority) FROM orders
+        UNION ALL SELECT 'dim_status', count(DISTINCT o_orderstatus) FROM orders
+        UNION ALL SELECT 'dim_date', count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders
+        UNION ALL SELECT 'dim_time', 86400
+        UNION ALL SELECT 'dim_part', count(DISTINCT l_partkey) FROM lineitem
+        UNION ALL SELECT 'status_mini_dim', count(*) FROM orders
+        UNION ALL SELECT 'bridge_part_group', count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+        UNION ALL SELECT 'fact_orders', count(*) FROM orders
+    """,
+}
