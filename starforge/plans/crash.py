@@ -108,3 +108,60 @@ def build_and_publish(spark: SparkSession, raw: TableStore, served: TableStore,
     star = star or crash_star()
     tables = transform(spark, extract(raw, as_of, days_back), star)
     return publish_star(served, tables, publish_rules(star), star.fact_name)
+
+
+# ---------------------------------------------------------------- reports (Q1-Q7)
+
+CRASH_GRAINS = {
+    "hour": ("hour",),
+    "day": ("year", "month", "day"),
+    "month": ("year", "month"),
+    "week": ("year", "week"),
+    "year": ("year",),
+    "dayofweek": ("dayofweek",),
+}
+
+
+def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The questions the star answers, over published (or freshly built) tables.
+
+    ``t`` maps table names to DataFrames. Every report is a grouped aggregate
+    on the fact joined to small dimensions (the planner broadcasts them when
+    their size allows, AQE at runtime otherwise).
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators import reports
+
+    f = t["fact_crash"]
+    cal = (
+        f.join(t["dim_date"], "date_id")
+        .join(t["dim_time"].select("time_id", "hour"), "time_id")
+    )
+    fatal = F.col("injuries_fatal").try_cast("int") if dict(f.dtypes)["injuries_fatal"] == "string" else F.col("injuries_fatal")
+    out = {
+        "crashes_by_grain": reports.by_grains(cal, [F.count(F.lit(1)).alias("n_crashes")], CRASH_GRAINS),
+        "fatal_by_grain": reports.by_grains(cal, [F.sum(fatal).alias("fatal_injuries")], CRASH_GRAINS),
+    }
+    drivers = (
+        f.select("person_group_key")
+        .join(t["bridge_person_group"], "person_group_key")
+        .join(t["dim_person"].where(F.col("person_type") == "DRIVER").select("person_id", "sex"), "person_id")
+        .select("person_group_key", "person_id", "sex")
+        .distinct()
+        .groupBy("sex")
+        .agg(F.count(F.lit(1)).alias("n_drivers"))
+    )
+    out["drivers_by_sex"] = reports.share(drivers, "n_drivers")
+    causes = f.groupBy("cause_id").agg(F.count(F.lit(1)).alias("n")).join(t["dim_cause"], "cause_id")
+    out["top_primary_cause"] = reports.top_k(
+        causes.groupBy("prim_contributory_cause").agg(F.sum("n").alias("n")), "prim_contributory_cause", 1
+    )
+    out["crashes_by_weather"] = (
+        f.groupBy("weather_id").agg(F.count(F.lit(1)).alias("n_crashes")).join(t["dim_weather"], "weather_id")
+        .select("weather_condition", "lighting_condition", "n_crashes")
+    )
+    out["damage_distribution"] = reports.share(f.groupBy("damage").agg(F.count(F.lit(1)).alias("n_crashes")), "n_crashes")
+    coll = f.groupBy("collision_type_id").agg(F.count(F.lit(1)).alias("n")).join(t["dim_collision"], "collision_type_id")
+    out["top_collision_type"] = reports.top_k(coll.select("collision_type", "n"), "collision_type", 1)
+    return out
