@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources.catalog import register_tables
 from ..sources.feeds import FeedSpec
 from ..sources.store import TableStore
@@ -86,7 +86,7 @@ def orders_frames(spark: SparkSession, sf: str, lo: str | None, hi: str | None)
     li = table(spark, sf, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     sold = li.select(F.col("l_partkey").alias("p_partkey")).distinct()
     parts = table(spark, sf, "part").join(sold, "p_partkey", "left_semi")
-    return {"orders": orders, "lineitem": li, "parts": parts}
+    return {"orders": stage(orders, "extract-orders"), "lineitem": li, "parts": parts}
 
 
 def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:

@@ -84,6 +84,8 @@ TS = "_event_ts"
 
 
 def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Lazy tables of the star. ``frames[star.main]`` is read by every
+    dimension, the histories and the fact: pass a staged frame."""
     main = frames[star.main].withColumn(TS, parse_timestamp(star.ts))
     b, c = star.bits, star.compat
     out: dict[str, DataFrame] = {}
@@ -118,7 +120,7 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
 
 @dataclass(frozen=True)
 class Rule:
-    mode: str  # insert | upsert | history
+    mode: str  # insert | upsert | history | static (created once, fixed content)
     keys: tuple[str, ...] = ()
     entity: str | None = None
     cond: str | None = None
@@ -134,7 +136,7 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     if star.date_dim:
         rules[star.date_dim] = Rule("insert", ("date_id",))
     if star.time_dim:
-        rules[star.time_dim] = Rule("insert", ("time_id",))
+        rules[star.time_dim] = Rule("static", ("time_id",))
     for e in star.entity_dims:
         rules[e.name] = Rule("upsert", (e.key,))
     for br in star.bridges:
@@ -149,7 +151,7 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     return rules
 
 
-PUBLISH_ORDER = {"insert": 0, "upsert": 1, "history": 2}
+PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
 
 
 def publish_order(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:
@@ -165,6 +167,8 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         src = df if rule.mode != "upsert" else merge.dedupe_source(df, rule.keys, "error")
         store.create(name, src)
         return
+    if rule.mode == "static":
+        return
     current = store.read(name)
     if rule.mode == "insert":
         store.append(name, merge.insert_only(current, df, rule.keys).select(*current.columns))
