@@ -192,6 +192,26 @@ def q_fact_lookup(spark, sf):
     return orders_fact(spark, sf)
 
 
+def q_fact_lookup_join(spark, sf):
+    """The same fact with every key resolved by an equi-join to its dimension
+    (the lookup form); equal to ``fact_lookup`` row for row."""
+    o = table(spark, sf, "orders")
+    parts = date_parts("o_orderdate")
+    lookup_parts = ["day", "dayofweek", "month", "week", "year"]  # quarter is implied
+    loc = customer_locations(spark, sf)
+    src = o.join(loc, o.o_custkey == loc.c_custkey, "left").select(
+        *o.columns, *LOCATION_ATTRS, *[parts[p].alias(p) for p in lookup_parts]
+    )
+    f = fact.lookup(src, orders_date_dim(spark, sf), lookup_parts, ["date_id"])
+    f = fact.lookup(f, dims.value_dim(o, ["o_orderpriority"], "priority_id", bits=BITS), ["o_orderpriority"], ["priority_id"])
+    f = fact.lookup(f, dims.value_dim(o, ["o_orderstatus"], "status_id", bits=BITS), ["o_orderstatus"], ["status_id"])
+    f = fact.lookup(f, q_location_dim(spark, sf), LOCATION_ATTRS, ["location_id"])
+    return f.select(
+        "date_id", "priority_id", "status_id", "location_id", "o_orderkey",
+        F.col("o_orderkey").alias("order_group_key"), F.col("o_totalprice").alias("total_price"),
+    )
+
+
 def q_history_intervals(spark, sf):
     return event_history(table(spark, sf, "events"))
 
@@ -366,6 +386,7 @@ QUERIES = {
     "entity_dim": q_entity_dim,
     "bridge": q_bridge,
     "fact_lookup": q_fact_lookup,
+    "fact_lookup_join": q_fact_lookup_join,
     "history_intervals": q_history_intervals,
     "history_intervals_second": q_history_intervals_second,
     "history_merge": q_history_merge,

@@ -156,6 +156,7 @@ SQL: dict[str, str] = {
     """,
     "bridge": bridge_sql(""),
     "fact_lookup": FACT,
+    "fact_lookup_join": FACT,
     "history_intervals": history_sql(),
     "history_intervals_second": history_sql(BUCKET),
     # Incremental merge with the open-row close equals the full recompute.

@@ -77,7 +77,7 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
     touched = batch.select(*parts).unionByName(moved).distinct().alias("u")
     same_part = [F.col(f"t.{p}").eqNullSafe(F.col(f"u.{p}")) for p in parts]
     affected = align(target.alias("t").join(touched, same_part, "left_semi"), cols, batch.schema)
-    store.overwrite_partitions(spec.name, upsert_all(affected, batch, keys), parts)
+    store.overwrite_partitions(spec.name, upsert_all(affected, batch, keys), parts, touched=touched)
 
 
 def align(df: DataFrame, cols: Sequence[str], other: T.StructType) -> DataFrame:

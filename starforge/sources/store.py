@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import stage
 
@@ -43,6 +44,20 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def partition_dir(cols: Sequence[str], values: Sequence) -> str:
+    """Hive-style partition folder (``year=2024/month=1``), as the writer names it."""
+    parts = []
+    for c, v in zip(cols, values):
+        text = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+        parts.append(f"{c}={text}")
+    return "/".join(parts)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     p, fs = _hadoop_path(spark, path)
     if not fs.exists(p):
@@ -110,15 +125,27 @@ class TableStore:
         """Write the new content as the next snapshot."""
         self.create(name, df, partition_by)
 
-    def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+    def overwrite_partitions(
+        self, name: str, df: DataFrame, partition_by: Sequence[str], touched: DataFrame | None = None
+    ) -> None:
         """Replace the partitions present in ``df`` in the current snapshot.
 
         ``df`` is staged first (it is usually computed from the very
         partitions it replaces); the overwrite then reads the staged copy.
+        ``touched`` lists the partitions ``df`` was computed for; those left
+        without rows are removed (a dynamic overwrite never visits them). Their
+        number is bounded by the partitions a batch touches.
         """
         if not self.exists(name):
             return self.create(name, df, partition_by)
         staged = stage(df, f"overwrite-{name}")
+        if touched is not None:
+            parts = list(partition_by)
+            present = staged.select(*parts).distinct().alias("p")
+            t = touched.select(*parts).distinct().alias("t")
+            same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
+            for row in t.join(present, same, "left_anti").collect():
+                delete_path(self.spark, f"{self.location(name)}/{partition_dir(parts, list(row))}")
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
