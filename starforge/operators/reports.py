@@ -52,14 +52,12 @@ def by_grains(df: DataFrame, aggs: Sequence[Column], grains: Mapping[str, Sequen
 def share(df: DataFrame, count_col: str, out: str = "share", digits: int = 6) -> DataFrame:
     """Each group's part of the total.
 
-    The total is a one-row global aggregate (partial sums per task) attached
-    by broadcasting that single row; no window over the whole frame on a
-    single task.
+    ``df`` is already aggregated (one row per group), so the total is a
+    window over the group rows, not over the facts; the grouped pipeline is
+    computed once (a separately aggregated total would run it twice).
     """
-    total = df.agg(F.sum(count_col).alias("_total"))
-    return df.join(F.broadcast(total)).withColumn(
-        out, F.round(F.col(count_col) / F.col("_total"), digits)
-    ).drop("_total")
+    total = F.sum(count_col).over(Window.partitionBy())
+    return df.withColumn(out, F.round(F.col(count_col) / total, digits))
 
 
 def top_k(df: DataFrame, by: str, k: int = 1, desc_col: str = "n") -> DataFrame:

@@ -10,6 +10,7 @@ whose dimension rows are missing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -156,12 +157,17 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
 PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
 
 
-def publish_order(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:
+def publish_tiers(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[list[str]]:
+    """Tables in dependency tiers: dimensions and histories, bridges, fact."""
     names = [n for n in tables if n != fact_name]
     bridges = [n for n in names if rules[n].mode == "insert" and len(rules[n].keys) == 2 and n.startswith("bridge")]
     first = [n for n in names if n not in bridges]
     first.sort(key=lambda n: PUBLISH_ORDER[rules[n].mode])
-    return first + bridges + [fact_name]
+    return [t for t in (first, bridges, [fact_name]) if t]
+
+
+def publish_order(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:
+    return [n for tier in publish_tiers(tables, rules, fact_name) for n in tier]
 
 
 def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> None:
@@ -186,8 +192,27 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         raise ValueError(rule.mode)
 
 
-def publish_star(store: TableStore, tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:
-    order = publish_order(tables, rules, fact_name)
-    for name in order:
-        publish_table(store, name, tables[name], rules[name])
+def publish_star(
+    store: TableStore,
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, Rule],
+    fact_name: str,
+    parallel: int = 4,
+) -> list[str]:
+    """Publish tier by tier. Tables of one tier are independent and are
+    submitted as concurrent Spark jobs from ``parallel`` driver threads (the
+    small dimension jobs would leave most of a cluster idle one by one); a
+    tier starts only when the previous one has fully committed, so the fact
+    is written last."""
+    order: list[str] = []
+    for tier in publish_tiers(tables, rules, fact_name):
+        if parallel > 1 and len(tier) > 1:
+            with ThreadPoolExecutor(max_workers=min(parallel, len(tier))) as pool:
+                futures = [pool.submit(publish_table, store, n, tables[n], rules[n]) for n in tier]
+                for f in futures:
+                    f.result()
+        else:
+            for n in tier:
+                publish_table(store, n, tables[n], rules[n])
+        order += tier
     return order

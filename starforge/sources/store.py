@@ -104,10 +104,13 @@ class TableStore:
         return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(self.location(name))
 
     # -- write
-    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
+    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False) -> None:
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if dynamic:
+            # per-write option: no session-wide setting to race on
+            w = w.option("partitionOverwriteMode", "dynamic")
         w.parquet(path)
 
     def create(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
@@ -146,9 +149,4 @@ class TableStore:
             same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
             for row in t.join(present, same, "left_anti").collect():
                 delete_path(self.spark, f"{self.location(name)}/{partition_dir(parts, list(row))}")
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            self._write(staged, self.location(name), "overwrite", partition_by)
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True)
