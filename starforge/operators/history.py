@@ -91,6 +91,40 @@ def merge_history(
     raise ValueError(f"unknown close rule {close!r}")
 
 
+def merge_open_rows(
+    open_rows: DataFrame,
+    new: DataFrame,
+    entity: str,
+    cond: str,
+    start: str = "start_date",
+    end: str = "end_date",
+) -> tuple[DataFrame, DataFrame]:
+    """Incremental form of ``merge_history`` that reads only the open rows.
+
+    In a history built by ``build_history`` each entity's open row is its
+    latest interval, so its start is the entity's latest known start: the
+    later-start rule needs no scan of the closed rows. Returns
+    ``(rows that are closed now, open rows after the merge)``; all other
+    rows of the published table are unchanged, so a publish appends the
+    first and replaces only the open rows. Same result as
+    ``merge_history(..., close='open_only')``.
+    """
+    cols = open_rows.columns
+    max_start = open_rows.groupBy(entity).agg(F.max(start).alias("_max_start"))
+    kept = (
+        new.join(max_start, entity, "left")
+        .where((F.col(start) > F.col("_max_start")) | F.col("_max_start").isNull())
+        .select(*cols)
+    )
+    first_new = kept.groupBy(entity).agg(F.min(start).alias("_min_start"))
+    is_open = F.col(end) == F.lit(OPEN_END)
+    closing = open_rows.join(first_new, entity, "inner").withColumn(end, F.col("_min_start")).select(*cols)
+    still_open = open_rows.join(first_new, entity, "left_anti")
+    closed_now = closing.unionByName(kept.where(~is_open))
+    open_after = still_open.unionByName(kept.where(is_open))
+    return closed_now, open_after
+
+
 def point_in_time(
     facts: DataFrame,
     fact_entity: str,

@@ -154,6 +154,23 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     return rules
 
 
+# Layout of published history tables: open rows (one per entity) in one
+# partition that each merge replaces, closed rows in append-only segments.
+ROW_STATE = "row_state"
+SEGMENT = "segment"
+HISTORY_PARTS = (ROW_STATE, SEGMENT)
+
+
+def _history_layout(df: DataFrame, end: str, segment: int) -> DataFrame:
+    is_open = F.col(end) == F.lit("")
+    return df.withColumns(
+        {
+            ROW_STATE: F.when(is_open, F.lit("open")).otherwise(F.lit("closed")),
+            SEGMENT: F.when(is_open, F.lit(0)).otherwise(F.lit(segment)),
+        }
+    )
+
+
 PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
 
 
@@ -176,6 +193,9 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         return d.sortWithinPartitions(*rule.sort) if rule.sort else d
 
     if not store.exists(name):
+        if rule.mode == "history":
+            store.create(name, sorted_(_history_layout(df, "end_date", 1)), HISTORY_PARTS)
+            return
         src = df if rule.mode != "upsert" else merge.dedupe_source(df, rule.keys, "error")
         store.create(name, sorted_(src))
         return
@@ -187,7 +207,16 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
     elif rule.mode == "upsert":
         store.replace(name, merge.upsert_all(current, df, rule.keys))
     elif rule.mode == "history":
-        store.replace(name, sorted_(history.merge_history(current, df, rule.entity, rule.cond)))
+        # Only the open rows are read and rewritten; the rows closed by this
+        # batch become a new append-only segment. One job writes both (a
+        # dynamic overwrite of the open partition plus a new partition).
+        open_rows = current.where(F.col(ROW_STATE) == "open").drop(*HISTORY_PARTS)
+        closed_now, open_after = history.merge_open_rows(open_rows, df, rule.entity, rule.cond)
+        segs = [int(v) for v in store.partition_values(name, SEGMENT, under=f"{ROW_STATE}=closed")]
+        seg = max(segs, default=0) + 1
+        out = _history_layout(closed_now, "end_date", seg).unionByName(_history_layout(open_after, "end_date", seg))
+        touched = store.spark.createDataFrame([("open", 0)], f"{ROW_STATE} string, {SEGMENT} int")
+        store.overwrite_partitions(name, sorted_(out), HISTORY_PARTS, touched=touched)
     else:
         raise ValueError(rule.mode)
 

@@ -27,7 +27,7 @@ def ddl_script(store: TableStore, database: str, names: Iterable[str]) -> str:
     """The whole DDL text (database + one CREATE TABLE per published table)."""
     stmts = [f"CREATE DATABASE IF NOT EXISTS `{database}`"]
     for n in names:
-        stmts.append(create_table_sql(database, n, store.read(n).schema, store.location(n)))
+        stmts.append(create_table_sql(database, n, store.read(n).schema, store.location(n), store.partition_columns(n)))
     return ";\n\n".join(stmts) + ";\n"
 
 
@@ -41,10 +41,13 @@ def register_tables(spark: SparkSession, store: TableStore, database: str, names
     done = []
     for n in names:
         loc = store.location(n)
+        parts = store.partition_columns(n)
         if spark.catalog.tableExists(f"{database}.{n}"):
             spark.sql(f"ALTER TABLE `{database}`.`{n}` SET LOCATION '{loc}'")
-            spark.sql(f"REFRESH TABLE `{database}`.`{n}`")
         else:
-            spark.sql(create_table_sql(database, n, store.read(n).schema, loc))
+            spark.sql(create_table_sql(database, n, store.read(n).schema, loc, parts))
+        if parts:
+            spark.sql(f"ALTER TABLE `{database}`.`{n}` RECOVER PARTITIONS")
+        spark.sql(f"REFRESH TABLE `{database}`.`{n}`")
         done.append(n)
     return done

@@ -97,6 +97,23 @@ class TableStore:
             raise FileNotFoundError(f"table {name} has no committed snapshot under {self.root}")
         return self._snap_dir(name, v)
 
+    def partition_values(self, name: str, column: str, under: str = "") -> list[str]:
+        """Values of a partition column present in the current snapshot
+        (folder listing, no data read)."""
+        base = self.location(name) + (f"/{under}" if under else "")
+        return [d.split("=", 1)[1] for d in list_dirs(self.spark, base) if d.startswith(f"{column}=")]
+
+    def partition_columns(self, name: str) -> list[str]:
+        """Partition columns of the current snapshot, read off the folder names."""
+        cols: list[str] = []
+        base = self.location(name)
+        while True:
+            subs = [d for d in list_dirs(self.spark, base) if "=" in d and not d.startswith(("_", "."))]
+            if not subs:
+                return cols
+            cols.append(subs[0].split("=", 1)[0])
+            base = f"{base}/{subs[0]}"
+
     # -- read
     def read(self, name: str, merge_schema: bool = False) -> DataFrame:
         """Current snapshot. ``merge_schema`` reads every file footer (only

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starforge.operators.history import build_history, merge_history, point_in_time
+from starforge.operators.history import build_history, merge_history, merge_open_rows, point_in_time
 from tests.conftest import SF01, rows
 
 
@@ -92,3 +92,14 @@ def test_point_in_time_skips_zero_width_and_uncovered(spark):
     )
     out = point_in_time(facts, "loc", "ts", "id", hist, "loc", "cond")
     assert rows(out, "id", "cond") == [(1, "wet"), (2, "wet"), (3, "icy"), (4, None), (5, None)]
+
+
+def test_open_rows_merge_equals_full_merge(spark):
+    split = F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")
+    old, new = events_history(spark, split), events_history(spark, ~split)
+    closed_now, open_after = merge_open_rows(old.where("end_date = ''"), new, "user_id", "event_type")
+    incremental = old.where("end_date <> ''").unionByName(closed_now).unionByName(open_after)
+    full = merge_history(old, new, "user_id", "event_type")
+    assert incremental.exceptAll(full).count() == 0 and full.exceptAll(incremental).count() == 0
+    assert open_after.where("end_date <> ''").count() == 0
+    assert closed_now.where("end_date = ''").count() == 0
