@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.calendar import window_extract
-from ..session import stage
+from ..session import stage, staging
 from ..sources.store import TableStore
 from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
 
@@ -105,9 +105,12 @@ def transform(spark: SparkSession, frames: dict[str, DataFrame], star: Star | No
 
 
 def build_and_publish(spark: SparkSession, raw: TableStore, served: TableStore, as_of: dt.date, days_back: int = 7, star: Star | None = None) -> list[str]:
+    """One warehouse run: extract the window, build the star, publish it.
+    Staged intermediates are removed when the run ends."""
     star = star or crash_star()
-    tables = transform(spark, extract(raw, as_of, days_back), star)
-    return publish_star(served, tables, publish_rules(star), star.fact_name)
+    with staging(spark):
+        tables = transform(spark, extract(raw, as_of, days_back), star)
+        return publish_star(served, tables, publish_rules(star), star.fact_name)
 
 
 # ---------------------------------------------------------------- reports (Q1-Q7)

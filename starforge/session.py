@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -81,14 +82,40 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_SCOPES: list[list[str]] = []
+
+
 def stage(df, name: str):
     """Write ``df`` as parquet below the checkpoint root and read it back.
 
     Cuts the lineage (a lost executor recomputes from the staged files, not
     from the sources) and freezes values that must agree between several
-    branches of one plan, such as range-partition ids.
+    branches of one plan, such as range-partition ids. Inside ``staging()``
+    the files are removed when the block ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name)
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Remove every table staged inside the block when it ends (the
+    DataFrames read from them must not be used afterwards)."""
+    scope: list[str] = []
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.pop()
+        for path in scope:
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

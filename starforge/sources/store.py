@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import remove_path, stage, staging
 
 SNAP_PREFIX = "snap-"
 COMMIT_MARK = "_COMMITTED"
@@ -44,11 +44,6 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop_path(spark, path)
-    fs.delete(p, True)
-
-
 def partition_dir(cols: Sequence[str], values: Sequence) -> str:
     """Hive-style partition folder (``year=2024/month=1``), as the writer names it."""
     parts = []
@@ -158,12 +153,18 @@ class TableStore:
         """
         if not self.exists(name):
             return self.create(name, df, partition_by)
-        staged = stage(df, f"overwrite-{name}")
-        if touched is not None:
-            parts = list(partition_by)
-            present = staged.select(*parts).distinct().alias("p")
-            t = touched.select(*parts).distinct().alias("t")
-            same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
-            for row in t.join(present, same, "left_anti").collect():
-                delete_path(self.spark, f"{self.location(name)}/{partition_dir(parts, list(row))}")
-        self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True)
+        with staging(self.spark):
+            staged = stage(df, f"overwrite-{name}")
+            emptied = []
+            if touched is not None:
+                parts = list(partition_by)
+                present = staged.select(*parts).distinct().alias("p")
+                t = touched.select(*parts).distinct().alias("t")
+                same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
+                emptied = [partition_dir(parts, list(r)) for r in t.join(present, same, "left_anti").collect()]
+            self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True)
+            # after the write: a failure in between leaves stale rows that a
+            # re-run of the batch removes, never lost ones
+            for d in emptied:
+                remove_path(self.spark, f"{self.location(name)}/{d}")
+

@@ -67,3 +67,14 @@ def test_measure_try_cast(spark):
     df = spark.createDataFrame([("3",), ("N/A",), (None,)], "m string")
     assert [r[0] for r in df.select(measure("m", "int")).collect()] == [3, None, None]
     assert df.select(F.sum(measure("m", "int"))).first()[0] == 3
+
+
+def test_compat_key_is_plain_sha512_of_concatenation(spark):
+    import hashlib
+
+    df = spark.createDataFrame([("07", "05", "09"), ("MAIN ST", "30", "-87.6")], "a string, b string, c string")
+    got = [r[0] for r in df.select(surrogate_key(["a", "b", "c"], 512, compat=True)).collect()]
+    want = [hashlib.sha512((a + b + c).encode()).hexdigest() for a, b, c in [("07", "05", "09"), ("MAIN ST", "30", "-87.6")]]
+    assert got == want
+    ours = df.select(surrogate_key(["a", "b", "c"], 256)).first()[0]
+    assert ours == hashlib.sha256(b"2:07|2:05|2:09").hexdigest()
