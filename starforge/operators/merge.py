@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 def _any_null(keys: Sequence[str]) -> Column:
     cond = F.col(keys[0]).isNull()
@@ -35,36 +37,42 @@ def dedupe_source(
     on_duplicate: str = "error",
     order: str | Column | None = None,
 ) -> DataFrame:
-    """One source row per non-null key.
+    """One source row per non-null key, in one aggregation.
 
-    Aggregation with a partial step: a key repeated many times is collapsed
-    map-side. Rows with a null key never match and pass through untouched.
+    The aggregate has a partial step: a key repeated many times is collapsed
+    map-side. Rows with a null key never match, so they must all survive:
+    they are grouped by their whole content (identical rows together) and
+    re-expanded to their count afterwards.
     """
     if on_duplicate == "allow":
         return source
+    if on_duplicate not in ("error", "latest"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+    if on_duplicate == "latest" and order is None:
+        raise ValueError("on_duplicate='latest' needs an order column")
     cols = source.columns
     others = [c for c in cols if c not in keys]
-    nullkey = source.where(_any_null(keys))
-    keyed = source.where(~_any_null(keys))
     row = F.struct(*others) if others else F.struct(F.lit(1).alias("_one"))
-    if on_duplicate == "latest":
-        if order is None:
-            raise ValueError("on_duplicate='latest' needs an order column")
-        o = F.col(order) if isinstance(order, str) else order
-        agg = keyed.groupBy(*keys).agg(F.max_by(row, o).alias("_row"))
-        picked = agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
-    elif on_duplicate == "error":
-        agg = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(row).alias("_row"))
-        guard = F.when(
-            F.col("_n") > 1,
+    src = source.withColumn("_nullkey_row", F.when(_any_null(keys), F.struct(*cols)))
+    if order is not None:
+        src = src.withColumn("_ord", F.col(order) if isinstance(order, str) else order)
+    pick = F.max_by(row, F.col("_ord")) if on_duplicate == "latest" else F.max(row)
+    agg = src.groupBy(*keys, "_nullkey_row").agg(F.count(F.lit(1)).alias("_n"), pick.alias("_row"))
+    is_null_group = F.col("_nullkey_row").isNotNull()
+    first_key = F.col(keys[0])
+    if on_duplicate == "error":
+        first_key = F.when(
+            ~is_null_group & (F.col("_n") > 1),
             F.raise_error(F.lit("merge: several source rows match one target row (keys %s)" % ",".join(keys))),
-        ).otherwise(F.col(keys[0]))
-        picked = agg.select(
-            guard.alias(keys[0]), *keys[1:], *[F.col(f"_row.{c}").alias(c) for c in others]
-        )
-    else:
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    return picked.select(*cols).unionByName(nullkey)
+        ).otherwise(first_key)
+    copies = F.when(is_null_group, F.col("_n")).otherwise(F.lit(1))
+    out = agg.select(
+        first_key.alias(keys[0]),
+        *keys[1:],
+        *[F.col(f"_row.{c}").alias(c) for c in others],
+        F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"),
+    )
+    return out.select(*cols)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,14 +95,19 @@ def upsert_all(
     keys: Sequence[str],
     on_duplicate: str = "error",
     order: str | Column | None = None,
+    stage_source: bool = True,
 ) -> DataFrame:
     """Update every column of matched rows, insert the rest.
 
     = (target rows whose key is not in source) + (source rows). The anti join
-    reads only the source keys; a null-key target row is never matched and
-    stays.
+    reads only the source keys, so with a batch-sized source the target is
+    streamed past a broadcast key set instead of being shuffled; a null-key
+    target row is never matched and stays.
     """
     src = dedupe_source(source, keys, on_duplicate, order)
+    if stage_source:
+        # read twice below (anti-join keys, inserted rows): computed once
+        src = stage(src, "merge-source")
     kept = target.join(src.where(~_any_null(keys)).select(*keys), list(keys), "left_anti")
     return kept.unionByName(src.select(*target.columns))
 

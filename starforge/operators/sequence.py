@@ -61,7 +61,11 @@ def next_value(
     })
     # First value of every (entity, chunk), then the first value of the next
     # chunk of the same entity: a scan over one row per chunk.
-    firsts = ranged.groupBy(*by, CHUNK).agg(F.min_by(F.col(value), F.struct(*order)).alias("_first"))
+    # When the value is the leading order column (lead of a timestamp) its
+    # minimum is the first row's value: a hash aggregate instead of the
+    # sort-based one that min_by over a struct ordering needs.
+    first = F.min(value) if value == order[0] else F.min_by(F.col(value), F.struct(*order))
+    firsts = ranged.groupBy(*by, CHUNK).agg(first.alias("_first"))
     nxt = firsts.select(
         *by, CHUNK, F.lead("_first").over(Window.partitionBy(*by).orderBy(CHUNK)).alias("_carry")
     )

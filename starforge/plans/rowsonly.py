@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path, stage
+from ..session import scratch_path, stage, staging
 from ..sources.catalog import register_tables
 from ..sources.feeds import FeedSpec
 from ..sources.store import TableStore
@@ -97,8 +97,9 @@ def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:
     store = TableStore(spark, scratch_path(spark, "served"))
     names: list[str] = []
     for lo, hi in [(None, ORDER_SPLIT), (ORDER_OVERLAP, None), (ORDER_OVERLAP, None)]:
-        tables = build_star(spark, star, orders_frames(spark, sf, lo, hi))
-        names = publish_star(store, tables, rules, star.fact_name)
+        with staging(spark):
+            tables = build_star(spark, star, orders_frames(spark, sf, lo, hi))
+            names = publish_star(store, tables, rules, star.fact_name)
     db = "star_orders"
     register_tables(spark, store, db, names)
     counts = [spark.sql(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {db}.{n}") for n in names]

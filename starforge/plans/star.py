@@ -20,6 +20,7 @@ from ..functions.calendar import parse_timestamp
 from ..functions.clean import DIM_NULL
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge
+from ..session import adopt_scope, current_scope
 from ..sources.store import TableStore
 
 
@@ -234,10 +235,16 @@ def publish_star(
     tier starts only when the previous one has fully committed, so the fact
     is written last."""
     order: list[str] = []
+    scope = current_scope()
+
+    def run(n: str) -> None:
+        with adopt_scope(scope):
+            publish_table(store, n, tables[n], rules[n])
+
     for tier in publish_tiers(tables, rules, fact_name):
         if parallel > 1 and len(tier) > 1:
             with ThreadPoolExecutor(max_workers=min(parallel, len(tier))) as pool:
-                futures = [pool.submit(publish_table, store, n, tables[n], rules[n]) for n in tier]
+                futures = [pool.submit(run, n) for n in tier]
                 for f in futures:
                     f.result()
         else:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -82,7 +83,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-_SCOPES: list[list[str]] = []
+# Staging scopes, per thread: a scope lists the staged paths to remove when
+# its ``staging()`` block ends. Worker threads adopt their caller's scope.
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "stack"):
+        _LOCAL.stack = []
+    return _LOCAL.stack
+
+
+def current_scope() -> list[str] | None:
+    stack = _scopes()
+    return stack[-1] if stack else None
+
+
+@contextmanager
+def adopt_scope(scope: list[str] | None):
+    """Run a block of a worker thread inside the caller's staging scope."""
+    if scope is None:
+        yield
+        return
+    _scopes().append(scope)
+    try:
+        yield
+    finally:
+        _scopes().pop()
 
 
 def stage(df, name: str):
@@ -96,8 +123,9 @@ def stage(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = current_scope()
+    if scope is not None:
+        scope.append(path)
     return spark.read.parquet(path)
 
 
@@ -106,12 +134,12 @@ def staging(spark: SparkSession):
     """Remove every table staged inside the block when it ends (the
     DataFrames read from them must not be used afterwards)."""
     scope: list[str] = []
-    _SCOPES.append(scope)
+    _scopes().append(scope)
     try:
         yield scope
     finally:
-        _SCOPES.pop()
-        for path in scope:
+        _scopes().pop()
+        for path in list(scope):
             remove_path(spark, path)
 
 

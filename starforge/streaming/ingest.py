@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import scratch_path, staging
 from ..sources.feeds import FeedSpec, batch_cutoff, prepare, upsert_feed
 from ..sources.store import TableStore
 from ..sources.watermark import batch_mark, publish_mark, read_mark
@@ -29,8 +29,9 @@ def process_batch(store: TableStore, spec: FeedSpec, batch: DataFrame, days_ago:
     cutoff = batch_cutoff(read_mark(spark, store, spec.mark_name), days_ago)
     prepared = prepare(batch, spec, cutoff).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        upsert_feed(store, spec, prepared)
-        publish_mark(store, batch_mark(prepared, spec.date_col, spec.mark_name))
+        with staging(spark):
+            upsert_feed(store, spec, prepared)
+            publish_mark(store, batch_mark(prepared, spec.date_col, spec.mark_name))
     finally:
         prepared.unpersist()
 
