@@ -54,8 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for staged tables, stream checkpoints and landings.
 
     Taken from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set (local tests) a fresh local
-    folder is created and registered, so later calls agree on it.
+    checkpoint dir). Only when neither is set and the master is local (tests)
+    a fresh local folder is created and registered, so later calls agree on
+    it; on a cluster a missing setting is an error, never a local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return (sc.getCheckpointDir() or conf_dir).rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors (staged tables, stream checkpoints)")
     local = tempfile.mkdtemp(prefix="starforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

@@ -119,3 +119,18 @@ def test_catalog(spark):
     store.replace("dim_x", store.read("dim_x"))
     register_tables(spark, store, "cat_test", ["dim_x"])  # re-pointed to the new snapshot
     assert spark.sql("SELECT count(*) FROM cat_test.dim_x").first()[0] == 2
+
+
+def test_replayed_batch_changes_nothing(spark):
+    """foreachBatch may run a batch again after a failure: upsert + mark are idempotent."""
+    from starforge.streaming.ingest import process_batch
+
+    store = TableStore(spark, scratch_path(spark, "replay"))
+    batch = feed(spark, [("a", "2024-01-01T00:00:00", "1", "D"), ("b", "2024-01-02T00:00:00", "1", "PEDESTRIAN"), (None, "2024-01-03T00:00:00", "n", "D")])
+    process_batch(store, SPEC, batch)
+    first = rows(store.read("raw"), "id", "v", "day")
+    mark = read_mark(spark, store, "Raw")
+    process_batch(store, SPEC, batch)
+    assert rows(store.read("raw"), "id", "v", "day") == first
+    assert read_mark(spark, store, "Raw") == mark == dt.datetime(2024, 1, 3)
+    assert first == [("N/A", "n", 3), ("a", "1", 1)]
