@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -37,44 +37,65 @@ def dedupe_source(
     on_duplicate: str = "error",
     order: str | Column | None = None,
 ) -> DataFrame:
-    """One source row per non-null key, in one aggregation.
+    """Source rows checked (``'error'``) or reduced (``'latest'``) per key.
 
-    The aggregate has a partial step: a key repeated many times is collapsed
-    map-side. Rows with a null key never match, so they must all survive:
-    they are grouped by their whole content (identical rows together) and
-    re-expanded to their count afterwards.
+    ``'error'``: a count per key over a window partitioned by the keys, which
+    is the partitioning the merge join needs anyway (no extra exchange); the
+    check fails the job inside the plan. Null-key rows never match and pass.
+
+    ``'latest'``: one row per non-null key by ``max_by`` - an aggregate with
+    a partial step, so a key repeated many times collapses map-side. Null-key
+    rows are grouped by their whole content and re-expanded to their count,
+    so all of them survive.
     """
     if on_duplicate == "allow":
         return source
-    if on_duplicate not in ("error", "latest"):
+    if on_duplicate == "error":
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        guard = F.when(
+            ~_any_null(keys) & (n > 1),
+            F.raise_error(F.lit("merge: several source rows match one target row (keys %s)" % ",".join(keys))),
+        ).otherwise(F.col(keys[0]))
+        return source.withColumn(keys[0], guard)
+    if on_duplicate != "latest":
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    if on_duplicate == "latest" and order is None:
+    if order is None:
         raise ValueError("on_duplicate='latest' needs an order column")
     cols = source.columns
     others = [c for c in cols if c not in keys]
     row = F.struct(*others) if others else F.struct(F.lit(1).alias("_one"))
-    src = source.withColumn("_nullkey_row", F.when(_any_null(keys), F.struct(*cols)))
-    if order is not None:
-        src = src.withColumn("_ord", F.col(order) if isinstance(order, str) else order)
-    pick = F.max_by(row, F.col("_ord")) if on_duplicate == "latest" else F.max(row)
-    agg = src.groupBy(*keys, "_nullkey_row").agg(F.count(F.lit(1)).alias("_n"), pick.alias("_row"))
-    is_null_group = F.col("_nullkey_row").isNotNull()
-    first_key = F.col(keys[0])
-    if on_duplicate == "error":
-        first_key = F.when(
-            ~is_null_group & (F.col("_n") > 1),
-            F.raise_error(F.lit("merge: several source rows match one target row (keys %s)" % ",".join(keys))),
-        ).otherwise(first_key)
-    copies = F.when(is_null_group, F.col("_n")).otherwise(F.lit(1))
+    src = source.withColumns({
+        "_nullkey_row": F.when(_any_null(keys), F.struct(*cols)),
+        "_ord": F.col(order) if isinstance(order, str) else order,
+    })
+    agg = src.groupBy(*keys, "_nullkey_row").agg(F.count(F.lit(1)).alias("_n"), F.max_by(row, F.col("_ord")).alias("_row"))
+    copies = F.when(F.col("_nullkey_row").isNotNull(), F.col("_n")).otherwise(F.lit(1))
     out = agg.select(
-        first_key.alias(keys[0]),
-        *keys[1:],
+        *keys,
         *[F.col(f"_row.{c}").alias(c) for c in others],
         F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"),
     )
     return out.select(*cols)
 
 
+def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
+    """Fail when a non-null key occurs more than once (eager, one job).
+
+    A count per key is a hash aggregate with a partial step; only keys that
+    repeat reach the driver, at most one of them.
+    """
+    dup = (
+        source.where(~_any_null(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .limit(1)
+        .collect()
+    )
+    if dup:
+        raise ValueError("merge: several source rows match one target row (keys %s = %s)" % (",".join(keys), tuple(dup[0])[:-1]))
+
+
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows with no matching target key: the rows to append.
 
@@ -104,10 +125,17 @@ def upsert_all(
     streamed past a broadcast key set instead of being shuffled; a null-key
     target row is never matched and stays.
     """
-    src = dedupe_source(source, keys, on_duplicate, order)
     if stage_source:
-        # read twice below (anti-join keys, inserted rows): computed once
-        src = stage(src, "merge-source")
+        # read twice below (anti-join keys, inserted rows): computed once.
+        # With the rows staged, the duplicate check is a cheap count per key
+        # and nothing needs to be deduplicated in the default mode.
+        if on_duplicate == "error":
+            src = stage(source, "merge-source")
+            check_unique_keys(src, keys)
+        else:
+            src = stage(dedupe_source(source, keys, on_duplicate, order), "merge-source")
+    else:
+        src = dedupe_source(source, keys, on_duplicate, order)
     kept = target.join(src.where(~_any_null(keys)).select(*keys), list(keys), "left_anti")
     return kept.unionByName(src.select(*target.columns))
 

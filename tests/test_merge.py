@@ -64,6 +64,10 @@ def test_duplicate_source_rows_fail_by_default(spark, target):
     dup = spark.createDataFrame([("2", "a", 1), ("2", "b", 2)], SCHEMA)
     with pytest.raises(Exception, match="several source rows"):
         merge.upsert_all(target, dup, ["k"]).collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge.merge(target, dup, ["k"], update="all").collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge.upsert_all(target, dup, ["k"], stage_source=False).collect()
     latest = merge.upsert_all(target, dup, ["k"], on_duplicate="latest", order="n")
     assert ("2", "b", 2) in rows(latest) and ("2", "a", 1) not in rows(latest)
 
