@@ -83,6 +83,7 @@ class Star:
 
 
 TS = "_event_ts"
+MONTH_KEY = "month_key"
 
 
 def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -116,7 +117,10 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
     if star.date_dim:
         keys["date_id"] = dims.date_key(TS, b, c)
     measures = {m: (F.col(m).try_cast(t) if t else F.col(m)) for m, t in star.measures.items()}
-    out[star.fact_name] = fact.build_fact(main, keys, {g: star.record_id for g in star.group_keys}, measures)
+    degenerate = {g: star.record_id for g in star.group_keys}
+    if star.date_dim:
+        degenerate[MONTH_KEY] = (F.year(TS) * 100 + F.month(TS)).cast("int")
+    out[star.fact_name] = fact.build_fact(main, keys, degenerate, measures)
     return out
 
 
@@ -127,6 +131,7 @@ class Rule:
     entity: str | None = None
     cond: str | None = None
     sort: tuple[str, ...] = ()  # sort within each written file (locality, min/max stats)
+    partition_by: tuple[str, ...] = ()  # insert-only tables: also prunes the merge read
 
 
 def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
@@ -151,7 +156,10 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     fk += ["time_id"] if star.time_dim else []
     fk += ["date_id"] if star.date_dim else []
     fk += list(star.group_keys)
-    rules[star.fact_name] = Rule("insert", tuple(fk))
+    # The fact is partitioned by month (``month_key`` = yyyymm, 12 values a
+    # year): a batch only matches facts of its own dates, so the insert-only
+    # merge reads the batch's months only.
+    rules[star.fact_name] = Rule("insert", tuple(fk), partition_by=(MONTH_KEY,) if star.date_dim else ())
     return rules
 
 
@@ -198,13 +206,23 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
             store.create(name, sorted_(_history_layout(df, "end_date", 1)), HISTORY_PARTS)
             return
         src = df if rule.mode != "upsert" else merge.dedupe_source(df, rule.keys, "error")
-        store.create(name, sorted_(src))
+        store.create(name, sorted_(src), rule.partition_by)
         return
     if rule.mode == "static":
         return
     current = store.read(name)
     if rule.mode == "insert":
-        store.append(name, merge.insert_only(current, df, rule.keys).select(*current.columns))
+        if rule.partition_by:
+            # partition values of the batch (bounded by the days of its window)
+            # turn into a partition filter on the published table
+            vals = [tuple(r) for r in df.select(*rule.partition_by).distinct().collect()]
+            if not vals:
+                return
+            col = F.col(rule.partition_by[0]) if len(rule.partition_by) == 1 else F.struct(*rule.partition_by)
+            lit = [v[0] for v in vals] if len(rule.partition_by) == 1 else [F.struct(*[F.lit(x) for x in v]) for v in vals]
+            current = current.where(col.isin(lit))
+        new_rows = merge.insert_only(current, df, rule.keys).select(*current.columns)
+        store.append(name, new_rows, rule.partition_by)
     elif rule.mode == "upsert":
         store.replace(name, merge.upsert_all(current, df, rule.keys))
     elif rule.mode == "history":

@@ -117,6 +117,10 @@ class TableStore:
 
     # -- write
     def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False) -> None:
+        if partition_by:
+            # rows of one partition value together (few files per partition),
+            # large values split by AQE into advisory-sized tasks
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
