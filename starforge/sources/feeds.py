@@ -30,6 +30,10 @@ class FeedSpec:
     partition_by: tuple[str, ...] = PARTITION_COLS
     exclude: tuple[tuple[str, str], ...] = field(default_factory=tuple)  # (column, value) dropped with <>
     allow_new_columns: bool = False
+    # Records whose date can change move between date partitions. None: look
+    # for moved keys in the whole table (key and partition columns only); N:
+    # only in partitions within N days of the batch's dates.
+    key_move_days: int | None = None
 
 
 def read_landing(spark: SparkSession, spec: FeedSpec, path: str, fmt: str = "json") -> DataFrame:
@@ -73,7 +77,16 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
         cols += [c for c in batch.columns if c not in cols]
     batch = align(batch, cols, target.schema)
     keys = list(spec.keys)
-    moved = target.select(*keys, *parts).join(batch.select(*keys).distinct(), keys, "left_semi").select(*parts)
+    candidates = target.select(*keys, *parts)
+    if spec.key_move_days is not None and tuple(parts) == PARTITION_COLS:
+        lo_hi = batch.select(F.make_date("year", "month", "day").alias("d")).agg(F.min("d"), F.max("d")).first()
+        if lo_hi[0] is not None:
+            pdate = F.make_date("year", "month", "day")
+            lo = lo_hi[0] - dt.timedelta(days=spec.key_move_days)
+            hi = lo_hi[1] + dt.timedelta(days=spec.key_move_days)
+            # a filter on partition columns only: pruned at listing time
+            candidates = candidates.where(pdate.between(F.lit(lo), F.lit(hi)) | F.col("year").isNull())
+    moved = candidates.join(batch.select(*keys).distinct(), keys, "left_semi").select(*parts)
     touched = batch.select(*parts).unionByName(moved).distinct().alias("u")
     same_part = [F.col(f"t.{p}").eqNullSafe(F.col(f"u.{p}")) for p in parts]
     affected = align(target.alias("t").join(touched, same_part, "left_semi"), cols, batch.schema)

@@ -134,3 +134,11 @@ def test_replayed_batch_changes_nothing(spark):
     assert rows(store.read("raw"), "id", "v", "day") == first
     assert read_mark(spark, store, "Raw") == mark == dt.datetime(2024, 1, 3)
     assert first == [("N/A", "n", 3), ("a", "1", 1)]
+
+
+def test_key_move_window_prunes_and_still_finds_near_moves(spark):
+    spec = FeedSpec("near", "Near", SPEC.schema, ("id",), key_move_days=3)
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-01T00:00:00", "1", "D"), ("b", "2024-03-01T00:00:00", "1", "D")]), spec))
+    upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-03T00:00:00", "2", "D")]), spec))
+    assert rows(store.read("near"), "id", "v", "day") == [("a", "2", 3), ("b", "1", 1)]
