@@ -70,8 +70,8 @@ def crash_star(bits: int = 512, compat: bool = False, typed_measures: bool = Tru
             EntityDim("dim_person", "people", "person_id", PERSON_COLS, latest_by="crash_date"),
         ),
         bridges=(
-            Bridge("bridge_vehicle_group", "vehicles", "crash_record_id", "vehicle_id", "vehicle_group_key"),
-            Bridge("bridge_person_group", "people", "crash_record_id", "person_id", "person_group_key"),
+            Bridge("bridge_vehicle_group", "vehicles", "crash_record_id", "vehicle_id", "vehicle_group_key", partition_ts="crash_date"),
+            Bridge("bridge_person_group", "people", "crash_record_id", "person_id", "person_group_key", partition_ts="crash_date"),
         ),
         histories=(
             History("road_cond_mini_dim", "dim_location", "dim_road_cond"),

@@ -52,6 +52,10 @@ class Bridge:
     member_col: str
     group_key: str
     member_key: str | None = None
+    # A timestamp that is the same for every row of a group (the crash date
+    # of a crash): the bridge is then partitioned by its month and merged
+    # against the batch's months only.
+    partition_ts: str | None = None
 
 
 @dataclass(frozen=True)
@@ -101,7 +105,11 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
     for e in star.entity_dims:
         out[e.name] = dims.entity_dim(frames[e.source], e.cols, e.key, e.latest_by)
     for br in star.bridges:
-        out[br.name] = bridge_ops.bridge(frames[br.source], br.group_col, br.member_col, br.group_key, br.member_key)
+        src, carry = frames[br.source], ()
+        if br.partition_ts:
+            t = parse_timestamp(br.partition_ts)
+            src, carry = src.withColumn(MONTH_KEY, (F.year(t) * 100 + F.month(t)).cast("int")), (MONTH_KEY,)
+        out[br.name] = bridge_ops.bridge(src, br.group_col, br.member_col, br.group_key, br.member_key, carry=carry)
     for h in star.histories:
         ent, cond = star.dim(h.entity_dim), star.dim(h.cond_dim)
         obs = main.select(
@@ -148,7 +156,9 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     for e in star.entity_dims:
         rules[e.name] = Rule("upsert", (e.key,))
     for br in star.bridges:
-        rules[br.name] = Rule("insert", (br.group_key, br.member_key or br.member_col))
+        rules[br.name] = Rule(
+            "insert", (br.group_key, br.member_key or br.member_col), partition_by=(MONTH_KEY,) if br.partition_ts else ()
+        )
     for h in star.histories:
         ent = star.dim(h.entity_dim).key
         rules[h.name] = Rule("history", entity=ent, cond=star.dim(h.cond_dim).key, sort=(ent, "start_date"))
@@ -218,9 +228,12 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
             vals = [tuple(r) for r in df.select(*rule.partition_by).distinct().collect()]
             if not vals:
                 return
-            col = F.col(rule.partition_by[0]) if len(rule.partition_by) == 1 else F.struct(*rule.partition_by)
-            lit = [v[0] for v in vals] if len(rule.partition_by) == 1 else [F.struct(*[F.lit(x) for x in v]) for v in vals]
-            current = current.where(col.isin(lit))
+            if len(rule.partition_by) == 1:
+                col, lit = F.col(rule.partition_by[0]), [v[0] for v in vals if v[0] is not None]
+                keep = col.isin(lit) | (col.isNull() if any(v[0] is None for v in vals) else F.lit(False))
+            else:
+                keep = F.struct(*rule.partition_by).isin([F.struct(*[F.lit(x) for x in v]) for v in vals])
+            current = current.where(keep)
         new_rows = merge.insert_only(current, df, rule.keys).select(*current.columns)
         store.append(name, new_rows, rule.partition_by)
     elif rule.mode == "upsert":
