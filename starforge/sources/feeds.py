@@ -87,12 +87,26 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
             # a filter on partition columns only: pruned at listing time
             candidates = candidates.where(pdate.between(F.lit(lo), F.lit(hi)) | F.col("year").isNull())
     moved = candidates.join(batch.select(*keys).distinct(), keys, "left_semi").select(*parts)
-    touched = batch.select(*parts).unionByName(moved).distinct().alias("u")
-    same_part = [F.col(f"t.{p}").eqNullSafe(F.col(f"u.{p}")) for p in parts]
-    affected = align(target.alias("t").join(touched, same_part, "left_semi"), cols, batch.schema)
+    # The touched partitions (the batch's dates plus those a moved record
+    # left) are few - bounded by the days a batch spans - so they become a
+    # literal partition filter: only their files are listed and read.
+    touched_vals = [tuple(r) for r in batch.select(*parts).unionByName(moved).distinct().collect()]
+    affected = align(target.where(partition_filter(parts, touched_vals)), cols, batch.schema)
+    touched = batch.sparkSession.createDataFrame(touched_vals, target.select(*parts).schema)
     store.overwrite_partitions(spec.name, upsert_all(affected, batch, keys), parts, touched=touched)
 
 
+def partition_filter(parts: Sequence[str], values: Sequence[tuple]):
+    """``(p1, p2, ...) IN values`` on partition columns, null-safe."""
+    cond = F.lit(False)
+    for v in values:
+        term = F.lit(True)
+        for c, x in zip(parts, v):
+            term = term & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+        cond = cond | term
+    return cond
+
+
 def align(df: DataFrame, cols: Sequence[str], other: T.StructType) -> DataFrame:
     """``df`` with exactly ``cols``; missing ones are typed nulls."""
     have = set(df.columns)
