@@ -78,3 +78,13 @@ def test_compat_key_is_plain_sha512_of_concatenation(spark):
     assert got == want
     ours = df.select(surrogate_key(["a", "b", "c"], 256)).first()[0]
     assert ours == hashlib.sha256(b"2:07|2:05|2:09").hexdigest()
+
+
+def test_scale_conf():
+    from starforge.session import scale_conf
+
+    big = scale_conf(100 * (1 << 40), 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20
