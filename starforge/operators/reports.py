@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 # Calendar grains of the count / sum reports: name -> grouping columns.
 DATE_GRAINS: dict[str, tuple[str, ...]] = {
     "year": ("year",),
@@ -50,14 +52,19 @@ def by_grains(df: DataFrame, aggs: Sequence[Column], grains: Mapping[str, Sequen
 
 
 def share(df: DataFrame, count_col: str, out: str = "share", digits: int = 6) -> DataFrame:
-    """Each group's part of the total.
+    """Each group's part of the total, for any number of groups.
 
-    ``df`` is already aggregated (one row per group), so the total is a
-    window over the group rows, not over the facts; the grouped pipeline is
-    computed once (a separately aggregated total would run it twice).
+    ``df`` is already aggregated (one row per group). It is staged once, the
+    total is a global sum over the staged rows (partial sums per task) that
+    reaches the driver as one number, and the share is a projection with that
+    literal: no window over all groups in one task, no join, and the grouped
+    pipeline runs once.
     """
-    total = F.sum(count_col).over(Window.partitionBy())
-    return df.withColumn(out, F.round(F.col(count_col) / total, digits))
+    counts = stage(df, "share-counts")
+    total = counts.agg(F.sum(count_col)).first()[0]
+    if not total:
+        return counts.withColumn(out, F.lit(None).cast("double"))
+    return counts.withColumn(out, F.round(F.col(count_col) / F.lit(float(total)), digits))
 
 
 def top_k(df: DataFrame, by: str, k: int = 1, desc_col: str = "n") -> DataFrame:
