@@ -31,10 +31,11 @@ def build_history(
 
     ``tiebreak`` orders observations of one entity at the same instant (a
     record id); without it equal timestamps have no defined successor.
-    Repeated identical observations are removed first (partial aggregate).
+    Repeated identical observations are removed first, inside the range
+    partitioning of the sequence step (no shuffle of its own).
     """
-    obs = df.select(entity, cond, ts, *tiebreak).distinct()
-    seq = next_value(obs, [entity], [ts, *tiebreak], value=ts, out="_next_ts", chunks=chunks)
+    obs = df.select(entity, cond, ts, *tiebreak)
+    seq = next_value(obs, [entity], [ts, *tiebreak], value=ts, out="_next_ts", chunks=chunks, dedupe=True)
     return seq.select(
         entity,
         cond,

@@ -35,9 +35,14 @@ from ..session import shuffle_partitions, stage
 CHUNK = "_chunk"
 
 
-def _chunked(df: DataFrame, by: Sequence[str], order: Sequence[str], chunks: int | None) -> DataFrame:
+def _chunked(df: DataFrame, by: Sequence[str], order: Sequence[str], chunks: int | None, dedupe: bool = False) -> DataFrame:
     n = chunks or shuffle_partitions(df.sparkSession)
-    return stage(df.repartitionByRange(n, *by, *order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+    ranged = df.repartitionByRange(n, *by, *order)
+    if dedupe:
+        # identical rows share (by, order), hence their range: the range
+        # partitioning already clusters them and the distinct adds no exchange
+        ranged = ranged.distinct()
+    return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
 def next_value(
@@ -47,13 +52,15 @@ def next_value(
     value: str,
     out: str,
     chunks: int | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """``lead(value) over (partition by by order by order)``, skew-safe.
 
     ``order`` must make rows unique within ``by`` (add a tie-breaker column),
-    otherwise the next row is not defined.
+    otherwise the next row is not defined. ``dedupe`` drops identical rows
+    first, within the range partitioning (no extra shuffle).
     """
-    ranged = _chunked(df, by, order, chunks)
+    ranged = _chunked(df, by, order, chunks, dedupe)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order)
     local = ranged.withColumns({
         out: F.lead(value).over(w),
