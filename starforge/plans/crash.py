@@ -168,3 +168,34 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     coll = f.groupBy("collision_type_id").agg(F.count(F.lit(1)).alias("n")).join(t["dim_collision"], "collision_type_id")
     out["top_collision_type"] = reports.top_k(coll.select("collision_type", "n"), "collision_type", 1)
     return out
+
+
+def ingest_all(
+    spark: SparkSession,
+    landing_root: str,
+    raw: TableStore,
+    days_ago: int | None = None,
+    checkpoint_root: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> None:
+    """Ingest every landed file of the three feeds (``<landing_root>/<feed>/...``).
+
+    One availableNow file stream per feed; each micro-batch upserts the raw
+    table and then advances the feed's mark. ``days_ago`` drops rows older
+    than the stored mark minus that many days.
+    """
+    from ..session import scratch_path
+    from ..sources.feeds import feed_specs
+    from ..streaming.ingest import ingest_stream
+
+    ckpt = checkpoint_root or scratch_path(spark, "streams", "crash", unique=False)
+    for name, spec in feed_specs().items():
+        ingest_stream(
+            spark,
+            spec,
+            f"{landing_root}/{name}/*",
+            raw,
+            days_ago=days_ago,
+            max_files_per_trigger=max_files_per_trigger,
+            checkpoint=f"{ckpt}/{name}",
+        )

@@ -6,14 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from starforge.operators.fact import orphan_keys
-from starforge.plans.crash import build_and_publish, crash_reports, crash_star
+from starforge.plans.crash import build_and_publish, crash_reports, crash_star, ingest_all
 from starforge.plans.star import publish_rules
 from starforge.session import scratch_path
 from starforge.sources.catalog import ddl_script, register_tables
-from starforge.sources.feeds import feed_specs
 from starforge.sources.store import TableStore
 from starforge.sources.watermark import read_mark
-from starforge.streaming.ingest import ingest_stream
 from tests import fixtures as fx
 
 FEEDS = {"crashes": (fx.CRASHES_1, fx.CRASHES_2), "people": (fx.PEOPLE_1, fx.PEOPLE_2), "vehicles": (fx.VEHICLES_1, fx.VEHICLES_2)}
@@ -31,10 +29,9 @@ def env(spark):
 
 
 def land_and_ingest(spark, env, batch):
-    specs = feed_specs()
     for name, batches in FEEDS.items():
         fx.write_json(spark, batches[batch], f"{env['landing']}/{name}/batch-{batch}", None)
-        ingest_stream(spark, specs[name], f"{env['landing']}/{name}/*", env["raw"], checkpoint=f"{env['ckpt']}/{name}")
+    ingest_all(spark, env["landing"], env["raw"], checkpoint_root=env["ckpt"])
 
 
 def snapshot(store, names):
