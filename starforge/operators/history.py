@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import OPEN_END
-from .sequence import carry_forward, next_value
+from .sequence import carry_forward, next_value, previous_value
 
 
 def build_history(
@@ -44,6 +44,33 @@ def build_history(
     )
 
 
+def build_compact_history(
+    df: DataFrame,
+    entity: str,
+    cond: str,
+    ts: str,
+    tiebreak: Sequence[str] = (),
+    start: str = "start_date",
+    end: str = "end_date",
+    chunks: int | None = None,
+) -> DataFrame:
+    """Day-level history with equal neighbours merged (the ``coalesce`` form).
+
+    The condition of a day is that of the day's last observation; a row
+    starts where it differs from the previous day's, and ends where the next
+    such change starts. No zero-width rows, no two adjacent rows with the
+    same condition; a point-in-time lookup gives the same answer as on
+    ``build_history``. All steps are skew-safe: a per-(entity, day)
+    aggregate, then ``previous_value`` and ``next_value``.
+    """
+    day = F.to_date(ts).cast("string")
+    daily = df.groupBy(entity, day.alias(start)).agg(F.max_by(F.col(cond), F.struct(ts, *tiebreak)).alias(cond))
+    prev = previous_value(daily, [entity], [start], value=cond, out="_prev", chunks=chunks)
+    changes = prev.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(cond))).drop("_prev")
+    seq = next_value(changes, [entity], [start], value=start, out="_next", chunks=chunks)
+    return seq.select(entity, cond, start, F.coalesce(F.col("_next"), F.lit(OPEN_END)).alias(end))
+
+
 def merge_history(
     old: DataFrame,
     new: DataFrame,

@@ -82,6 +82,34 @@ def next_value(
     )
 
 
+def previous_value(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    chunks: int | None = None,
+) -> DataFrame:
+    """``lag(value) over (partition by by order by order)``, skew-safe.
+
+    Mirror of ``next_value``: the first row of each chunk takes the last
+    value of the entity's previous chunk.
+    """
+    ranged = _chunked(df, by, order, chunks)
+    w = Window.partitionBy(*by, CHUNK).orderBy(*order)
+    local = ranged.withColumns({
+        out: F.lag(value).over(w),
+        "_first_row": F.lag(F.lit(1)).over(w).isNull(),
+    })
+    last = F.max(value) if value == order[0] else F.max_by(F.col(value), F.struct(*order))
+    lasts = ranged.groupBy(*by, CHUNK).agg(last.alias("_lastv"))
+    prev = lasts.select(*by, CHUNK, F.lag("_lastv").over(Window.partitionBy(*by).orderBy(CHUNK)).alias("_carry"))
+    joined = local.join(prev, [*by, CHUNK], "left")
+    return joined.withColumn(out, F.when(F.col("_first_row"), F.col("_carry")).otherwise(F.col(out))).drop(
+        "_first_row", "_carry", CHUNK
+    )
+
+
 def carry_forward(
     df: DataFrame,
     by: Sequence[str],

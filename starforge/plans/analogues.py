@@ -226,6 +226,12 @@ def q_history_intervals_second(spark, sf):
     return event_history(ev, "bucket")
 
 
+def q_history_compact(spark, sf):
+    """Day-level history with equal neighbours merged (coalesce option)."""
+    ev = table(spark, sf, "events").select("user_id", "event_id", "ts", surrogate_key(["event_type"], BITS).alias("cond_key"))
+    return history.build_compact_history(ev, "user_id", "cond_key", "ts", tiebreak=["event_id"])
+
+
 def _history_batches(spark, sf):
     ev = table(spark, sf, "events")
     old = event_history(ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")))
@@ -394,6 +400,7 @@ QUERIES = {
     "fact_lookup_join": q_fact_lookup_join,
     "history_intervals": q_history_intervals,
     "history_intervals_second": q_history_intervals_second,
+    "history_compact": q_history_compact,
     "history_merge": q_history_merge,
     "history_merge_reference": q_history_merge_reference,
     "point_in_time_lookup": q_point_in_time_lookup,

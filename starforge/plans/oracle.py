@@ -159,6 +159,17 @@ SQL: dict[str, str] = {
     "fact_lookup_join": FACT,
     "history_intervals": history_sql(),
     "history_intervals_second": history_sql(BUCKET),
+    "history_compact": f"""
+        WITH daily AS (
+            SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS start_date,
+                   arg_max({key('event_type')}, ts) AS cond_key
+            FROM events GROUP BY user_id, CAST(CAST(ts AS DATE) AS VARCHAR)),
+        p AS (SELECT *, lag(cond_key) OVER (PARTITION BY user_id ORDER BY start_date) AS prev FROM daily),
+        c AS (SELECT user_id, cond_key, start_date FROM p WHERE prev IS NULL OR prev <> cond_key)
+        SELECT user_id, cond_key, start_date,
+               coalesce(lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date), '') AS end_date
+        FROM c
+    """,
     # Incremental merge with the open-row close equals the full recompute.
     "history_merge": history_sql(),
     "history_merge_reference": f"""

@@ -103,3 +103,34 @@ def test_open_rows_merge_equals_full_merge(spark):
     assert incremental.exceptAll(full).count() == 0 and full.exceptAll(incremental).count() == 0
     assert open_after.where("end_date <> ''").count() == 0
     assert closed_now.where("end_date = ''").count() == 0
+
+
+def test_compact_history_gives_same_point_in_time_answers(spark):
+    from starforge.operators.history import build_compact_history
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    full = events_history(spark)
+    compact = build_compact_history(ev, "user_id", "event_type", "ts", tiebreak=["event_id"])
+    assert compact.where("start_date = end_date").count() == 0
+    assert compact.count() < full.count()
+    probes = ev.select("event_id", "user_id", "ts")
+    a = point_in_time(probes, "user_id", "ts", "event_id", full, "user_id", "event_type").select("event_id", "event_type")
+    b = point_in_time(probes, "user_id", "ts", "event_id", compact, "user_id", "event_type").select("event_id", "event_type")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # no two adjacent rows of an entity share a condition
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy("start_date")
+    assert compact.withColumn("p", F.lag("event_type").over(w)).where("p = event_type").count() == 0
+
+
+def test_previous_value_matches_lag(spark):
+    from pyspark.sql import Window
+
+    from starforge.operators.sequence import previous_value
+    from tests.test_sequence import skewed
+
+    df = skewed(spark)
+    got = previous_value(df, ["e"], ["t", "id"], "id", "prv", chunks=5)
+    want = df.withColumn("prv", F.lag("id").over(Window.partitionBy("e").orderBy("t", "id")))
+    assert rows(got, "e", "t", "id", "prv") == rows(want, "e", "t", "id", "prv")
