@@ -140,9 +140,10 @@ class Rule:
     cond: str | None = None
     sort: tuple[str, ...] = ()  # sort within each written file (locality, min/max stats)
     partition_by: tuple[str, ...] = ()  # insert-only tables: also prunes the merge read
+    tier: int = 0  # publish order: 0 dimensions and histories, 1 bridges, 2 fact
 
 
-def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
+def publish_rules(star: Star) -> dict[str, Rule]:
     """Merge rule per table: insert-only for value/date/time dimensions,
     bridges and the fact; update-all for entity dimensions; history merge for
     the mini-dimensions."""
@@ -157,7 +158,10 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
         rules[e.name] = Rule("upsert", (e.key,))
     for br in star.bridges:
         rules[br.name] = Rule(
-            "insert", (br.group_key, br.member_key or br.member_col), partition_by=(MONTH_KEY,) if br.partition_ts else ()
+            "insert",
+            (br.group_key, br.member_key or br.member_col),
+            partition_by=(MONTH_KEY,) if br.partition_ts else (),
+            tier=1,
         )
     for h in star.histories:
         ent = star.dim(h.entity_dim).key
@@ -169,7 +173,7 @@ def publish_rules(star: Star, fact_keys_all: bool = True) -> dict[str, Rule]:
     # The fact is partitioned by month (``month_key`` = yyyymm, 12 values a
     # year): a batch only matches facts of its own dates, so the insert-only
     # merge reads the batch's months only.
-    rules[star.fact_name] = Rule("insert", tuple(fk), partition_by=(MONTH_KEY,) if star.date_dim else ())
+    rules[star.fact_name] = Rule("insert", tuple(fk), partition_by=(MONTH_KEY,) if star.date_dim else (), tier=2)
     return rules
 
 
@@ -194,12 +198,16 @@ PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
 
 
 def publish_tiers(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[list[str]]:
-    """Tables in dependency tiers: dimensions and histories, bridges, fact."""
-    names = [n for n in tables if n != fact_name]
-    bridges = [n for n in names if rules[n].mode == "insert" and len(rules[n].keys) == 2 and n.startswith("bridge")]
-    first = [n for n in names if n not in bridges]
-    first.sort(key=lambda n: PUBLISH_ORDER[rules[n].mode])
-    return [t for t in (first, bridges, [fact_name]) if t]
+    """Tables in dependency tiers: dimensions and histories, bridges, fact
+    (the fact last in any case)."""
+    tiers: dict[int, list[str]] = {}
+    for n in tables:
+        t = 1 << 30 if n == fact_name else rules[n].tier
+        tiers.setdefault(t, []).append(n)
+    out = []
+    for t in sorted(tiers):
+        out.append(sorted(tiers[t], key=lambda n: PUBLISH_ORDER[rules[n].mode]))
+    return out
 
 
 def publish_order(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:

@@ -97,13 +97,25 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
 
 
 def partition_filter(parts: Sequence[str], values: Sequence[tuple]):
-    """``(p1, p2, ...) IN values`` on partition columns, null-safe."""
+    """``(p1, p2, ...) IN values`` on partition columns, null-safe.
+
+    One ``IN`` over the complete tuples (a hash set for long lists, evaluated
+    per partition at listing time); tuples with a null part (unparsable
+    dates) are matched separately.
+    """
+    full = [v for v in values if None not in v]
     cond = F.lit(False)
+    if full:
+        if len(parts) == 1:
+            cond = F.col(parts[0]).isin([v[0] for v in full])
+        else:
+            cond = F.struct(*parts).isin([F.struct(*[F.lit(x).alias(c) for c, x in zip(parts, v)]) for v in full])
     for v in values:
-        term = F.lit(True)
-        for c, x in zip(parts, v):
-            term = term & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
-        cond = cond | term
+        if None in v:
+            term = F.lit(True)
+            for c, x in zip(parts, v):
+                term = term & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+            cond = cond | term
     return cond
 
 
