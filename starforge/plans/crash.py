@@ -199,3 +199,56 @@ def ingest_all(
             max_files_per_trigger=max_files_per_trigger,
             checkpoint=f"{ckpt}/{name}",
         )
+
+
+# ---------------------------------------------------------------- job entry
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit --py-files starforge.zip crash_job.py <ingest|build|ddl> ...``
+
+    * ``ingest --landing L --raw R [--days-ago N]``: the three feeds into the
+      raw tables (run daily);
+    * ``build --raw R --served S --as-of YYYY-MM-DD [--days-back 7]``: extract
+      the window, build and publish the star (run weekly);
+    * ``ddl --served S --database D``: register the published tables in the
+      SQL catalog and print the DDL.
+    """
+    import argparse
+
+    from ..session import build_session
+    from ..sources.catalog import ddl_script, register_tables
+
+    ap = argparse.ArgumentParser(prog="crash")
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    ing = sub.add_parser("ingest")
+    ing.add_argument("--landing", required=True)
+    ing.add_argument("--raw", required=True)
+    ing.add_argument("--days-ago", type=int, default=None)
+    ing.add_argument("--max-files-per-trigger", type=int, default=None)
+    bld = sub.add_parser("build")
+    bld.add_argument("--raw", required=True)
+    bld.add_argument("--served", required=True)
+    bld.add_argument("--as-of", required=True)
+    bld.add_argument("--days-back", type=int, default=7)
+    ddl = sub.add_parser("ddl")
+    ddl.add_argument("--served", required=True)
+    ddl.add_argument("--database", default="crash_dw")
+    args = ap.parse_args(argv)
+
+    spark = build_session(app=f"crash-{args.cmd}")
+    if args.cmd == "ingest":
+        ingest_all(spark, args.landing, TableStore(spark, args.raw), args.days_ago, max_files_per_trigger=args.max_files_per_trigger)
+    elif args.cmd == "build":
+        names = build_and_publish(
+            spark, TableStore(spark, args.raw), TableStore(spark, args.served), dt.date.fromisoformat(args.as_of), args.days_back
+        )
+        print("published:", ", ".join(names))
+    else:
+        served = TableStore(spark, args.served)
+        names = [n for n in publish_rules(crash_star()) if served.exists(n)]
+        register_tables(spark, served, args.database, names)
+        print(ddl_script(served, args.database, names))
+
+
+if __name__ == "__main__":
+    main()

@@ -136,3 +136,17 @@ def test_publish_rules_cover_all_tables():
     assert len(rules) == 18
     assert rules["dim_vehicle"].mode == "upsert" and rules["road_cond_mini_dim"].mode == "history"
     assert len(rules["fact_crash"].keys) == 11
+
+
+def test_job_entry(spark, capsys):
+    from starforge.plans.crash import main
+
+    root = scratch_path(spark, "job")
+    for name, batches in FEEDS.items():
+        fx.write_json(spark, batches[0], f"{root}/landing/{name}/batch-0", None)
+    main(["ingest", "--landing", f"{root}/landing", "--raw", f"{root}/raw"])
+    main(["build", "--raw", f"{root}/raw", "--served", f"{root}/served", "--as-of", "2024-01-14"])
+    main(["ddl", "--served", f"{root}/served", "--database", "crash_job_db"])
+    out = capsys.readouterr().out
+    assert "published:" in out and "CREATE TABLE IF NOT EXISTS `crash_job_db`.`fact_crash`" in out
+    assert spark.sql("SELECT count(*) FROM crash_job_db.fact_crash").first()[0] == 7
