@@ -51,7 +51,7 @@ def by_grains(df: DataFrame, aggs: Sequence[Column], grains: Mapping[str, Sequen
     return out
 
 
-def share(df: DataFrame, count_col: str, out: str = "share", digits: int = 6) -> DataFrame:
+def share(df: DataFrame, count_col: str, out: str = "share", digits: int | None = None) -> DataFrame:
     """Each group's part of the total, for any number of groups.
 
     ``df`` is already aggregated (one row per group). It is staged once, the
@@ -64,7 +64,8 @@ def share(df: DataFrame, count_col: str, out: str = "share", digits: int = 6) ->
     total = counts.agg(F.sum(count_col)).first()[0]
     if not total:
         return counts.withColumn(out, F.lit(None).cast("double"))
-    return counts.withColumn(out, F.round(F.col(count_col) / F.lit(float(total)), digits))
+    ratio = F.col(count_col) / F.lit(float(total))  # one IEEE division: exact same bits in any engine
+    return counts.withColumn(out, F.round(ratio, digits) if digits is not None else ratio)
 
 
 def top_k(df: DataFrame, by: str, k: int = 1, desc_col: str = "n") -> DataFrame:

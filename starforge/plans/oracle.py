@@ -253,7 +253,7 @@ SQL: dict[str, str] = {
             JOIN part p ON p.p_partkey = l.l_partkey
             WHERE p.p_type = 'ECONOMY'),
         c AS (SELECT p_brand, count(*) AS n_orders FROM pairs GROUP BY p_brand)
-        SELECT p_brand, n_orders, round(n_orders / sum(n_orders) OVER (), 6) AS share FROM c
+        SELECT p_brand, n_orders, n_orders / sum(n_orders) OVER () AS share FROM c
     """,
     "report_top_category": """
         SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority
@@ -268,6 +268,6 @@ SQL: dict[str, str] = {
                         WHEN o_totalprice <= 250000 THEN '{PRICE_BUCKETS[1]}'
                         ELSE '{PRICE_BUCKETS[2]}' END AS price_bucket, count(*) AS n_orders
             FROM orders GROUP BY 1)
-        SELECT price_bucket, n_orders, round(n_orders / sum(n_orders) OVER (), 6) AS share FROM c
+        SELECT price_bucket, n_orders, n_orders / sum(n_orders) OVER () AS share FROM c
     """,
 }
