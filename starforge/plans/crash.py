@@ -167,6 +167,20 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out["damage_distribution"] = reports.share(f.groupBy("damage").agg(F.count(F.lit(1)).alias("n_crashes")), "n_crashes")
     coll = f.groupBy("collision_type_id").agg(F.count(F.lit(1)).alias("n")).join(t["dim_collision"], "collision_type_id")
     out["top_collision_type"] = reports.top_k(coll.select("collision_type", "n"), "collision_type", 1)
+    # Road condition at each crash's place as it stood on the crash's date
+    # (the purpose of the history mini-dimension): a point-in-time lookup.
+    from ..operators.history import point_in_time
+
+    dated = f.join(t["dim_date"].select("date_id", "year", "month", "day"), "date_id").select(
+        "person_group_key", "location_id", F.make_date("year", "month", "day").alias("crash_day")
+    )
+    road_hist = t["road_cond_mini_dim"].select("location_id", "road_cond_key", "start_date", "end_date")
+    at_time = point_in_time(dated, "location_id", "crash_day", "person_group_key", road_hist, "location_id", "road_cond_key")
+    out["crashes_by_road_condition"] = (
+        at_time.groupBy("road_cond_key").agg(F.count(F.lit(1)).alias("n_crashes"))
+        .join(t["dim_road_cond"], "road_cond_key", "left")
+        .select("roadway_surface_cond", "road_defect", "n_crashes")
+    )
     return out
 
 

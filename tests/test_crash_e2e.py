@@ -129,6 +129,12 @@ def test_batch_two(spark, env):
     assert reports["top_primary_cause"].count() == 1
     assert reports["crashes_by_weather"].agg(F.sum("n_crashes")).first()[0] == 9
     assert reports["fatal_by_grain"].where("grain = 'year'").first().fatal_injuries == 0
+    # road condition on each crash's day: main street was DRY on 01-10 (c1, c2),
+    # WET on 01-11 (c3), DRY on 01-12 (c4), SNOW on 01-16 (c9); the late c10 row
+    # was dropped, so PINE ST keeps DRY on 01-14 (c8, c10)
+    road = {r.roadway_surface_cond: r.n_crashes for r in reports["crashes_by_road_condition"].collect()}
+    assert sum(road.values()) == 9
+    assert road["WET"] == 1 and road["SNOW"] == 1
 
 
 def test_publish_rules_cover_all_tables():
