@@ -7,6 +7,7 @@ value where none is set, which is the case in local tests.
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import threading
@@ -15,6 +16,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_log = logging.getLogger("starforge")
+
 # Settings every job of the toolkit relies on. AQE re-plans joins from runtime
 # sizes (a lookup side that turns out small becomes a broadcast) and splits
 # skewed shuffle partitions of joins.
@@ -134,13 +137,23 @@ def stage(df, name: str):
 
 @contextmanager
 def staging(spark: SparkSession):
-    """Remove every table staged inside the block when it ends (the
-    DataFrames read from them must not be used afterwards)."""
+    """Remove every table staged inside the block when it ends well (the
+    DataFrames read from them must not be used afterwards).
+
+    If the block fails, the staged tables are kept and their paths logged:
+    a failed overwrite can be redone from the staged copy, which may be the
+    only complete version of the partitions it was replacing.
+    """
     scope: list[str] = []
     _scopes().append(scope)
     try:
         yield scope
-    finally:
+    except BaseException:
+        _scopes().pop()
+        if scope:
+            _log.warning("kept staged tables after a failure: %s", ", ".join(scope))
+        raise
+    else:
         _scopes().pop()
         for path in list(scope):
             remove_path(spark, path)

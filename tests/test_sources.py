@@ -142,3 +142,21 @@ def test_key_move_window_prunes_and_still_finds_near_moves(spark):
     upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-01T00:00:00", "1", "D"), ("b", "2024-03-01T00:00:00", "1", "D")]), spec))
     upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-03T00:00:00", "2", "D")]), spec))
     assert rows(store.read("near"), "id", "v", "day") == [("a", "2", 3), ("b", "1", 1)]
+
+
+def test_staged_tables_kept_when_block_fails(spark):
+    import pytest
+
+    from starforge.session import stage, staging
+
+    kept = []
+    with pytest.raises(RuntimeError):
+        with staging(spark) as scope:
+            stage(spark.range(3), "keep-me")
+            kept = list(scope)
+            raise RuntimeError("write failed")
+    assert kept and path_exists(spark, kept[0])
+    with staging(spark) as scope:
+        stage(spark.range(3), "drop-me")
+        dropped = list(scope)
+    assert not path_exists(spark, dropped[0])
