@@ -51,6 +51,12 @@ def test_incremental_equals_full_for_day_aligned_batches(spark):
     assert merged.exceptAll(full).count() == 0 and full.exceptAll(merged).count() == 0
     # one open row per entity, and contiguity: every closed row's end is the start of a later row
     assert merged.where("end_date = ''").groupBy("user_id").count().where("count <> 1").count() == 0
+    per_entity = merged.groupBy("user_id").agg(
+        F.sort_array(F.collect_list("start_date")).alias("starts"),
+        F.sort_array(F.collect_list(F.when(F.col("end_date") != "", F.col("end_date")))).alias("ends"),
+    )
+    for r in per_entity.collect():
+        assert r.ends == r.starts[1:], r.user_id
 
 
 def test_reference_close_rule_rewrites_closed_rows(spark):
