@@ -109,7 +109,7 @@ def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-ROWS_ONLY = {
+PUBLISHED = {
     "feed_ingest": q_feed_ingest,
     "publish_star": q_publish_star,
 }
