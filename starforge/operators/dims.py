@@ -115,5 +115,7 @@ def entity_dim(
     if latest_by is None:
         agg = F.max(row)
     else:
-        agg = F.max_by(row, F.col("_ord"))
+        # ties on the order column are broken by the row itself: the same
+        # input always keeps the same version (replays are idempotent)
+        agg = F.max_by(row, F.struct(F.col("_ord"), row))
     return out.groupBy(key).agg(agg.alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in others])

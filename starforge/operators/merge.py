@@ -68,7 +68,9 @@ def dedupe_source(
         "_nullkey_row": F.when(_any_null(keys), F.struct(*cols)),
         "_ord": F.col(order) if isinstance(order, str) else order,
     })
-    agg = src.groupBy(*keys, "_nullkey_row").agg(F.count(F.lit(1)).alias("_n"), F.max_by(row, F.col("_ord")).alias("_row"))
+    # ties on the order are broken by the row itself (deterministic)
+    pick = F.max_by(row, F.struct(F.col("_ord"), row))
+    agg = src.groupBy(*keys, "_nullkey_row").agg(F.count(F.lit(1)).alias("_n"), pick.alias("_row"))
     copies = F.when(F.col("_nullkey_row").isNotNull(), F.col("_n")).otherwise(F.lit(1))
     out = agg.select(
         *keys,

@@ -73,3 +73,11 @@ def test_lookup_inner_drops_unmatched(spark):
     assert rows(out, "id", "key") == [(1, "k1")]
     left = fact.lookup(f, d, [("code", "code")], ["key"], how="left", fixed_size=True)
     assert rows(left, "id", "key") == [(1, "k1"), (2, None)]
+
+
+def test_entity_dim_tie_is_deterministic(spark):
+    a = spark.createDataFrame([("p1", "F", "d1"), ("p1", "M", "d1")], "id string, sex string, d string")
+    b = spark.createDataFrame([("p1", "M", "d1"), ("p1", "F", "d1")], "id string, sex string, d string").repartition(3)
+    got_a = dims.entity_dim(a, ["id", "sex"], "id", latest_by="d").first().sex
+    got_b = dims.entity_dim(b, ["id", "sex"], "id", latest_by="d").first().sex
+    assert got_a == got_b == "M"
