@@ -26,7 +26,7 @@ from ..sources.watermark import batch_mark, publish_mark, read_mark
 
 def process_batch(store: TableStore, spec: FeedSpec, batch: DataFrame, days_ago: int | None = None) -> None:
     spark = batch.sparkSession
-    cutoff = batch_cutoff(read_mark(spark, store, spec.mark_name), days_ago)
+    cutoff = batch_cutoff(read_mark(spark, store, spec.mark_name), days_ago) if days_ago is not None else None
     prepared = prepare(batch, spec, cutoff).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with staging(spark):
