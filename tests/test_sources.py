@@ -160,3 +160,14 @@ def test_staged_tables_kept_when_block_fails(spark):
         stage(spark.range(3), "drop-me")
         dropped = list(scope)
     assert not path_exists(spark, dropped[0])
+
+
+def test_lookback_cutoff_between_batches(spark):
+    from starforge.streaming.ingest import process_batch
+
+    store = TableStore(spark, scratch_path(spark, "cutoff"))
+    process_batch(store, SPEC, feed(spark, [("a", "2024-01-10T00:00:00", "1", "D")]), days_ago=2)
+    # mark = 01-10, cutoff = 01-08: the 01-05 row is too old, the 01-09 one is kept
+    process_batch(store, SPEC, feed(spark, [("b", "2024-01-05T00:00:00", "1", "D"), ("c", "2024-01-09T00:00:00", "1", "D")]), days_ago=2)
+    assert sorted(r.id for r in store.read("raw").collect()) == ["a", "c"]
+    assert read_mark(spark, store, "Raw") == dt.datetime(2024, 1, 10)
