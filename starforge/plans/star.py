@@ -20,7 +20,7 @@ from ..functions.calendar import parse_timestamp
 from ..functions.clean import DIM_NULL
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge
-from ..session import adopt_scope, current_scope
+from ..session import adopt_scope, current_scope, stage
 from ..sources.store import TableStore
 
 
@@ -245,7 +245,16 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         new_rows = merge.insert_only(current, df, rule.keys).select(*current.columns)
         store.append(name, new_rows, rule.partition_by)
     elif rule.mode == "upsert":
-        store.replace(name, merge.upsert_all(current, df, rule.keys))
+        # Only rows that are new or differ from their published version take
+        # part; a batch that changes nothing (a replay, an overlapping
+        # window) leaves the table as it is instead of rewriting it.
+        src = stage(df.select(*current.columns), f"upsert-{name}")
+        merge.check_unique_keys(src, rule.keys)
+        published = current.join(src.select(*rule.keys), list(rule.keys), "left_semi")
+        changed = src.exceptAll(published)
+        if not changed.take(1):
+            return
+        store.replace(name, merge.upsert_all(current, changed, rule.keys))
     elif rule.mode == "history":
         # Only the open rows are read and rewritten; the rows closed by this
         # batch become a new append-only segment. One job writes both (a

@@ -83,10 +83,12 @@ def test_batch_one(spark, env):
         ("WET", "2024-01-11", "2024-01-12"),
     ]
 
-    # same batch again: nothing changes
+    # same batch again: nothing changes, and unchanged entity dimensions are not rewritten
     before = snapshot(served, names)
+    versions = {n: served.current_version(n) for n in ("dim_vehicle", "dim_person")}
     build_and_publish(spark, raw, served, dt.date(2024, 1, 14))
     assert snapshot(served, names) == before
+    assert {n: served.current_version(n) for n in versions} == versions
 
 
 def test_batch_two(spark, env):
