@@ -9,9 +9,11 @@ All functions are pure: ``(target, source) -> DataFrame``. Keys compare with
                       rows, optionally only where a condition holds, insert
                       the unmatched source rows.
 
-A target row matched by several source rows is an error by default (the
-check runs inside the plan, no extra job); ``on_duplicate='latest'`` keeps
-the source row with the greatest ``order`` value instead.
+A target row matched by several source rows is an error by default: inside
+the plan as a count over a window on the merge keys (``merge``), or as one
+hash-aggregate count over the staged source (``upsert_all``).
+``on_duplicate='latest'`` keeps the source row with the greatest ``order``
+value instead (ties broken by the row itself).
 """
 
 from __future__ import annotations
