@@ -2,7 +2,7 @@
 
 ``lead`` over ``Window.partitionBy(entity)`` sends every row of an entity to one
 task. When one location holds a third of all rows, that task sorts a third of
-the data. Both operators here split each entity's sequence into contiguous
+the data. The operators here split each entity's sequence into contiguous
 chunks instead:
 
 1. ``repartitionByRange(n, *by, *order)`` samples the keys and cuts the global
@@ -19,7 +19,7 @@ chunks instead:
    the value that crosses each boundary, then joined back on
    ``(entity, chunk)``.
 
-Both are plain DataFrame plans: two shuffles of the rows (range, then the
+All are plain DataFrame plans: two shuffles of the rows (range, then the
 window's hash exchange), one staged write, small aggregates, no Python.
 """
 
