@@ -255,6 +255,7 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         if not changed.take(1):
             return
         store.replace(name, merge.upsert_all(current, changed, rule.keys))
+        store.vacuum(name, keep=2)
     elif rule.mode == "history":
         # Only the open rows are read and rewritten; the rows closed by this
         # batch become a new append-only segment. One job writes both (a

@@ -144,6 +144,22 @@ class TableStore:
         """Write the new content as the next snapshot."""
         self.create(name, df, partition_by)
 
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        """Remove all but the newest ``keep`` committed snapshots (and any
+        uncommitted folder older than them). ``keep >= 2`` leaves the
+        previous snapshot to readers that started before the last switch."""
+        keep = max(keep, 1)
+        committed = self.versions(name)
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        removed = []
+        for d in list_dirs(self.spark, self.table_dir(name)):
+            if d.startswith(SNAP_PREFIX) and int(d[len(SNAP_PREFIX):]) < oldest_kept:
+                remove_path(self.spark, f"{self.table_dir(name)}/{d}")
+                removed.append(int(d[len(SNAP_PREFIX):]))
+        return sorted(removed)
+
     def overwrite_partitions(
         self, name: str, df: DataFrame, partition_by: Sequence[str], touched: DataFrame | None = None
     ) -> None:

@@ -37,6 +37,7 @@ def publish_mark(store: TableStore, new: DataFrame) -> None:
     spark = new.sparkSession
     current = store.read(MARKS_TABLE) if store.exists(MARKS_TABLE) else spark.createDataFrame([], MARK_SCHEMA)
     store.replace(MARKS_TABLE, advance_marks(current, new).coalesce(1))
+    store.vacuum(MARKS_TABLE, keep=2)
 
 
 def read_mark(spark: SparkSession, store: TableStore, name: str):

@@ -171,3 +171,13 @@ def test_lookback_cutoff_between_batches(spark):
     process_batch(store, SPEC, feed(spark, [("b", "2024-01-05T00:00:00", "1", "D"), ("c", "2024-01-09T00:00:00", "1", "D")]), days_ago=2)
     assert sorted(r.id for r in store.read("raw").collect()) == ["a", "c"]
     assert read_mark(spark, store, "Raw") == dt.datetime(2024, 1, 10)
+
+
+def test_vacuum_keeps_newest_snapshots(spark):
+    store = TableStore(spark, scratch_path(spark, "vac"))
+    for i in range(4):
+        store.replace("t", spark.createDataFrame([(i,)], "a int"))
+    assert store.versions("t") == [1, 2, 3, 4]
+    assert store.vacuum("t", keep=2) == [1, 2]
+    assert store.versions("t") == [3, 4]
+    assert [r.a for r in store.read("t").collect()] == [3]
