@@ -15,8 +15,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 30
+    own = set(E.queries()) - set(E.LLM_QUERIES)
+    assert own == set(E.oracle_sql()) - set(E.LLM_SQL)
+    assert set(E.LLM_SQL) <= set(E.LLM_QUERIES)
+    assert len(own) >= 30
 
 
 def test_fact_forms_agree(spark):
