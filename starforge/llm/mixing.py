@@ -232,7 +232,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     spans' other columns with each other (any of them).
     """
     documents, spans = mix_sources(docs, **options)
-    named = spans.join(documents.select("sid", "start", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("hash").alias("_hash")), ["sid", "start"])
+    named = spans.join(documents.where("size > 0").select("sid", "start", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("hash").alias("_hash")), ["sid", "start"])
     by_text = named.groupBy("_id", "_source", "_hash").agg(F.collect_list(F.struct("from_word", "n_words")).alias("_spans"))
     columns = docs.columns
     rows = docs.withColumn("_hash", F.xxhash64(text_of(F.col("text"))))

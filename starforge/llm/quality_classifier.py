@@ -68,11 +68,16 @@ def chunk_logits(net: Network, texts: list[bytes], at_once: int = 1 << 17) -> tu
     halves = np.array([(len(t) + WIDTH + HALF - 1) // HALF for t in texts])  # each text ends in at least WIDTH zero bytes
     raw = np.frombuffer(b"".join(t.ljust(h * HALF, b"\0") for t, h in zip(texts, halves.tolist())), np.uint8)
     pooled = np.empty((len(raw) // HALF, FILTERS), np.float32)
+    ends = np.cumsum(halves)
+    final = np.zeros(len(pooled), bool)
+    final[ends - 1] = True
     for first in range(0, len(raw), at_once):
         part = raw[first : first + at_once + HALF]  # a further half, so that windows see what follows
         n = min(at_once, len(raw) - first) // HALF
-        pooled[first // HALF : first // HALF + n] = _responses(net, part)[: n * HALF // STRIDE].reshape(n, HALF // STRIDE, FILTERS).max(axis=1)
-    ends = np.cumsum(halves)
+        seen = _responses(net, part)[: n * HALF // STRIDE].reshape(n, HALF // STRIDE, FILTERS)
+        # windows that reach into the next text are not this one's
+        seen[np.flatnonzero(final[first // HALF : first // HALF + n]), 1 - WIDTH // STRIDE :] = -np.inf
+        pooled[first // HALF : first // HALF + n] = seen.max(axis=1)
     begins = np.ones(len(pooled), bool)
     begins[ends - 1] = False
     at = np.flatnonzero(begins)
