@@ -62,13 +62,14 @@ def lookup(
     ``fixed_size=True`` marks a dimension whose row count has a known bound
     (e.g. the 86,400-row time dimension) and broadcasts it. Otherwise the
     planner chooses from the size estimate, and AQE switches to a broadcast at
-    runtime when the materialised side is below the threshold.
+    runtime when the materialised side is below the threshold. A null attribute
+    finds the dimension row with the same null, so no fact row is lost to it.
     """
     pairs = [(c, c) if isinstance(c, str) else c for c in on]
     d = dim.select(*[F.col(dc).alias(f"_lk_{i}") for i, (_, dc) in enumerate(pairs)], *take)
     if fixed_size:
         d = F.broadcast(d)
-    cond = [fact[fc] == d[f"_lk_{i}"] for i, (fc, _) in enumerate(pairs)]
+    cond = [fact[fc].eqNullSafe(d[f"_lk_{i}"]) for i, (fc, _) in enumerate(pairs)]
     out = fact.join(d, cond, how)
     return out.drop(*[f"_lk_{i}" for i in range(len(pairs))])
 

@@ -188,28 +188,26 @@ def ingest_all(
     spark: SparkSession,
     landing_root: str,
     raw: TableStore,
-    days_ago: int | None = None,
     checkpoint_root: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Ingest every landed file of the three feeds (``<landing_root>/<feed>/...``).
 
     One availableNow file stream per feed; each micro-batch upserts the raw
-    table and then advances the feed's mark. ``days_ago`` drops rows older
-    than the stored mark minus that many days.
+    table and then advances the feed's mark. The streams' checkpoints lie
+    beside the raw tables (or below ``checkpoint_root``), so a daily
+    application reads only what was landed since the last one.
     """
-    from ..session import scratch_path
     from ..sources.feeds import feed_specs
-    from ..streaming.ingest import ingest_stream
+    from ..streaming.ingest import STREAMS, ingest_stream
 
-    ckpt = checkpoint_root or scratch_path(spark, "streams", "crash", unique=False)
+    ckpt = checkpoint_root or f"{raw.root}/{STREAMS}"
     for name, spec in feed_specs().items():
         ingest_stream(
             spark,
             spec,
             f"{landing_root}/{name}/*",
             raw,
-            days_ago=days_ago,
             max_files_per_trigger=max_files_per_trigger,
             checkpoint=f"{ckpt}/{name}",
         )
@@ -220,8 +218,8 @@ def ingest_all(
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit --py-files starforge.zip crash_job.py <ingest|build|ddl> ...``
 
-    * ``ingest --landing L --raw R [--days-ago N]``: the three feeds into the
-      raw tables (run daily);
+    * ``ingest --landing L --raw R [--stream-checkpoint C]``: the three feeds
+      into the raw tables (run daily);
     * ``build --raw R --served S --as-of YYYY-MM-DD [--days-back 7]``: extract
       the window, build and publish the star (run weekly);
     * ``ddl --served S --database D``: register the published tables in the
@@ -237,7 +235,7 @@ def main(argv: list[str] | None = None) -> None:
     ing = sub.add_parser("ingest")
     ing.add_argument("--landing", required=True)
     ing.add_argument("--raw", required=True)
-    ing.add_argument("--days-ago", type=int, default=None)
+    ing.add_argument("--stream-checkpoint", default=None)
     ing.add_argument("--max-files-per-trigger", type=int, default=None)
     bld = sub.add_parser("build")
     bld.add_argument("--raw", required=True)
@@ -251,7 +249,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(app=f"crash-{args.cmd}")
     if args.cmd == "ingest":
-        ingest_all(spark, args.landing, TableStore(spark, args.raw), args.days_ago, max_files_per_trigger=args.max_files_per_trigger)
+        ingest_all(spark, args.landing, TableStore(spark, args.raw), args.stream_checkpoint, max_files_per_trigger=args.max_files_per_trigger)
     elif args.cmd == "build":
         names = build_and_publish(
             spark, TableStore(spark, args.raw), TableStore(spark, args.served), dt.date.fromisoformat(args.as_of), args.days_back

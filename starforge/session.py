@@ -170,19 +170,17 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
 
     * ``spark.sql.files.maxPartitionBytes``: scan splits of the target size;
     * ``spark.sql.shuffle.partitions``: enough that one shuffle partition of
-      the full input is about the target size (at least two waves of tasks),
-      capped; AQE coalesces the small ones at runtime
+      the full input is about the target size (at least two waves of tasks);
+      AQE coalesces the small ones at runtime
       (``advisoryPartitionSizeInBytes``) and splits skewed join partitions;
     * the broadcast threshold stays a size check (64 MB), never a hint on data
       whose size grows with the input.
 
-    Example: 100 TB on 1,000 executors x 8 cores would need 409,600 partitions
-    of 256 MB for a shuffle of the whole input; the cap gives 100,000 (~1 GB
-    each in that worst case). Most shuffles here carry projected and
+    Example: 100 TB on 1,000 executors x 8 cores: 409,600 partitions of 256 MB
+    for a shuffle of the whole input. Most shuffles here carry projected and
     partially aggregated rows, far less than the input, and AQE coalesces.
     """
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    parts = min(parts, 100_000)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import parse_timestamp
 from ..functions.clean import RAW_NULL, fill_strings
-from ..operators.merge import upsert_all
+from ..operators.merge import dedupe_source, upsert_all
 from .store import TableStore
 
 PARTITION_COLS = ("year", "month", "day")
+# Column of a streamed batch that orders the landings of one record (the
+# file's time, then its path); never stored.
+LANDED = "_landed"
 
 
 @dataclass(frozen=True)
@@ -30,10 +33,6 @@ class FeedSpec:
     partition_by: tuple[str, ...] = PARTITION_COLS
     exclude: tuple[tuple[str, str], ...] = field(default_factory=tuple)  # (column, value) dropped with <>
     allow_new_columns: bool = False
-    # Records whose date can change move between date partitions. None: look
-    # for moved keys in the whole table (key and partition columns only); N:
-    # only in partitions within N days of the batch's dates.
-    key_move_days: int | None = None
 
 
 def read_landing(spark: SparkSession, spec: FeedSpec, path: str, fmt: str = "json") -> DataFrame:
@@ -45,55 +44,76 @@ def prepare(df: DataFrame, spec: FeedSpec, cutoff: dt.datetime | dt.date | None
     """Date partition columns, cutoff, ``'N/A'`` fill, exclusion filters.
 
     The partition columns come from the parsed date (day of month for
-    ``day``). Rows at or before ``cutoff`` are dropped (source-side cutoff).
+    ``day``). With an explicit ``cutoff`` (source-side cutoff, a choice of what
+    to read) rows dated at or before it are left out; rows without a readable
+    date are always kept. The stored mark never drops a landed row.
     Exclusions compare with ``<>`` after the fill, so a null value (now
     ``'N/A'``) is kept and only the excluded value is dropped.
     """
     ts = parse_timestamp(spec.date_col)
     out = df.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)})
     if cutoff is not None:
-        out = out.where(ts > F.lit(cutoff))
+        out = out.where((ts > F.lit(cutoff)) | ts.isNull())
     out = fill_strings(out, RAW_NULL)
     for col, value in spec.exclude:
         out = out.where(F.col(col) != F.lit(value))
     return out
 
 
+def without_key(keys: Sequence[str]):
+    """Rows with an unknown key part (null or the ``'N/A'`` that stands for it)."""
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | (F.coalesce(F.col(k).cast("string"), F.lit(RAW_NULL)) == RAW_NULL)
+    return cond
+
+
+def latest_versions(batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, rows without) of a batch, each record once.
+
+    The version landed last wins per key (without landing information the
+    greatest row, so the choice is repeatable). Rows with an unknown key part
+    cannot be told apart by it: each different row is a record of its own.
+    """
+    order = LANDED if LANDED in batch.columns else F.lit(0)
+    keyed = dedupe_source(batch.where(~without_key(keys)), keys, "latest", order)
+    return keyed.drop(LANDED), batch.where(without_key(keys)).drop(LANDED).distinct()
+
+
 def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
     """Update-all / insert-rest of a batch into the raw table (M2).
 
+    Of several versions of a record in the batch the last landed one counts;
+    rows without a key are added unless the same row is there
+    (``latest_versions``), in the first batch as in later ones.
+
     Only partitions that the batch touches are rewritten: those of the batch
     rows, plus those holding an older version of a batch key (a record whose
     date moved). Only key and partition columns of the whole table are read
     to find the latter.
     """
     parts = list(spec.partition_by)
+    keys = list(spec.keys)
     if not store.exists(spec.name):
-        store.create(spec.name, batch, parts)
+        keyed, unkeyed = latest_versions(batch, keys)
+        store.create(spec.name, keyed.unionByName(unkeyed), parts)
         return
     target = store.read(spec.name, merge_schema=spec.allow_new_columns)
     cols = list(target.columns)
     if spec.allow_new_columns:
         cols += [c for c in batch.columns if c not in cols]
-    batch = align(batch, cols, target.schema)
-    keys = list(spec.keys)
-    candidates = target.select(*keys, *parts)
-    if spec.key_move_days is not None and tuple(parts) == PARTITION_COLS:
-        lo_hi = batch.select(F.make_date("year", "month", "day").alias("d")).agg(F.min("d"), F.max("d")).first()
-        if lo_hi[0] is not None:
-            pdate = F.make_date("year", "month", "day")
-            lo = lo_hi[0] - dt.timedelta(days=spec.key_move_days)
-            hi = lo_hi[1] + dt.timedelta(days=spec.key_move_days)
-            # a filter on partition columns only: pruned at listing time
-            candidates = candidates.where(pdate.between(F.lit(lo), F.lit(hi)) | F.col("year").isNull())
-    moved = candidates.join(batch.select(*keys).distinct(), keys, "left_semi").select(*parts)
+    landed = [c for c in batch.columns if c == LANDED]
+    keyed, unkeyed = latest_versions(align(batch, [*cols, *landed], target.schema), keys)
+    moved = target.select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
     # The touched partitions (the batch's dates plus those a moved record
     # left) are few - bounded by the days a batch spans - so they become a
     # literal partition filter: only their files are listed and read.
     touched_vals = [tuple(r) for r in batch.select(*parts).unionByName(moved).distinct().collect()]
-    affected = align(target.where(partition_filter(parts, touched_vals)), cols, batch.schema)
+    affected = align(target.where(partition_filter(parts, touched_vals)), cols, keyed.schema)
     touched = batch.sparkSession.createDataFrame(touched_vals, target.select(*parts).schema)
-    store.overwrite_partitions(spec.name, upsert_all(affected, batch, keys), parts, touched=touched)
+    known = upsert_all(affected.where(~without_key(keys)), keyed, keys)
+    rest = affected.where(without_key(keys)).unionByName(unkeyed).distinct()
+    store.overwrite_partitions(spec.name, known.unionByName(rest), parts, touched=touched)
 
 
 def partition_filter(parts: Sequence[str], values: Sequence[tuple]):
@@ -125,11 +145,16 @@ def align(df: DataFrame, cols: Sequence[str], other: T.StructType) -> DataFrame:
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(other[c].dataType).alias(c) for c in cols])
 
 
-def batch_cutoff(mark, days_ago: int | None):
-    """Cutoff for the next batch: stored mark minus a look-back."""
+def batch_cutoff(mark, days_ago: int | None, as_of: dt.datetime | None = None):
+    """From when to land the next batch: the mark less a look-back.
+
+    The mark counts as ``as_of`` at most, so one record dated in the future
+    does not move the cutoff beyond the present. What has been landed is
+    ingested whatever its date.
+    """
     if mark is None or days_ago is None:
         return None
-    return mark - dt.timedelta(days=days_ago)
+    return (mark if as_of is None else min(mark, as_of)) - dt.timedelta(days=days_ago)
 
 
 def feed_specs() -> dict[str, FeedSpec]:

@@ -124,9 +124,9 @@ class TableStore:
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        if dynamic:
-            # per-write option: no session-wide setting to race on
-            w = w.option("partitionOverwriteMode", "dynamic")
+        # per-write option: a new snapshot never keeps what a failed attempt
+        # left in its folder, whatever the session's setting is
+        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         w.parquet(path)
 
     def create(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:

@@ -5,29 +5,35 @@ every file not yet seen (tracked in the stream checkpoint) in bounded
 micro-batches (``maxFilesPerTrigger``) and stops; each micro-batch is merged
 into the raw table by ``foreachBatch``:
 
-1. prepare (date partitions, cutoff, ``'N/A'`` fill, exclusions);
+1. prepare (date partitions, ``'N/A'`` fill, exclusions; no landed row is
+   dropped for its date);
 2. upsert into the raw table, touched partitions only (M2);
 3. advance the feed's high-water mark, only forward (M3).
 
 The mark moves after the data is written, so a crash between 2 and 3 replays
 the batch, and both steps are idempotent (upsert by key, max of marks).
+
+The stream's checkpoint lies beside the raw tables unless told otherwise, so
+the next application goes on where the last one ended.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import scratch_path, staging
-from ..sources.feeds import FeedSpec, batch_cutoff, prepare, upsert_feed
+from ..session import staging
+from ..sources.feeds import LANDED, FeedSpec, prepare, upsert_feed
 from ..sources.store import TableStore
-from ..sources.watermark import batch_mark, publish_mark, read_mark
+from ..sources.watermark import batch_mark, publish_mark
+
+STREAMS = "_streams"
 
 
-def process_batch(store: TableStore, spec: FeedSpec, batch: DataFrame, days_ago: int | None = None) -> None:
+def process_batch(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
     spark = batch.sparkSession
-    cutoff = batch_cutoff(read_mark(spark, store, spec.mark_name), days_ago) if days_ago is not None else None
-    prepared = prepare(batch, spec, cutoff).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = prepare(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with staging(spark):
             upsert_feed(store, spec, prepared)
@@ -41,7 +47,6 @@ def ingest_stream(
     spec: FeedSpec,
     landing: str,
     store: TableStore,
-    days_ago: int | None = None,
     max_files_per_trigger: int | None = None,
     checkpoint: str | None = None,
     fmt: str = "json",
@@ -50,10 +55,11 @@ def ingest_stream(
     reader = spark.readStream.schema(spec.schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(landing)
-    ckpt = checkpoint or scratch_path(spark, "streams", spec.name, unique=False)
+    landed = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    stream = reader.load(landing).select("*", landed.alias(LANDED))
+    ckpt = checkpoint or f"{store.root}/{STREAMS}/{spec.name}"
     query = (
-        stream.writeStream.foreachBatch(lambda df, _epoch: process_batch(store, spec, df, days_ago))
+        stream.writeStream.foreachBatch(lambda df, _epoch: process_batch(store, spec, df))
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()

@@ -84,7 +84,7 @@ def test_scale_conf():
     from starforge.session import scale_conf
 
     big = scale_conf(100 * (1 << 40), 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20

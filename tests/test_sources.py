@@ -57,7 +57,7 @@ def test_prepare_partitions_fill_exclusion_cutoff(spark):
     assert "b" not in got and got["c"][4] == "N/A"
     assert got["d"][:3] == (None, None, None)
     cut = prepare(df, SPEC, cutoff=dt.datetime(2024, 1, 1, 12))
-    assert sorted(r.id for r in cut.collect()) == ["a"]
+    assert sorted(r.id for r in cut.collect()) == ["a", "d"]  # a row without a date is kept
     assert batch_cutoff(dt.datetime(2024, 1, 10), 2) == dt.datetime(2024, 1, 8)
     assert batch_cutoff(None, 2) is None
 
@@ -136,12 +136,48 @@ def test_replayed_batch_changes_nothing(spark):
     assert first == [("N/A", "n", 3), ("a", "1", 1)]
 
 
-def test_key_move_window_prunes_and_still_finds_near_moves(spark):
-    spec = FeedSpec("near", "Near", SPEC.schema, ("id",), key_move_days=3)
+def test_key_moved_by_months_is_one_row(spark):
     store = TableStore(spark, scratch_path(spark, "raw"))
-    upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-01T00:00:00", "1", "D"), ("b", "2024-03-01T00:00:00", "1", "D")]), spec))
-    upsert_feed(store, spec, prepare(feed(spark, [("a", "2024-01-03T00:00:00", "2", "D")]), spec))
-    assert rows(store.read("near"), "id", "v", "day") == [("a", "2", 3), ("b", "1", 1)]
+    upsert_feed(store, SPEC, prepare(feed(spark, [("a", "2024-01-01T00:00:00", "1", "D"), ("b", "2024-03-01T00:00:00", "1", "D")]), SPEC))
+    upsert_feed(store, SPEC, prepare(feed(spark, [("a", "2024-05-03T00:00:00", "2", "D")]), SPEC))
+    assert rows(store.read("raw"), "id", "v", "day") == [("a", "2", 3), ("b", "1", 1)]
+
+
+def test_versions_of_a_record_and_rows_without_a_key(spark):
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    first = [("a", "2024-01-01T00:00:00", "1", "D"), ("a", "2024-01-01T00:00:00", "2", "D"), (None, "2024-01-01T00:00:00", "x", "D"), (None, "2024-01-01T00:00:00", "y", "D")]
+    upsert_feed(store, SPEC, prepare(feed(spark, first), SPEC))
+    assert rows(store.read("raw"), "id", "v") == [("N/A", "x"), ("N/A", "y"), ("a", "2")]
+    later = [("n", "2024-01-01T00:00:00", "1", "D"), ("n", "2024-01-01T00:00:00", "3", "D"), (None, "2024-01-01T00:00:00", "x", "D"), (None, "2024-01-01T00:00:00", "z", "D")]
+    upsert_feed(store, SPEC, prepare(feed(spark, later), SPEC))
+    assert rows(store.read("raw"), "id", "v") == [("N/A", "x"), ("N/A", "y"), ("N/A", "z"), ("a", "2"), ("n", "3")]
+
+
+def test_next_application_goes_on_and_takes_the_corrected_record(spark):
+    """Two sessions over the same folders: nothing is read twice, the later landing wins."""
+    import json
+    import os
+    import tempfile
+
+    from starforge.streaming.ingest import ingest_stream
+
+    landing, root = tempfile.mkdtemp(), scratch_path(spark, "raw")
+
+    def land(name, *records):
+        path = os.path.join(landing, f"{name}.json")
+        with open(path, "w") as f:
+            f.writelines(json.dumps(dict(zip(("id", "crash_date", "v", "unit_type"), r))) + "\n" for r in records)
+        when = 1_700_000_000 + int(name)
+        os.utime(path, (when, when))
+
+    for session, landed in ((spark, (("1", "9"), ("2", "1"))), (spark.newSession(), (("3", "0"),))):
+        for name, v in landed:
+            land(name, ("a", "2024-01-01T00:00:00", v, "D"), (None, "2024-01-01T00:00:00", f"u{v}", "D"), ("f", "2099-01-01T00:00:00", "1", "D"))
+        ingest_stream(session, SPEC, landing, TableStore(session, root))
+        got = rows(TableStore(spark, root).read("raw"), "id", "v")
+        assert ("a", landed[-1][1]) in got and len([r for r in got if r[0] == "a"]) == 1
+    # the record of 2099 drops nothing that is landed later
+    assert got == [("N/A", "u0"), ("N/A", "u1"), ("N/A", "u9"), ("a", "0"), ("f", "1")]
 
 
 def test_staged_tables_kept_when_block_fails(spark):
@@ -162,15 +198,22 @@ def test_staged_tables_kept_when_block_fails(spark):
     assert not path_exists(spark, dropped[0])
 
 
-def test_lookback_cutoff_between_batches(spark):
+def test_no_landed_row_is_dropped_by_the_mark(spark):
     from starforge.streaming.ingest import process_batch
 
-    store = TableStore(spark, scratch_path(spark, "cutoff"))
-    process_batch(store, SPEC, feed(spark, [("a", "2024-01-10T00:00:00", "1", "D")]), days_ago=2)
-    # mark = 01-10, cutoff = 01-08: the 01-05 row is too old, the 01-09 one is kept
-    process_batch(store, SPEC, feed(spark, [("b", "2024-01-05T00:00:00", "1", "D"), ("c", "2024-01-09T00:00:00", "1", "D")]), days_ago=2)
-    assert sorted(r.id for r in store.read("raw").collect()) == ["a", "c"]
-    assert read_mark(spark, store, "Raw") == dt.datetime(2024, 1, 10)
+    store = TableStore(spark, scratch_path(spark, "late"))
+    process_batch(store, SPEC, feed(spark, [("a", "2099-01-10T00:00:00", "1", "D"), ("n", "N/A", "1", "D")]))
+    process_batch(store, SPEC, feed(spark, [("b", "2024-01-05T00:00:00", "1", "D"), ("m", "N/A", "1", "D")]))
+    assert sorted(r.id for r in store.read("raw").collect()) == ["a", "b", "m", "n"]
+    # one record of the future does not move the next landing's start beyond the present
+    assert batch_cutoff(read_mark(spark, store, "Raw"), 2, as_of=dt.datetime(2024, 1, 10)) == dt.datetime(2024, 1, 8)
+
+
+def test_new_snapshot_keeps_nothing_of_a_failed_attempt(spark):
+    store = TableStore(spark, scratch_path(spark, "left"))
+    spark.createDataFrame([(1, "old")], "a int, p string").write.partitionBy("p").parquet(f"{store.table_dir('t')}/snap-000001")
+    store.create("t", spark.createDataFrame([(2, "new")], "a int, p string"), ["p"])
+    assert rows(store.read("t"), "a", "p") == [(2, "new")]
 
 
 def test_vacuum_keeps_newest_snapshots(spark):
