@@ -210,21 +210,14 @@ def publish_tiers(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fa
     return out
 
 
-def publish_order(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[str]:
-    return [n for tier in publish_tiers(tables, rules, fact_name) for n in tier]
-
-
 def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> None:
-    def sorted_(d: DataFrame) -> DataFrame:
-        # a local sort per task, no exchange (instead of a global orderBy)
-        return d.sortWithinPartitions(*rule.sort) if rule.sort else d
-
+    # rule.sort orders the rows of each file (a local sort per task, no global orderBy)
     if not store.exists(name):
         if rule.mode == "history":
-            store.create(name, sorted_(_history_layout(df, "end_date", 1)), HISTORY_PARTS)
+            store.create(name, _history_layout(df, "end_date", 1), HISTORY_PARTS, rule.sort)
             return
         src = df if rule.mode != "upsert" else merge.dedupe_source(df, rule.keys, "error")
-        store.create(name, sorted_(src), rule.partition_by)
+        store.create(name, src, rule.partition_by, rule.sort)
         return
     if rule.mode == "static":
         return
@@ -266,7 +259,7 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         seg = max(segs, default=0) + 1
         out = _history_layout(closed_now, "end_date", seg).unionByName(_history_layout(open_after, "end_date", seg))
         touched = store.spark.createDataFrame([("open", 0)], f"{ROW_STATE} string, {SEGMENT} int")
-        store.overwrite_partitions(name, sorted_(out), HISTORY_PARTS, touched=touched)
+        store.overwrite_partitions(name, out, HISTORY_PARTS, touched=touched, sort=rule.sort)
     else:
         raise ValueError(rule.mode)
 

@@ -116,11 +116,14 @@ class TableStore:
         return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(self.location(name))
 
     # -- write
-    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False) -> None:
+    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False, sort: Sequence[str] = ()) -> None:
         if partition_by:
             # rows of one partition value together (few files per partition),
             # large values split by AQE into advisory-sized tasks
             df = df.hint("rebalance", *partition_by)
+        if sort:
+            # after the rebalance (an exchange), so that each file is sorted
+            df = df.sortWithinPartitions(*partition_by, *sort)
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -129,10 +132,10 @@ class TableStore:
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         w.parquet(path)
 
-    def create(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """First snapshot (S9 first run, S10 overwrite)."""
+    def create(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), sort: Sequence[str] = ()) -> None:
+        """First snapshot (S9 first run, S10 overwrite); rows of a file ordered by ``sort``."""
         v = (self.current_version(name) or 0) + 1
-        self._write(df, self._snap_dir(name, v), "overwrite", partition_by)
+        self._write(df, self._snap_dir(name, v), "overwrite", partition_by, sort=sort)
         touch(self.spark, f"{self._snap_dir(name, v)}/{COMMIT_MARK}")
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
@@ -161,7 +164,7 @@ class TableStore:
         return sorted(removed)
 
     def overwrite_partitions(
-        self, name: str, df: DataFrame, partition_by: Sequence[str], touched: DataFrame | None = None
+        self, name: str, df: DataFrame, partition_by: Sequence[str], touched: DataFrame | None = None, sort: Sequence[str] = ()
     ) -> None:
         """Replace the partitions present in ``df`` in the current snapshot.
 
@@ -172,7 +175,7 @@ class TableStore:
         number is bounded by the partitions a batch touches.
         """
         if not self.exists(name):
-            return self.create(name, df, partition_by)
+            return self.create(name, df, partition_by, sort)
         with staging(self.spark):
             staged = stage(df, f"overwrite-{name}")
             emptied = []
@@ -182,7 +185,7 @@ class TableStore:
                 t = touched.select(*parts).distinct().alias("t")
                 same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
                 emptied = [partition_dir(parts, list(r)) for r in t.join(present, same, "left_anti").collect()]
-            self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True)
+            self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True, sort=sort)
             # after the write: a failure in between leaves stale rows that a
             # re-run of the batch removes, never lost ones
             for d in emptied:

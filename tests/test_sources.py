@@ -224,3 +224,16 @@ def test_vacuum_keeps_newest_snapshots(spark):
     assert store.vacuum("t", keep=2) == [1, 2]
     assert store.versions("t") == [3, 4]
     assert [r.a for r in store.read("t").collect()] == [3]
+
+
+def test_files_are_sorted_after_the_rebalance(spark):
+    store = TableStore(spark, scratch_path(spark, "store"))
+    df = spark.range(20000).select((F.col("id") * 7919 % 20011).alias("a"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("p"))
+    store.create("t", df.repartition(5), ["p"], sort=("a",))
+    store.overwrite_partitions("t", df.withColumn("a", F.col("a") + 1).repartition(5), ["p"], sort=("a",))
+    data = store.read("t").select("a", F.input_file_name().alias("f")).withColumn("i", F.monotonically_increasing_id())
+    files = {}
+    for r in data.orderBy("i").collect():
+        files.setdefault(r.f, []).append(r.a)
+    assert sum(map(len, files.values())) == 20000
+    assert all(v == sorted(v) for v in files.values())
