@@ -49,6 +49,16 @@ def with_date_parts(df: DataFrame, ts: Column | str, parts=DATE_PART_NAMES) -> D
     return df.withColumns({p: all_parts[p] for p in parts})
 
 
+def week_year(year: Column | str = "year", month: Column | str = "month", week: Column | str = "week") -> Column:
+    """ISO year of an ISO week, from a date's parts (those a date dimension holds).
+
+    The first days of January can lie in the old year's last week, the last
+    days of December in the new year's week 1.
+    """
+    y, m, w = _col(year), _col(month), _col(week)
+    return F.when((m == 1) & (w >= 52), y - 1).when((m == 12) & (w == 1), y + 1).otherwise(y)
+
+
 def _as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 

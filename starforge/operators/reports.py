@@ -8,17 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
-
-# Calendar grains of the count / sum reports: name -> grouping columns.
+# Calendar grains of the count / sum reports: name -> grouping columns. A week
+# belongs to its ISO week year (``calendar.week_year``), not the calendar year.
 DATE_GRAINS: dict[str, tuple[str, ...]] = {
     "year": ("year",),
     "quarter": ("year", "quarter"),
     "month": ("year", "month"),
-    "week": ("year", "week"),
+    "week": ("week_year", "week"),
     "day": ("year", "month", "day"),
     "dayofweek": ("dayofweek",),
 }
@@ -52,20 +51,16 @@ def by_grains(df: DataFrame, aggs: Sequence[Column], grains: Mapping[str, Sequen
 
 
 def share(df: DataFrame, count_col: str, out: str = "share", digits: int | None = None) -> DataFrame:
-    """Each group's part of the total, for any number of groups.
+    """Each group's part of the total, for any number of groups (null if the total is 0).
 
-    ``df`` is already aggregated (one row per group). It is staged once, the
-    total is a global sum over the staged rows (partial sums per task) that
-    reaches the driver as one number, and the share is a projection with that
-    literal: no window over all groups in one task, no join, and the grouped
-    pipeline runs once.
+    ``df`` is already aggregated (one row per group). The total is a scalar
+    subquery over the same groups (partial sums per task); both sides read the
+    same exchange, so the grouped pipeline runs once. No window over all
+    groups in one task, no join, nothing staged.
     """
-    counts = stage(df, "share-counts")
-    total = counts.agg(F.sum(count_col)).first()[0]
-    if not total:
-        return counts.withColumn(out, F.lit(None).cast("double"))
-    ratio = F.col(count_col) / F.lit(float(total))  # one IEEE division: exact same bits in any engine
-    return counts.withColumn(out, F.round(ratio, digits) if digits is not None else ratio)
+    total = df.agg(F.sum(count_col).cast("double").alias("_total")).scalar()
+    ratio = F.col(count_col) / F.nullif(total, F.lit(0.0))  # one IEEE division: exact same bits in any engine
+    return df.withColumn(out, F.round(ratio, digits) if digits is not None else ratio)
 
 
 def top_k(df: DataFrame, by: str, k: int = 1, desc_col: str = "n") -> DataFrame:
@@ -75,8 +70,3 @@ def top_k(df: DataFrame, by: str, k: int = 1, desc_col: str = "n") -> DataFrame:
     own top k, the driver merges k rows per task.
     """
     return df.orderBy(F.col(desc_col).desc(), F.col(by).asc()).limit(k)
-
-
-def top_k_per(df: DataFrame, part: Sequence[str], by: str, k: int = 1, desc_col: str = "n") -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(F.col(desc_col).desc(), F.col(by).asc())
-    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_parts, date_window, with_date_parts
+from ..functions.calendar import date_parts, date_window, week_year, with_date_parts
 from ..functions.clean import fill_strings, not_equal
 from ..functions.keys import surrogate_key
 from ..operators import bridge as bridge_ops
@@ -299,7 +299,7 @@ def _star_views(spark, sf):
 
 
 def grain_sql(grains, prefix: str = "") -> tuple[str, str]:
-    """GROUPING SETS clause and grain label for SQL text (Spark and the oracle)."""
+    """GROUPING SETS clause and grain label for SQL text."""
     cols = reports.grain_columns(grains)
     sets = ", ".join("(" + ", ".join(prefix + c for c in g) + ")" for g in grains.values())
     gid = "grouping_id(" + ", ".join(prefix + c for c in cols) + ")"
@@ -314,12 +314,13 @@ def grain_sql(grains, prefix: str = "") -> tuple[str, str]:
 def q_report_counts_by_grain(spark, sf):
     """Orders per calendar grain, through fact -> date dimension, as SQL over temp views."""
     _star_views(spark, sf)
+    spark.table("sf_dim_order_date").withColumn("week_year", week_year()).createOrReplaceTempView("sf_dim_order_week")
     sets, label = grain_sql(reports.DATE_GRAINS, "d.")
     cols = ", ".join("d." + c for c in reports.grain_columns(reports.DATE_GRAINS))
     return spark.sql(
         f"""
         SELECT {cols}, {label} AS grain, count(*) AS n_orders
-        FROM sf_fact_orders f JOIN sf_dim_order_date d ON f.date_id = d.date_id
+        FROM sf_fact_orders f JOIN sf_dim_order_week d ON f.date_id = d.date_id
         GROUP BY GROUPING SETS ({sets})
         """
     )
@@ -328,19 +329,20 @@ def q_report_counts_by_grain(spark, sf):
 EVENT_GRAINS = {
     "hour": ("hour",),
     "day": ("year", "month", "day"),
-    "week": ("year", "week"),
+    "week": ("week_year", "week"),
     "dayofweek": ("dayofweek",),
 }
 
 
 def q_report_event_counts_by_grain(spark, sf):
-    ev = with_date_parts(table(spark, sf, "events").select("ts"), "ts")
+    ev = with_date_parts(table(spark, sf, "events").select("ts"), "ts").withColumn("week_year", week_year())
     return reports.by_grains(ev, [F.count(F.lit(1)).alias("n_events")], EVENT_GRAINS)
 
 
 def q_report_sum_by_grain(spark, sf):
     li = table(spark, sf, "lineitem").select("l_shipdate", "l_quantity")
     parts = date_parts("l_shipdate")
+    parts["week_year"] = week_year(parts["year"], parts["month"], parts["week"])
     li = li.select("l_quantity", *[parts[p].alias(p) for p in reports.grain_columns(reports.DATE_GRAINS)])
     return reports.by_grains(li, [F.sum("l_quantity").alias("sum_quantity")], reports.DATE_GRAINS)
 

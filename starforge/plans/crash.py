@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.calendar import window_extract
+from ..functions.calendar import week_year, window_extract
 from ..session import stage, staging
 from ..sources.store import TableStore
 from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
@@ -119,7 +119,7 @@ CRASH_GRAINS = {
     "hour": ("hour",),
     "day": ("year", "month", "day"),
     "month": ("year", "month"),
-    "week": ("year", "week"),
+    "week": ("week_year", "week"),
     "year": ("year",),
     "dayofweek": ("dayofweek",),
 }
@@ -140,6 +140,7 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     cal = (
         f.join(t["dim_date"], "date_id")
         .join(t["dim_time"].select("time_id", "hour"), "time_id")
+        .withColumn("week_year", week_year())
     )
     fatal = F.col("injuries_fatal").try_cast("int") if dict(f.dtypes)["injuries_fatal"] == "string" else F.col("injuries_fatal")
     out = {

@@ -8,10 +8,8 @@ conditions spelled out in SQL. DuckDB differences handled here: no sha-512
 from __future__ import annotations
 
 from ..functions.keys import KEY_LENGTH_MARK, KEY_NULL_TOKEN, KEY_PART_SEPARATOR
-from ..operators.reports import DATE_GRAINS, grain_columns
 from .analogues import (
     AS_OF,
-    EVENT_GRAINS,
     EVENT_OVERLAP,
     EVENT_SPLIT,
     ORDER_OVERLAP,
@@ -20,7 +18,6 @@ from .analogues import (
     SHIP_OVERLAP,
     SHIP_SPLIT,
     WINDOW_DAYS,
-    grain_sql,
 )
 
 
@@ -96,10 +93,21 @@ def bridge_sql(where: str) -> str:
     return f"SELECT DISTINCT l_orderkey AS order_group_key, l_partkey AS part_id FROM lineitem {where}"
 
 
-def grains_select(grains, agg: str, src: str, prefix: str = "") -> str:
-    sets, label = grain_sql(grains, prefix)
-    cols = ", ".join(prefix + c for c in grain_columns(grains))
-    return f"SELECT {cols}, {label} AS grain, {agg} FROM {src} GROUP BY GROUPING SETS ({sets})"
+def grains_select(grains: str, agg: str, day: str, src: str) -> str:
+    """One plain GROUP BY per grain (``day`` is the date expression); the week grain by ISO year and ISO week."""
+    columns = {
+        "year": "year({d}) AS year",
+        "quarter": "year({d}) AS year, quarter({d}) AS quarter",
+        "month": "year({d}) AS year, month({d}) AS month",
+        "week": "isoyear({d}) AS week_year, week({d}) AS week",
+        "day": "year({d}) AS year, month({d}) AS month, dayofmonth({d}) AS day",
+        "dayofweek": "dayofweek({d}) + 1 AS dayofweek",
+        "hour": "hour({d}) AS hour",
+    }
+    one = "SELECT '{g}' AS grain, {c}, {agg} FROM {src} GROUP BY ALL"
+    every = "\nUNION ALL BY NAME\n".join(one.format(g=g, c=columns[g].format(d=day), agg=agg, src=src) for g in grains.split())
+    names = dict.fromkeys(c.split(" AS ")[1] for g in grains.split() for c in columns[g].split(", "))
+    return f"SELECT * REPLACE ({', '.join(f'CAST({n} AS INTEGER) AS {n}' for n in names)}) FROM ({every})"
 
 
 def _parts_cols(ts: str, names) -> str:
@@ -230,22 +238,9 @@ SQL: dict[str, str] = {
                     ELSE t.o_totalprice END AS o_totalprice
         FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
     """,
-    "report_counts_by_grain": grains_select(
-        DATE_GRAINS,
-        "count(*) AS n_orders",
-        f"({FACT}) f JOIN ({DATE_DIM_SQL}) d ON f.date_id = d.date_id",
-        "d.",
-    ),
-    "report_event_counts_by_grain": grains_select(
-        EVENT_GRAINS,
-        "count(*) AS n_events",
-        f"(SELECT {_parts_cols('ts', grain_columns(EVENT_GRAINS))} FROM events)",
-    ),
-    "report_sum_by_grain": grains_select(
-        DATE_GRAINS,
-        "sum(l_quantity) AS sum_quantity",
-        f"(SELECT l_quantity, {_parts_cols('l_shipdate', grain_columns(DATE_GRAINS))} FROM lineitem)",
-    ),
+    "report_counts_by_grain": grains_select("year quarter month week day dayofweek", "count(*) AS n_orders", "o_orderdate", "orders"),
+    "report_event_counts_by_grain": grains_select("hour day week dayofweek", "count(*) AS n_events", "ts", "events"),
+    "report_sum_by_grain": grains_select("year quarter month week day dayofweek", "sum(l_quantity) AS sum_quantity", "l_shipdate", "lineitem"),
     "report_member_distribution": """
         WITH pairs AS (
             SELECT DISTINCT p.p_brand, o.o_orderkey

@@ -2,9 +2,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starforge.functions.calendar import date_window, parse_timestamp, window_extract, with_date_parts
+from starforge.functions.calendar import date_window, parse_timestamp, week_year, window_extract, with_date_parts
 from starforge.functions.clean import fill_strings, measure, not_equal
 from starforge.functions.keys import key_text, surrogate_key
+from starforge.operators.reports import share
 
 
 def test_key_is_injective_where_plain_concat_collides(spark):
@@ -88,3 +89,18 @@ def test_scale_conf():
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20
+
+
+def test_week_year_at_the_turn_of_the_year(spark):
+    days = ["1995-01-01", "1995-12-31", "1996-01-01", "1996-12-30", "2000-01-02", "2000-12-31", "2020-12-31", "2021-01-03", "2021-01-04"]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select("d", F.to_date("d").alias("t"))
+    got = with_date_parts(df, "t", ("year", "month", "week")).select("d", week_year().alias("y"), "week").collect()
+    for r in got:
+        assert (r.y, r.week) == dt.date.fromisoformat(r.d).isocalendar()[:2]
+
+
+def test_share_of_a_total_of_zero_is_null(spark):
+    rows = spark.createDataFrame([("a", 0), ("b", 0)], "k string, n long")
+    assert {r.share for r in share(rows, "n").collect()} == {None}
+    assert share(rows.limit(0), "n").collect() == []
+    assert {r.k: r.share for r in share(rows.withColumn("n", F.when(rows.k == "a", 1).otherwise(3)), "n").collect()} == {"a": 0.25, "b": 0.75}
