@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,14 +77,20 @@ def date_window(ts: Column | str, as_of: dt.date | str, days_back: int, dirty: b
     return F.to_date(t).between(F.lit(lo), F.lit(hi))
 
 
-def window_extract(df: DataFrame, ts: str, as_of, days_back: int, drop=(), with_parts: bool = False) -> DataFrame:
+def window_extract(
+    df: DataFrame, ts: str, as_of, days_back: int, drop=(), with_parts: bool = False, day_parts: Sequence[str] = ()
+) -> DataFrame:
     """Rows of the rolling window, optional date parts, dropped columns.
 
     A string date column (as landed) is parsed; a typed one is used as is so
-    the bound is pushed to the scan.
+    the bound is pushed to the scan. ``day_parts`` names the columns that hold
+    the date's year, month and day where ``df`` is partitioned by them: the
+    window is then a partition filter too, and only its days are read.
     """
     dirty = isinstance(df.schema[ts].dataType, T.StringType)
     out = df.filter(date_window(ts, as_of, days_back, dirty=dirty))
+    if day_parts:
+        out = out.filter(date_window(F.make_date(*[F.col(p) for p in day_parts]), as_of, days_back))
     if with_parts:
         out = with_date_parts(out, parse_timestamp(ts) if dirty else ts)
     if drop:

@@ -92,12 +92,7 @@ def merge_history(
     reference's match on (entity, condition, start), which also rewrites
     closed rows of the same day; ``'open_only'`` closes only the open row.
     """
-    max_start = old.groupBy(entity).agg(F.max(start).alias("_max_start"))
-    kept = (
-        new.join(max_start, entity, "left")
-        .where((F.col(start) > F.col("_max_start")) | F.col("_max_start").isNull())
-        .select(*old.columns)
-    )
+    kept = newer_rows(old, new, entity, start).select(*old.columns)
     first_new = kept.groupBy(entity).agg(F.min(start).alias("_min_start"))
 
     if close == "open_only":
@@ -119,6 +114,13 @@ def merge_history(
     raise ValueError(f"unknown close rule {close!r}")
 
 
+def newer_rows(known: DataFrame, new: DataFrame, entity: str, start: str = "start_date") -> DataFrame:
+    """New rows that start after the entity's latest known start, or whose entity is unknown."""
+    latest = known.groupBy(entity).agg(F.max(start).alias("_max_start"))
+    later = (F.col(start) > F.col("_max_start")) | F.col("_max_start").isNull()
+    return new.join(latest, entity, "left").where(later).drop("_max_start")
+
+
 def merge_open_rows(
     open_rows: DataFrame,
     new: DataFrame,
@@ -138,12 +140,7 @@ def merge_open_rows(
     ``merge_history(..., close='open_only')``.
     """
     cols = open_rows.columns
-    max_start = open_rows.groupBy(entity).agg(F.max(start).alias("_max_start"))
-    kept = (
-        new.join(max_start, entity, "left")
-        .where((F.col(start) > F.col("_max_start")) | F.col("_max_start").isNull())
-        .select(*cols)
-    )
+    kept = newer_rows(open_rows, new, entity, start).select(*cols)
     first_new = kept.groupBy(entity).agg(F.min(start).alias("_min_start"))
     is_open = F.col(end) == F.lit(OPEN_END)
     closing = open_rows.join(first_new, entity, "inner").withColumn(end, F.col("_min_start")).select(*cols)

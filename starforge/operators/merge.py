@@ -10,8 +10,9 @@ All functions are pure: ``(target, source) -> DataFrame``. Keys compare with
                       the unmatched source rows.
 
 A target row matched by several source rows is an error by default: inside
-the plan as a count over a window on the merge keys (``merge``), or as one
-hash-aggregate count over the staged source (``upsert_all``).
+the plan, from a count over a window on the merge keys that travels with the
+source row (``merge``), or as one hash-aggregate count over the staged source
+(``upsert_all``). Rows with a null key never enter a window or a join.
 ``on_duplicate='latest'`` keeps the source row with the greatest ``order``
 value instead (ties broken by the row itself).
 """
@@ -33,6 +34,14 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _per_key(keys: Sequence[str]) -> Column:
+    return F.count(F.lit(1)).over(Window.partitionBy(*keys))
+
+
+def _several(keys: Sequence[str]) -> Column:
+    return F.raise_error(F.lit("merge: several source rows match one target row (keys %s)" % ",".join(keys)))
+
+
 def dedupe_source(
     source: DataFrame,
     keys: Sequence[str],
@@ -41,9 +50,9 @@ def dedupe_source(
 ) -> DataFrame:
     """Source rows checked (``'error'``) or reduced (``'latest'``) per key.
 
-    ``'error'``: a count per key over a window partitioned by the keys, which
-    is the partitioning the merge join needs anyway (no extra exchange); the
-    check fails the job inside the plan. Null-key rows never match and pass.
+    ``'error'``: any key that occurs twice fails the job, from a count over a
+    window on the keys. The check is a filter, so key columns stay as they
+    are. Null-key rows never match and go around the window.
 
     ``'latest'``: one row per non-null key by ``max_by`` - an aggregate with
     a partial step, so a key repeated many times collapses map-side. Null-key
@@ -53,12 +62,9 @@ def dedupe_source(
     if on_duplicate == "allow":
         return source
     if on_duplicate == "error":
-        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        guard = F.when(
-            ~_any_null(keys) & (n > 1),
-            F.raise_error(F.lit("merge: several source rows match one target row (keys %s)" % ",".join(keys))),
-        ).otherwise(F.col(keys[0]))
-        return source.withColumn(keys[0], guard)
+        counted = source.where(~_any_null(keys)).withColumn("_n", _per_key(keys))
+        checked = counted.where(F.when(F.col("_n") > 1, _several(keys)).otherwise(F.lit(True))).drop("_n")
+        return checked.unionByName(source.where(_any_null(keys)))
     if on_duplicate != "latest":
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     if order is None:
@@ -82,20 +88,17 @@ def dedupe_source(
     return out.select(*cols)
 
 
-def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
+def check_unique_keys(source: DataFrame, keys: Sequence[str], target: DataFrame | None = None) -> None:
     """Fail when a non-null key occurs more than once (eager, one job).
 
-    A count per key is a hash aggregate with a partial step; only keys that
-    repeat reach the driver, at most one of them.
+    With ``target`` only keys that match a target row count. A count per key
+    is a hash aggregate with a partial step; only keys that repeat are looked
+    up, and at most one of them reaches the driver.
     """
-    dup = (
-        source.where(~_any_null(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .limit(1)
-        .collect()
-    )
+    repeated = source.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    if target is not None:
+        repeated = repeated.join(target.select(*keys), list(keys), "left_semi")
+    dup = repeated.limit(1).collect()
     if dup:
         raise ValueError("merge: several source rows match one target row (keys %s = %s)" % (",".join(keys), tuple(dup[0])[:-1]))
 
@@ -106,7 +109,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     Only the key columns of the target are read; existing rows are never
     rewritten, so publishing is an append.
     """
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 
 def apply_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -135,7 +138,7 @@ def upsert_all(
         # and nothing needs to be deduplicated in the default mode.
         if on_duplicate == "error":
             src = stage(source, "merge-source")
-            check_unique_keys(src, keys)
+            check_unique_keys(src, keys, target)
         else:
             src = stage(dedupe_source(source, keys, on_duplicate, order), "merge-source")
     else:
@@ -154,38 +157,54 @@ def merge(
     on_duplicate: str = "error",
     order: str | Column | None = None,
 ) -> DataFrame:
-    """General merge, as one full outer join.
+    """General merge: matched rows by a left join, new rows by an anti join.
 
     ``update``: ``'all'``, a list of columns to set from the source (partial
     update), or ``None`` (no update). ``condition`` is evaluated on matched
     rows with the target aliased ``a`` and the source ``b`` (e.g.
     ``"b.mark > a.mark"``); where it is not true the target row is kept as is.
-    Each side carries a marker column, so a null key is told apart from a
-    missing match.
+
+    Both joins and the duplicate count use the same keys, so each side is
+    exchanged once at most; a batch-sized source is broadcast and the target
+    then stays where it is (the new rows are found among the few target keys
+    that the source matches). Rows with a null key match nothing and go past
+    the joins, so they never meet in one task. Both sides are read more than
+    once: pass stored or staged frames where computing them is dear.
     """
-    src = dedupe_source(source, keys, on_duplicate, order) if update is not None else source
     cols = target.columns
-    upd = set(cols) - set(keys) if update == "all" else set(update or [])
-    a = target.withColumn("_t", F.lit(True)).alias("a")
-    b = src.withColumn("_s", F.lit(True)).alias("b")
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    j = a.join(b, on, "full")
-    t_missing = F.col("a._t").isNull()
-    matched = F.col("a._t").isNotNull() & F.col("b._s").isNotNull()
-    cond = matched
-    if condition is not None:
-        c = F.expr(condition) if isinstance(condition, str) else condition
-        cond = matched & F.coalesce(c, F.lit(False))
-    src_cols = set(src.columns)
-
-    def pick(c: str) -> Column:
-        s = F.col(f"b.{c}") if c in src_cols else F.lit(None)
-        out = F.when(t_missing, s)
-        if c in upd:
-            out = out.when(cond, s)
-        return out.otherwise(F.col(f"a.{c}")).cast(target.schema[c].dataType).alias(c)
-
-    keep = F.col("a._t").isNotNull()
-    if insert:
-        keep = keep | F.col("b._s").isNotNull()
-    return j.where(keep).select(*[pick(c) for c in cols])
+    types = {c: target.schema[c].dataType for c in cols}
+    if update is not None and on_duplicate == "latest":
+        source = dedupe_source(source, keys, on_duplicate, order)
+    keyed_t, keyed_s = target.where(~_any_null(keys)), source.where(~_any_null(keys))
+    if update is None:
+        old = target
+    else:
+        check = on_duplicate == "error"
+        a = keyed_t.alias("a")
+        b = keyed_s.withColumn("_n", _per_key(keys) if check else F.lit(1)).alias("b")
+        j = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], "left")
+        matched = F.col("b._n").isNotNull()
+        if check:
+            matched = F.when(F.col("b._n") > 1, _several(keys)).otherwise(matched)
+        if condition is not None:
+            c = F.expr(condition) if isinstance(condition, str) else condition
+            matched = matched & F.coalesce(c, F.lit(False))
+        upd = set(cols) - set(keys) if update == "all" else set(update)
+
+        def updated(c: str) -> Column:
+            if c not in upd:
+                return F.col(f"a.{c}").alias(c)
+            new = F.col(f"b.{c}") if c in source.columns else F.lit(None)
+            return F.when(matched, new).otherwise(F.col(f"a.{c}")).cast(types[c]).alias(c)
+
+        old = j.select(*[updated(c) for c in cols])
+        old = old.unionByName(target.where(_any_null(keys)))
+    if not insert:
+        return old
+
+    def given(c: str) -> Column:
+        return (F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
+
+    met = keyed_t.select(*keys).join(keyed_s.select(*keys), list(keys), "left_semi")
+    new_rows = keyed_s.join(met, list(keys), "left_anti").unionByName(source.where(_any_null(keys)))
+    return old.unionByName(new_rows.select(*[given(c) for c in cols]))

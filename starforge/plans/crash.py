@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.calendar import week_year, window_extract
 from ..session import stage, staging
+from ..sources.feeds import PARTITION_COLS
 from ..sources.store import TableStore
 from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
 
@@ -87,12 +88,18 @@ def crash_star(bits: int = 512, compat: bool = False, typed_measures: bool = Tru
 def extract(raw: TableStore, as_of: dt.date, days_back: int = 7) -> dict[str, DataFrame]:
     """The rolling window of each raw table, staged once per run.
 
-    Every table of the star reads the crash extract; staging it in the
-    checkpoint folder computes the window once and cuts the lineage.
+    The raw tables are partitioned by year, month and day, so only the
+    window's days are read. Every table of the star reads the crash extract;
+    staging it in the checkpoint folder computes the window once and cuts the
+    lineage.
     """
-    crashes = window_extract(raw.read("crashes"), "crash_date", as_of, days_back, drop=("location",))
-    people = window_extract(raw.read("people"), "crash_date", as_of, days_back)
-    vehicles = window_extract(raw.read("vehicles"), "crash_date", as_of, days_back).where("vehicle_id <> 'N/A'")
+
+    def window(name: str, drop=()) -> DataFrame:
+        return window_extract(raw.read(name), "crash_date", as_of, days_back, drop=drop, day_parts=PARTITION_COLS)
+
+    crashes = window("crashes", drop=("location",))
+    people = window("people")
+    vehicles = window("vehicles").where("vehicle_id <> 'N/A'")
     return {
         "crashes": stage(crashes, "extract-crashes"),
         "people": stage(people, "extract-people"),

@@ -21,6 +21,8 @@ from ..functions.clean import DIM_NULL
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge
 from ..session import adopt_scope, current_scope, stage
+from ..sources.catalog import repoint
+from ..sources.feeds import partition_filter, without_key
 from ..sources.store import TableStore
 
 
@@ -141,11 +143,20 @@ class Rule:
     sort: tuple[str, ...] = ()  # sort within each written file (locality, min/max stats)
     partition_by: tuple[str, ...] = ()  # insert-only tables: also prunes the merge read
     tier: int = 0  # publish order: 0 dimensions and histories, 1 bridges, 2 fact
+    else_keys: tuple[str, ...] = ()  # upsert: these tell rows apart whose key is unknown
+
+
+def fact_keys(star: Star) -> list[str]:
+    """Every key column of the fact."""
+    keys = [d.key for d in star.value_dims if d.in_fact]
+    keys += ["time_id"] if star.time_dim else []
+    keys += ["date_id"] if star.date_dim else []
+    return keys + list(star.group_keys)
 
 
 def publish_rules(star: Star) -> dict[str, Rule]:
     """Merge rule per table: insert-only for value/date/time dimensions,
-    bridges and the fact; update-all for entity dimensions; history merge for
+    bridges; update-all for entity dimensions and the fact; history merge for
     the mini-dimensions."""
     rules: dict[str, Rule] = {}
     for d in star.value_dims:
@@ -166,32 +177,112 @@ def publish_rules(star: Star) -> dict[str, Rule]:
     for h in star.histories:
         ent = star.dim(h.entity_dim).key
         rules[h.name] = Rule("history", entity=ent, cond=star.dim(h.cond_dim).key, sort=(ent, "start_date"))
-    fk = [d.key for d in star.value_dims if d.in_fact]
-    fk += ["time_id"] if star.time_dim else []
-    fk += ["date_id"] if star.date_dim else []
-    fk += list(star.group_keys)
     # The fact is partitioned by month (``month_key`` = yyyymm, 12 values a
-    # year): a batch only matches facts of its own dates, so the insert-only
-    # merge reads the batch's months only.
-    rules[star.fact_name] = Rule("insert", tuple(fk), partition_by=(MONTH_KEY,) if star.date_dim else (), tier=2)
+    # year). A record is one fact: a corrected record replaces its fact, found
+    # by the record's id (the group keys are copies of it). Only the batch's
+    # months and those its records have left are read in full and rewritten.
+    # A fact without a record id is told apart by all its keys.
+    parts = (MONTH_KEY,) if star.date_dim else ()
+    if star.group_keys:
+        rules[star.fact_name] = Rule("upsert", (star.group_keys[0],), partition_by=parts, tier=2, else_keys=tuple(fact_keys(star)))
+    else:
+        rules[star.fact_name] = Rule("insert", tuple(fact_keys(star)), partition_by=parts, tier=2)
     return rules
 
 
-# Layout of published history tables: open rows (one per entity) in one
-# partition that each merge replaces, closed rows in append-only segments.
+# Layout of published history tables: the open rows (one per entity) of the
+# last merge, and for each merge a segment of the rows that it closed. Both
+# carry the merge's number, and one marker file commits both.
 ROW_STATE = "row_state"
 SEGMENT = "segment"
 HISTORY_PARTS = (ROW_STATE, SEGMENT)
+GENERATION = "_GENERATION-"
+
+
+def generation_mark(number: int) -> str:
+    return f"{GENERATION}{number:06d}"
+
+
+def committed_generation(store: TableStore, name: str) -> int:
+    numbers = [int(f[len(GENERATION):]) for f in store.marks(name, GENERATION)]
+    if not numbers:
+        raise ValueError(f"history {name} has no {GENERATION} marker (written in another layout): publish it anew")
+    return max(numbers)
 
 
 def _history_layout(df: DataFrame, end: str, segment: int) -> DataFrame:
-    is_open = F.col(end) == F.lit("")
-    return df.withColumns(
-        {
-            ROW_STATE: F.when(is_open, F.lit("open")).otherwise(F.lit("closed")),
-            SEGMENT: F.when(is_open, F.lit(0)).otherwise(F.lit(segment)),
-        }
-    )
+    state = F.when(F.col(end) == F.lit(""), F.lit("open")).otherwise(F.lit("closed"))
+    return df.withColumns({ROW_STATE: state, SEGMENT: F.lit(segment)})
+
+
+def read_history(store: TableStore, name: str) -> DataFrame:
+    """A history's rows: open ones of the last committed merge, closed ones up to it.
+
+    Whatever a merge has written without its marker is not seen.
+    """
+    last = committed_generation(store, name)
+    is_open = (F.col(ROW_STATE) == "open") & (F.col(SEGMENT) == last)
+    return store.read(name).where(is_open | ((F.col(ROW_STATE) == "closed") & (F.col(SEGMENT) <= last)))
+
+
+def publish_history(store: TableStore, name: str, df: DataFrame, rule: Rule) -> None:
+    """One merge into a published history, seen as a whole or not at all.
+
+    Only the open rows are read. Steps: remove what a cut-off run left (any
+    other number than the committed ones); append open and newly closed rows
+    under the next number; set its marker (the commit); remove the open rows
+    it replaces. A run cut off at any point can be repeated.
+    """
+    last = committed_generation(store, name)
+    clean_history(store, name, last)
+    open_rows = read_history(store, name).where(F.col(ROW_STATE) == "open").drop(*HISTORY_PARTS)
+    if not history.newer_rows(open_rows, df, rule.entity).take(1):
+        return  # a replay: nothing starts later than what is known
+    closed_now, open_after = history.merge_open_rows(open_rows, df, rule.entity, rule.cond)
+    rows = _history_layout(closed_now.unionByName(open_after), "end_date", last + 1)
+    store.append(name, rows, HISTORY_PARTS, rule.sort)
+    store.mark(name, generation_mark(last + 1))
+    clean_history(store, name, last + 1)
+
+
+def clean_history(store: TableStore, name: str, last: int) -> None:
+    """Remove segments after merge ``last`` and open rows of any other merge."""
+    for state in ("open", "closed"):
+        for v in store.partition_values(name, SEGMENT, under=f"{ROW_STATE}={state}"):
+            if int(v) > last or (state == "open" and int(v) != last):
+                store.drop_partition(name, HISTORY_PARTS, (state, int(v)))
+
+
+def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: DataFrame, rule: Rule) -> None:
+    """Update-all / insert-rest of a table in partitions.
+
+    A batch that changes no published row is appended (its new rows only).
+    Otherwise the partitions of the batch's rows, and those an updated row
+    has left, are rewritten. Where a row is published is found by the keys
+    alone. Rows whose key is unknown are added unless a row with the same
+    ``else_keys`` is there.
+    """
+    keys, parts = list(rule.keys), list(rule.partition_by)
+    src = stage(df.select(*current.columns), f"upsert-{name}")
+    unknown = without_key(keys)
+    keyed = src.where(~unknown)
+    merge.check_unique_keys(keyed, keys)
+    held = current.select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
+    vals = [tuple(r) for r in src.select(*parts).unionByName(held).distinct().collect()]
+    if not vals:
+        return
+    affected = current.where(partition_filter(parts, vals))
+    known, rest = affected.where(~unknown), affected.where(unknown)
+    added = merge.insert_only(rest, src.where(unknown), rule.else_keys or keys).select(*current.columns)
+    published = known.join(keyed.select(*keys), keys, "left_semi").select(*current.columns)
+    changed = stage(keyed.exceptAll(published), f"changed-{name}")
+    if not changed.join(published.select(*keys), keys, "left_semi").take(1):
+        store.append(name, changed.unionByName(added), parts, rule.sort)
+        return
+    kept = known.join(keyed.select(*keys), keys, "left_anti").select(*current.columns)
+    out = kept.unionByName(keyed).unionByName(rest).unionByName(added)
+    touched = store.spark.createDataFrame(vals, current.select(*parts).schema)
+    store.overwrite_partitions(name, out, parts, touched=touched, sort=rule.sort)
 
 
 PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
@@ -214,10 +305,12 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
     # rule.sort orders the rows of each file (a local sort per task, no global orderBy)
     if not store.exists(name):
         if rule.mode == "history":
-            store.create(name, _history_layout(df, "end_date", 1), HISTORY_PARTS, rule.sort)
+            store.create(name, _history_layout(df, "end_date", 1), HISTORY_PARTS, rule.sort, marks=(generation_mark(1),))
             return
-        src = df if rule.mode != "upsert" else merge.dedupe_source(df, rule.keys, "error")
-        store.create(name, src, rule.partition_by, rule.sort)
+        if rule.mode == "upsert":
+            unknown = without_key(rule.keys)
+            df = merge.dedupe_source(df.where(~unknown), rule.keys, "error").unionByName(df.where(unknown))
+        store.create(name, df, rule.partition_by, rule.sort)
         return
     if rule.mode == "static":
         return
@@ -229,37 +322,24 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
             vals = [tuple(r) for r in df.select(*rule.partition_by).distinct().collect()]
             if not vals:
                 return
-            if len(rule.partition_by) == 1:
-                col, lit = F.col(rule.partition_by[0]), [v[0] for v in vals if v[0] is not None]
-                keep = col.isin(lit) | (col.isNull() if any(v[0] is None for v in vals) else F.lit(False))
-            else:
-                keep = F.struct(*rule.partition_by).isin([F.struct(*[F.lit(x) for x in v]) for v in vals])
-            current = current.where(keep)
+            current = current.where(partition_filter(rule.partition_by, vals))
         new_rows = merge.insert_only(current, df, rule.keys).select(*current.columns)
         store.append(name, new_rows, rule.partition_by)
+    elif rule.mode == "upsert" and rule.partition_by:
+        upsert_partitions(store, name, current, df, rule)
     elif rule.mode == "upsert":
         # Only rows that are new or differ from their published version take
         # part; a batch that changes nothing (a replay, an overlapping
         # window) leaves the table as it is instead of rewriting it.
         src = stage(df.select(*current.columns), f"upsert-{name}")
         merge.check_unique_keys(src, rule.keys)
-        published = current.join(src.select(*rule.keys), list(rule.keys), "left_semi")
+        published = current.join(src.select(*rule.keys), list(rule.keys), "left_semi").select(*current.columns)
         changed = src.exceptAll(published)
         if not changed.take(1):
             return
         store.replace(name, merge.upsert_all(current, changed, rule.keys))
-        store.vacuum(name, keep=2)
     elif rule.mode == "history":
-        # Only the open rows are read and rewritten; the rows closed by this
-        # batch become a new append-only segment. One job writes both (a
-        # dynamic overwrite of the open partition plus a new partition).
-        open_rows = current.where(F.col(ROW_STATE) == "open").drop(*HISTORY_PARTS)
-        closed_now, open_after = history.merge_open_rows(open_rows, df, rule.entity, rule.cond)
-        segs = [int(v) for v in store.partition_values(name, SEGMENT, under=f"{ROW_STATE}=closed")]
-        seg = max(segs, default=0) + 1
-        out = _history_layout(closed_now, "end_date", seg).unionByName(_history_layout(open_after, "end_date", seg))
-        touched = store.spark.createDataFrame([("open", 0)], f"{ROW_STATE} string, {SEGMENT} int")
-        store.overwrite_partitions(name, out, HISTORY_PARTS, touched=touched, sort=rule.sort)
+        publish_history(store, name, df, rule)
     else:
         raise ValueError(rule.mode)
 
@@ -275,7 +355,10 @@ def publish_star(
     submitted as concurrent Spark jobs from ``parallel`` driver threads (the
     small dimension jobs would leave most of a cluster idle one by one); a
     tier starts only when the previous one has fully committed, so the fact
-    is written last."""
+    is written last.
+
+    SQL catalog entries made by ``register_tables`` are moved to the new
+    snapshots at the end, and only then are old snapshots removed."""
     order: list[str] = []
     scope = current_scope()
 
@@ -293,4 +376,7 @@ def publish_star(
             for n in tier:
                 publish_table(store, n, tables[n], rules[n])
         order += tier
+    repoint(store.spark, store, order)
+    for n in order:
+        store.vacuum(n, keep=2)
     return order

@@ -60,6 +60,11 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _hadoop_path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()] if fs.exists(p) else []
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -98,6 +103,16 @@ class TableStore:
         base = self.location(name) + (f"/{under}" if under else "")
         return [d.split("=", 1)[1] for d in list_dirs(self.spark, base) if d.startswith(f"{column}=")]
 
+    def marks(self, name: str, prefix: str) -> list[str]:
+        """Marker files of the current snapshot (hidden from readers by their underscore)."""
+        return [f for f in list_files(self.spark, self.location(name)) if f.startswith(prefix)]
+
+    def mark(self, name: str, mark: str) -> None:
+        touch(self.spark, f"{self.location(name)}/{mark}")
+
+    def drop_partition(self, name: str, cols: Sequence[str], values: Sequence) -> None:
+        remove_path(self.spark, f"{self.location(name)}/{partition_dir(cols, values)}")
+
     def partition_columns(self, name: str) -> list[str]:
         """Partition columns of the current snapshot, read off the folder names."""
         cols: list[str] = []
@@ -132,16 +147,23 @@ class TableStore:
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         w.parquet(path)
 
-    def create(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), sort: Sequence[str] = ()) -> None:
-        """First snapshot (S9 first run, S10 overwrite); rows of a file ordered by ``sort``."""
+    def create(
+        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), sort: Sequence[str] = (), marks: Sequence[str] = ()
+    ) -> None:
+        """First snapshot (S9 first run, S10 overwrite); rows of a file ordered by ``sort``.
+
+        ``marks`` are marker files set before the snapshot becomes current.
+        """
         v = (self.current_version(name) or 0) + 1
         self._write(df, self._snap_dir(name, v), "overwrite", partition_by, sort=sort)
+        for m in marks:
+            touch(self.spark, f"{self._snap_dir(name, v)}/{m}")
         touch(self.spark, f"{self._snap_dir(name, v)}/{COMMIT_MARK}")
 
-    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), sort: Sequence[str] = ()) -> None:
         if not self.exists(name):
-            return self.create(name, df, partition_by)
-        self._write(df, self.location(name), "append", partition_by)
+            return self.create(name, df, partition_by, sort)
+        self._write(df, self.location(name), "append", partition_by, sort=sort)
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Write the new content as the next snapshot."""

@@ -101,7 +101,8 @@ def test_batch_two(spark, env):
 
     names = build_and_publish(spark, raw, served, dt.date(2024, 1, 16))
     fact = served.read("fact_crash")
-    assert fact.count() == 9  # c9, c10 added; c7 kept (insert-only fact)
+    assert fact.count() == 9  # c9, c10 added; c7 corrected
+    assert fact.where("person_group_key = 'c7'").first().injuries_fatal == 1
     road = served.read("road_cond_mini_dim").join(served.read("dim_road_cond"), "road_cond_key")
     main = road.join(served.read("dim_location").where("street_name = 'MAIN ST'"), "location_id")
     got = sorted((r.roadway_surface_cond, r.start_date, r.end_date) for r in main.collect())
@@ -130,7 +131,7 @@ def test_batch_two(spark, env):
     assert abs(sum(r.share for r in reports["damage_distribution"].collect()) - 1.0) < 1e-9
     assert reports["top_primary_cause"].count() == 1
     assert reports["crashes_by_weather"].agg(F.sum("n_crashes")).first()[0] == 9
-    assert reports["fatal_by_grain"].where("grain = 'year'").first().fatal_injuries == 0
+    assert reports["fatal_by_grain"].where("grain = 'year'").first().fatal_injuries == 1  # c7 as corrected
     # road condition on each crash's day: main street was DRY on 01-10 (c1, c2),
     # WET on 01-11 (c3), DRY on 01-12 (c4), SNOW on 01-16 (c9); the late c10 row
     # was dropped, so PINE ST keeps DRY on 01-14 (c8, c10)
@@ -143,7 +144,8 @@ def test_publish_rules_cover_all_tables():
     rules = publish_rules(crash_star())
     assert len(rules) == 18
     assert rules["dim_vehicle"].mode == "upsert" and rules["road_cond_mini_dim"].mode == "history"
-    assert len(rules["fact_crash"].keys) == 11
+    assert rules["fact_crash"].mode == "upsert" and rules["fact_crash"].keys == ("person_group_key",)
+    assert len(rules["fact_crash"].else_keys) == 11
 
 
 def test_job_entry(spark, capsys):
