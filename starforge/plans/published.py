@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.calendar import window_extract
 from ..session import scratch_path, stage, staging
 from ..sources.catalog import register_tables
-from ..sources.feeds import FeedSpec
+from ..sources.feeds import PARTITION_COLS, FeedSpec, prepare
 from ..sources.store import TableStore
 from ..streaming.ingest import ingest_stream
-from .analogues import EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, customer_locations
+from .analogues import AS_OF, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, WINDOW_DAYS, customer_locations
+from .oracle import key, part
 from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
 from .tables import table
 
@@ -75,45 +77,157 @@ def orders_star() -> Star:
     )
 
 
+# What the first batch holds of the overlap's orders, before they are corrected.
+EARLY_PRIORITY = "0-UNKNOWN"
+# Price rise of the parts that the second batch sells.
+PRICE_RISE = 5
+
+
 def orders_frames(spark: SparkSession, sf: str, lo: str | None, hi: str | None) -> dict[str, DataFrame]:
+    """One batch. Batches differ: the first holds the overlap's orders with
+    another priority and price (corrected by the second), the second raises
+    the price of the parts it sells."""
     o = table(spark, sf, "orders")
+    rise = F.lit(0)
     if lo:
         o = o.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+        rise = F.lit(PRICE_RISE)
     if hi:
         o = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+        early = F.col("o_orderdate") >= F.lit(ORDER_OVERLAP).cast("timestamp_ntz")
+        o = o.withColumns(
+            {
+                "o_orderpriority": F.when(early, F.lit(EARLY_PRIORITY)).otherwise(F.col("o_orderpriority")),
+                "o_totalprice": F.when(early, F.lit(0.0)).otherwise(F.col("o_totalprice")),
+            }
+        )
     loc = customer_locations(spark, sf)
     orders = o.join(loc, o.o_custkey == loc.c_custkey, "left").drop("c_custkey")
     li = table(spark, sf, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     sold = li.select(F.col("l_partkey").alias("p_partkey")).distinct()
     parts = table(spark, sf, "part").join(sold, "p_partkey", "left_semi")
+    parts = parts.withColumn("p_retailprice", F.col("p_retailprice") + rise)
     return {"orders": stage(orders, "extract-orders"), "lineitem": li, "parts": parts}
 
 
-def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:
-    """Two overlapping batches published, the second twice; row count per
-    published table, read through the SQL catalog."""
+STAR_DB = "star_orders"
+
+
+def publish_orders(spark: SparkSession, sf: str) -> tuple[TableStore, list[str]]:
+    """Two overlapping batches published, the second twice."""
     star = orders_star()
     rules = publish_rules(star)
     store = TableStore(spark, scratch_path(spark, "served"))
     names: list[str] = []
-    for lo, hi in [(None, ORDER_SPLIT), (ORDER_OVERLAP, None), (ORDER_OVERLAP, None)]:
+    for i, (lo, hi) in enumerate([(None, ORDER_SPLIT), (ORDER_OVERLAP, None), (ORDER_OVERLAP, None)]):
         with staging(spark):
             tables = build_star(spark, star, orders_frames(spark, sf, lo, hi))
             names = publish_star(store, tables, rules, star.fact_name)
-    db = "star_orders"
-    register_tables(spark, store, db, names)
-    counts = [spark.sql(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {db}.{n}") for n in names]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+        if i == 0:
+            register_tables(spark, store, STAR_DB, names)  # later publishes move the entries
+    return store, names
+
+
+# Columns of each published table that the content hash covers (layout columns are not content).
+CONTENT = {
+    "dim_location": ("location_id", "n_name", "r_name", "c_mktsegment"),
+    "dim_priority": ("priority_id", "o_orderpriority"),
+    "dim_status": ("status_id", "o_orderstatus"),
+    "dim_date": ("date_id", "day", "dayofweek", "month", "week", "year", "quarter"),
+    "dim_time": ("time_id", "hour", "minute", "second"),
+    "dim_part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "status_mini_dim": ("location_id", "status_id", "start_date", "end_date"),
+    "bridge_part_group": ("part_group_key", "part_id"),
+    "fact_orders": ("part_group_key", "date_id", "time_id", "location_id", "priority_id", "status_id", "month_key", "o_totalprice"),
+}
+# Number columns, compared in hundredths.
+MONEY = ("p_retailprice", "o_totalprice")
+
+
+def q_publish_star(spark: SparkSession, sf: str) -> DataFrame:
+    """Each published table, read through the SQL catalog: row count and a sum
+    of row hashes over every column (48 bits of each row's sha-256), which
+    does not depend on the rows' order."""
+    _, names = publish_orders(spark, sf)
+    out = None
+    for n in names:
+        cols = [F.round(F.col(c) * 100).cast("long") if c in MONEY else F.col(c) for c in CONTENT[n]]
+        row = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in cols])
+        part = F.conv(F.substring(F.sha2(row, 256), 1, 12), 16, 10).cast("decimal(38,0)")
+        one = spark.table(f"{STAR_DB}.{n}").agg(
+            F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(part).cast("string").alias("content_sum")
+        )
+        out = one if out is None else out.unionByName(one)
     return out
 
 
+def q_publish_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The published fact's rows: one per order, as corrected by the later batch."""
+    publish_orders(spark, sf)
+    return spark.table(f"{STAR_DB}.fact_orders").select("part_group_key", "priority_id", "status_id", "month_key", "o_totalprice")
+
+
+def q_raw_window_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """``events`` as a raw table partitioned by day, and its rolling window."""
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    ev = table(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    store.create("raw_events", prepare(ev, EVENT_FEED), PARTITION_COLS)
+    return window_extract(store.read("raw_events"), "ts", AS_OF, WINDOW_DAYS, drop=("props",), day_parts=PARTITION_COLS)
+
+
 PUBLISHED = {
     "feed_ingest": q_feed_ingest,
     "publish_star": q_publish_star,
+    "publish_fact": q_publish_fact,
+    "raw_window_extract": q_raw_window_extract,
 }
 
+def _published_sql() -> str:
+    """The published tables computed in one go from the last version of every record."""
+    overlap, split = f"TIMESTAMP '{ORDER_OVERLAP}'", f"TIMESTAMP '{ORDER_SPLIT}'"
+    day = ("day", "dayofweek", "month", "week", "year", "quarter")
+    dates = ", ".join(f"{part(p, 'o_orderdate')} AS {p}" for p in day)
+    hms = key("printf('%02d%02d%02d', hour(t), minute(t), second(t))")
+    late = f"p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= {overlap}))"
+    early = f"SELECT '{EARLY_PRIORITY}' AS p FROM orders WHERE o_orderdate >= {overlap} AND o_orderdate < {split}"
+    location = key("n_name", "r_name", "c_mktsegment")
+    rows = {
+        "dim_location": f"SELECT DISTINCT {location} AS k, n_name, r_name, c_mktsegment FROM o",
+        "dim_priority": f"SELECT {key('p')} AS k, p FROM (SELECT o_orderpriority AS p FROM orders UNION {early})",
+        "dim_status": f"SELECT DISTINCT {key('o_orderstatus')} AS k, o_orderstatus FROM orders",
+        "dim_date": f"SELECT {key(*day)} AS k, * FROM (SELECT DISTINCT {dates} FROM orders)",
+        "dim_time": f"SELECT {hms} AS k, hour(t), minute(t), second(t) FROM "
+        "(SELECT unnest(generate_series(TIMESTAMP '2000-01-01', TIMESTAMP '2000-01-01 23:59:59', INTERVAL 1 SECOND)) AS t)",
+        "dim_part": f"SELECT p_partkey, p_name, p_brand, p_type, p_size, "
+        f"CAST(round((p_retailprice + CASE WHEN {late} THEN {PRICE_RISE} ELSE 0 END) * 100) AS BIGINT) FROM part "
+        "WHERE p_partkey IN (SELECT l_partkey FROM lineitem)",
+        "status_mini_dim": f"SELECT {location}, {key('o_orderstatus')}, CAST(CAST(o_orderdate AS DATE) AS VARCHAR), "
+        f"coalesce(CAST(CAST(lead(o_orderdate) OVER (PARTITION BY n_name, r_name, c_mktsegment "
+        "ORDER BY o_orderdate, o_orderkey) AS DATE) AS VARCHAR), '') FROM o",
+        "bridge_part_group": "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem",
+        "fact_orders": f"SELECT o_orderkey, {key(*[part(p, 'o_orderdate') for p in day])}, "
+        f"{key(PRINTF_HMS)}, {location}, {key('o_orderpriority')}, {key('o_orderstatus')}, "
+        "year(o_orderdate) * 100 + month(o_orderdate), CAST(round(o_totalprice * 100) AS BIGINT) FROM o",
+    }
+    hashed = "CAST('0x' || substr(sha256({row}), 1, 12) AS BIGINT)"
+    out = []
+    for name, sql in rows.items():
+        cols = [f"c{i}" for i in range(len(CONTENT[name]))]
+        row = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols) + ")"
+        out.append(
+            f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({hashed.format(row=row)}) AS VARCHAR) AS content_sum "
+            f"FROM ({sql}) AS x({', '.join(cols)})"
+        )
+    locations = f"""loc AS (SELECT c.c_custkey, n.n_name, r.r_name, c.c_mktsegment
+                     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                     JOIN region r ON n.n_regionkey = r.r_regionkey),
+             o AS (SELECT orders.*, loc.n_name, loc.r_name, loc.c_mktsegment
+                   FROM orders LEFT JOIN loc ON o_custkey = loc.c_custkey)"""
+    return f"WITH {locations}\n" + "\nUNION ALL\n".join(out)
+
+
+PRINTF_HMS = "printf('%02d%02d%02d', hour(o_orderdate), minute(o_orderdate), second(o_orderdate))"
+
 SQL = {
     "feed_ingest": """
         SELECT event_id, user_id, event_type, value,
@@ -121,20 +235,15 @@ SQL = {
                CAST(dayofmonth(ts) AS INTEGER) AS day
         FROM events
     """,
-    "publish_star": """
-        WITH loc AS (SELECT c.c_custkey, n.n_name, r.r_name, c.c_mktsegment
-                     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-                     JOIN region r ON n.n_regionkey = r.r_regionkey),
-             o AS (SELECT o.*, loc.n_name, loc.r_name, loc.c_mktsegment
-                   FROM orders o LEFT JOIN loc ON o.o_custkey = loc.c_custkey)
-        SELECT 'dim_location' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT n_name, r_name, c_mktsegment FROM o)
-        UNION ALL SELECT 'dim_priority', count(DISTINCT o_orderpriority) FROM orders
-        UNION ALL SELECT 'dim_status', count(DISTINCT o_orderstatus) FROM orders
-        UNION ALL SELECT 'dim_date', count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders
-        UNION ALL SELECT 'dim_time', 86400
-        UNION ALL SELECT 'dim_part', count(DISTINCT l_partkey) FROM lineitem
-        UNION ALL SELECT 'status_mini_dim', count(*) FROM orders
-        UNION ALL SELECT 'bridge_part_group', count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
-        UNION ALL SELECT 'fact_orders', count(*) FROM orders
+    "publish_star": _published_sql(),
+    "publish_fact": f"""
+        SELECT o_orderkey AS part_group_key, {key('o_orderpriority')} AS priority_id, {key('o_orderstatus')} AS status_id,
+               CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key, o_totalprice
+        FROM orders
+    """,
+    "raw_window_extract": f"""
+        SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(dayofmonth(ts) AS INTEGER) AS day
+        FROM events WHERE ts >= DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AND ts < DATE '{AS_OF}' + INTERVAL 1 DAY
     """,
 }
