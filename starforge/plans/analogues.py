@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_parts, date_window, week_year, with_date_parts
-from ..functions.clean import fill_strings, not_equal
+from ..functions.clean import DIM_NULL, fill_strings, filled, not_equal
 from ..functions.keys import surrogate_key
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge, reports
@@ -102,14 +102,16 @@ def value_bucket(c: str = "value"):
     return F.floor(F.col(c) / 100).cast("int")
 
 
-def latest_per_user(events: DataFrame) -> DataFrame:
-    row = F.max_by(F.struct("ts", "event_type", "value"), "ts")
-    agg = events.groupBy("user_id").agg(row.alias("r"))
+def one_per_user_day(events: DataFrame, pick=F.max_by) -> DataFrame:
+    """One event per user and day: the last (``max_by``) or first (``min_by``)."""
+    row = pick(F.struct("ts", "event_type", "value"), "ts")
+    agg = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(row.alias("r"))
     return agg.select(
         "user_id",
-        F.col("r.ts").alias("last_ts"),
-        F.col("r.event_type").alias("last_event_type"),
-        F.col("r.value").alias("last_value"),
+        "day",
+        F.col("r.ts").alias("at_ts"),
+        F.col("r.event_type").alias("at_type"),
+        F.col("r.value").alias("at_value"),
     )
 
 
@@ -189,6 +191,12 @@ def q_entity_dim(spark, sf):
     return dims.entity_dim(sold_parts, part.columns, "p_partkey")
 
 
+def q_entity_dim_latest(spark, sf):
+    """Customers as their latest order describes them (many rows per key)."""
+    o = table(spark, sf, "orders")
+    return dims.entity_dim(o, ["o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"], "o_custkey", latest_by="o_orderdate")
+
+
 def q_bridge(spark, sf):
     return order_bridge(table(spark, sf, "lineitem"))
 
@@ -217,6 +225,22 @@ def q_fact_lookup_join(spark, sf):
     )
 
 
+def q_fact_lookup_nulls(spark, sf):
+    """Lookups of a null attribute: kept null in one dimension, filled in the
+    other, whose attribute is renamed; no order is lost."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("o_orderpriority"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
+    )
+    priority = dims.value_dim(o, ["o_orderpriority"], "priority_id", rename={"o_orderpriority": "priority"}, bits=BITS)
+    status = dims.value_dim(o, ["o_orderstatus"], "status_id", fill=None, bits=BITS)
+    src = o.withColumn("o_orderpriority", filled("o_orderpriority", DIM_NULL))
+    f = fact.lookup(src, priority, [("o_orderpriority", "priority")], ["priority_id"])
+    f = fact.lookup(f, status, ["o_orderstatus"], ["status_id"])
+    return f.select("o_orderkey", "priority_id", "status_id", "o_orderpriority", "o_orderstatus")
+
+
 def q_history_intervals(spark, sf):
     return event_history(table(spark, sf, "events"))
 
@@ -250,8 +274,9 @@ def q_history_merge_reference(spark, sf):
 
 
 def q_point_in_time_lookup(spark, sf):
+    """Events before the history's first rows find none."""
     ev = table(spark, sf, "events")
-    hist = event_history(ev)
+    hist = event_history(ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")))
     probes = ev.select("event_id", "user_id", "ts")
     return history.point_in_time(probes, "user_id", "ts", "event_id", hist, "user_id", "cond_key")
 
@@ -264,17 +289,19 @@ def q_merge_insert_only(spark, sf):
 
 
 def q_merge_upsert_all(spark, sf):
+    """Days before the overlap stay, those in it change (last event -> first event), later ones are new."""
     ev = table(spark, sf, "events")
-    target = latest_per_user(ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")))
-    source = latest_per_user(ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")))
-    return merge.upsert_all(target, source, ["user_id"])
+    target = one_per_user_day(ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")))
+    source = one_per_user_day(ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")), F.min_by)
+    return merge.upsert_all(target, source, ["user_id", "day"])
 
 
 def q_merge_conditional(spark, sf):
-    ev = table(spark, sf, "events")
-    target = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")).groupBy("user_id").agg(F.max("ts").alias("mark_ts"))
-    source = ev.where(F.col("event_type") == "purchase").groupBy("user_id").agg(F.max("ts").alias("mark_ts"))
-    return merge.merge(target, source, ["user_id"], update=["mark_ts"], condition="b.mark_ts > a.mark_ts")
+    """Marks per user and hour of day: moved forward, left as they are, or new."""
+    ev = table(spark, sf, "events").withColumn("hour", F.hour("ts"))
+    target = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")).groupBy("user_id", "hour").agg(F.max("ts").alias("mark_ts"))
+    source = ev.where(F.col("event_type") == "purchase").groupBy("user_id", "hour").agg(F.max("ts").alias("mark_ts"))
+    return merge.merge(target, source, ["user_id", "hour"], update=["mark_ts"], condition="b.mark_ts > a.mark_ts")
 
 
 def q_merge_partial_update(spark, sf):
@@ -397,9 +424,11 @@ QUERIES = {
     "date_dim": q_date_dim,
     "time_lookup": q_time_lookup,
     "entity_dim": q_entity_dim,
+    "entity_dim_latest": q_entity_dim_latest,
     "bridge": q_bridge,
     "fact_lookup": q_fact_lookup,
     "fact_lookup_join": q_fact_lookup_join,
+    "fact_lookup_nulls": q_fact_lookup_nulls,
     "history_intervals": q_history_intervals,
     "history_intervals_second": q_history_intervals_second,
     "history_compact": q_history_compact,

@@ -81,11 +81,11 @@ def history_sql(cond: str = "event_type", where: str = "") -> str:
 BUCKET = "CAST(floor(value / 100) AS INTEGER)"
 
 
-def latest_sql(where: str) -> str:
+def one_per_user_day(where: str, pick: str) -> str:
     return f"""
-    SELECT user_id, arg_max(ts, ts) AS last_ts, arg_max(event_type, ts) AS last_event_type,
-           arg_max(value, ts) AS last_value
-    FROM events {where} GROUP BY user_id
+    SELECT user_id, CAST(ts AS DATE) AS day, {pick}(ts, ts) AS at_ts, {pick}(event_type, ts) AS at_type,
+           {pick}(value, ts) AS at_value
+    FROM events {where} GROUP BY user_id, CAST(ts AS DATE)
     """
 
 
@@ -162,9 +162,19 @@ SQL: dict[str, str] = {
         SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
         WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
     """,
+    "entity_dim_latest": """
+        SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey
+            ORDER BY o_orderdate DESC, o_orderstatus DESC, o_orderpriority DESC, o_totalprice DESC) = 1
+    """,
     "bridge": bridge_sql(""),
     "fact_lookup": FACT,
     "fact_lookup_join": FACT,
+    "fact_lookup_nulls": f"""
+        SELECT o_orderkey, coalesce(p, 'empty') AS o_orderpriority, s AS o_orderstatus,
+               {key("coalesce(p, 'empty')")} AS priority_id, {key('s')} AS status_id
+        FROM (SELECT o_orderkey, nullif(o_orderpriority, '1-URGENT') AS p, nullif(o_orderstatus, 'P') AS s FROM orders)
+    """,
     "history_intervals": history_sql(),
     "history_intervals_second": history_sql(BUCKET),
     "history_compact": f"""
@@ -196,7 +206,7 @@ SQL: dict[str, str] = {
         SELECT user_id, cond_key, start_date, end_date FROM kept
     """,
     "point_in_time_lookup": f"""
-        WITH h AS ({history_sql()})
+        WITH h AS ({history_sql(where=f"WHERE ts >= TIMESTAMP '{EVENT_OVERLAP}'")})
         SELECT e.event_id, e.user_id, e.ts, h.cond_key, h.start_date, h.end_date
         FROM events e LEFT JOIN h
           ON h.user_id = e.user_id
@@ -209,19 +219,19 @@ SQL: dict[str, str] = {
         {bridge_sql(f"WHERE l_shipdate >= TIMESTAMP '{SHIP_OVERLAP}'")}
     """,
     "merge_upsert_all": f"""
-        WITH t AS ({latest_sql(f"WHERE ts < TIMESTAMP '{EVENT_SPLIT}'")}),
-             s AS ({latest_sql(f"WHERE ts >= TIMESTAMP '{EVENT_OVERLAP}'")})
-        SELECT * FROM t WHERE user_id NOT IN (SELECT user_id FROM s)
+        WITH t AS ({one_per_user_day(f"WHERE ts < TIMESTAMP '{EVENT_SPLIT}'", 'arg_max')}),
+             s AS ({one_per_user_day(f"WHERE ts >= TIMESTAMP '{EVENT_OVERLAP}'", 'arg_min')})
+        SELECT * FROM t WHERE (user_id, day) NOT IN (SELECT user_id, day FROM s)
         UNION ALL SELECT * FROM s
     """,
     "merge_conditional": f"""
-        WITH t AS (SELECT user_id, max(ts) AS mark_ts FROM events WHERE ts < TIMESTAMP '{EVENT_SPLIT}' GROUP BY user_id),
-             s AS (SELECT user_id, max(ts) AS mark_ts FROM events WHERE event_type = 'purchase' GROUP BY user_id)
-        SELECT coalesce(t.user_id, s.user_id) AS user_id,
+        WITH t AS (SELECT user_id, hour(ts) AS h, max(ts) AS mark_ts FROM events WHERE ts < TIMESTAMP '{EVENT_SPLIT}' GROUP BY ALL),
+             s AS (SELECT user_id, hour(ts) AS h, max(ts) AS mark_ts FROM events WHERE event_type = 'purchase' GROUP BY ALL)
+        SELECT coalesce(t.user_id, s.user_id) AS user_id, CAST(coalesce(t.h, s.h) AS INTEGER) AS hour,
                CASE WHEN t.user_id IS NULL THEN s.mark_ts
                     WHEN s.user_id IS NOT NULL AND s.mark_ts > t.mark_ts THEN s.mark_ts
                     ELSE t.mark_ts END AS mark_ts
-        FROM t FULL OUTER JOIN s ON t.user_id = s.user_id
+        FROM t FULL OUTER JOIN s ON t.user_id = s.user_id AND t.h = s.h
     """,
     "merge_partial_update": f"""
         WITH t AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders
