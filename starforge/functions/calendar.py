@@ -29,6 +29,12 @@ def parse_timestamp(c: Column | str) -> Column:
     return F.try_to_timestamp(_col(c).cast("string"))
 
 
+def event_time(df: DataFrame, ts: str) -> Column:
+    """The column as a time: typed ones as they are, anything else parsed."""
+    typed = isinstance(df.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType))
+    return F.col(ts) if typed else parse_timestamp(ts)
+
+
 def date_parts(ts: Column | str) -> dict[str, Column]:
     """The nine parts of a timestamp (Sunday = 1 for dayofweek, ISO week)."""
     t = _col(ts)

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 from ..functions.calendar import window_extract
 from ..session import scratch_path, stage, staging
 from ..sources.catalog import register_tables
-from ..sources.feeds import PARTITION_COLS, FeedSpec, prepare
+from ..sources.feeds import PARTITION_COLS, FeedSpec, batch_cutoff, prepare
 from ..sources.store import TableStore
+from ..sources.watermark import MARKS_TABLE, batch_mark, publish_mark, read_mark
 from ..streaming.ingest import ingest_stream
 from .analogues import AS_OF, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, WINDOW_DAYS, customer_locations
 from .oracle import key, part
@@ -39,22 +40,52 @@ EVENT_FEED = FeedSpec(
 )
 
 
-def q_feed_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """``events`` landed as JSON in two overlapping batches, each ingested by
-    an availableNow file stream that upserts into the raw table."""
+def ingest_events(spark: SparkSession, sf: str) -> TableStore:
+    """``events`` landed as JSON in overlapping batches, ingested by availableNow
+    file streams. The first batch holds other values for the overlap; of the
+    second, the overlap and all later events are landed twice, the last time
+    with the values that count."""
     ev = table(spark, sf, "events")
     landing = scratch_path(spark, "landing", "events")
     store = TableStore(spark, scratch_path(spark, "raw"))
     ckpt = scratch_path(spark, "streams", "events")
-    batches = [
-        ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")),
-        ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")),
+    late = F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz")
+    first = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz"))
+    landings = [
+        [first.withColumn("value", F.when(late, -F.col("value") - 1).otherwise(F.col("value")))],
+        [ev.where(late).withColumns({"value": F.col("value") + 1, "event_type": F.lit("draft")}), ev.where(late)],
     ]
-    for i, b in enumerate(batches):
-        b.write.mode("overwrite").json(f"{landing}/batch-{i}")
+    for i, versions in enumerate(landings):
+        for j, v in enumerate(versions):
+            # as text: the JSON writer would cut microseconds
+            v.withColumn("ts", F.col("ts").cast("string")).write.mode("overwrite").json(f"{landing}/batch-{i}-{j}")
         ingest_stream(spark, EVENT_FEED, f"{landing}/*", store, max_files_per_trigger=4, checkpoint=ckpt)
-    raw = store.read(EVENT_FEED.name)
-    return raw.select("event_id", "user_id", "event_type", "value", "year", "month", "day")
+    return store
+
+
+def q_feed_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table after all landings: every event once, as landed last."""
+    raw = ingest_events(spark, sf).read(EVENT_FEED.name)
+    return raw.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*EVENT_FEED.schema.names, *PARTITION_COLS)
+
+
+def q_feed_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """The high-water marks after all landings."""
+    marks = ingest_events(spark, sf).read(MARKS_TABLE)
+    return marks.withColumn("WatermarkValue", F.col("WatermarkValue").cast("timestamp_ntz"))
+
+
+CUTOFF_DAYS = 2
+
+
+def q_feed_cutoff(spark: SparkSession, sf: str) -> DataFrame:
+    """What the next landing holds: events after the stored mark less a look-back."""
+    ev = table(spark, sf, "events")
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    first = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz"))
+    publish_mark(store, batch_mark(first, EVENT_FEED.date_col, EVENT_FEED.mark_name))
+    cutoff = batch_cutoff(read_mark(spark, store, EVENT_FEED.mark_name), CUTOFF_DAYS)
+    return prepare(ev, EVENT_FEED, cutoff).select("event_id", "ts", *PARTITION_COLS)
 
 
 def orders_star() -> Star:
@@ -177,6 +208,8 @@ def q_raw_window_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 PUBLISHED = {
     "feed_ingest": q_feed_ingest,
+    "feed_marks": q_feed_marks,
+    "feed_cutoff": q_feed_cutoff,
     "publish_star": q_publish_star,
     "publish_fact": q_publish_fact,
     "raw_window_extract": q_raw_window_extract,
@@ -230,11 +263,18 @@ PRINTF_HMS = "printf('%02d%02d%02d', hour(o_orderdate), minute(o_orderdate), sec
 
 SQL = {
     "feed_ingest": """
-        SELECT event_id, user_id, event_type, value,
+        SELECT event_id, ts, user_id, event_type, value, props,
                CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
                CAST(dayofmonth(ts) AS INTEGER) AS day
         FROM events
     """,
+    "feed_marks": """SELECT 'Events' AS "TableName", max(ts) AS "WatermarkValue" FROM events""",
+    "feed_cutoff": f"""
+        SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(dayofmonth(ts) AS INTEGER) AS day
+        FROM events
+        WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{EVENT_SPLIT}') - INTERVAL {CUTOFF_DAYS} DAY
+    """,
     "publish_star": _published_sql(),
     "publish_fact": f"""
         SELECT o_orderkey AS part_group_key, {key('o_orderpriority')} AS priority_id, {key('o_orderstatus')} AS status_id,

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import parse_timestamp
+from ..functions.calendar import event_time
 from ..functions.clean import DIM_NULL
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge
@@ -95,7 +95,8 @@ MONTH_KEY = "month_key"
 def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Lazy tables of the star. ``frames[star.main]`` is read by every
     dimension, the histories and the fact: pass a staged frame."""
-    main = frames[star.main].withColumn(TS, parse_timestamp(star.ts))
+    main = frames[star.main]
+    main = main.withColumn(TS, event_time(main, star.ts))
     b, c = star.bits, star.compat
     out: dict[str, DataFrame] = {}
     for d in star.value_dims:
@@ -109,7 +110,7 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
     for br in star.bridges:
         src, carry = frames[br.source], ()
         if br.partition_ts:
-            t = parse_timestamp(br.partition_ts)
+            t = event_time(src, br.partition_ts)
             src, carry = src.withColumn(MONTH_KEY, (F.year(t) * 100 + F.month(t)).cast("int")), (MONTH_KEY,)
         out[br.name] = bridge_ops.bridge(src, br.group_col, br.member_col, br.group_key, br.member_key, carry=carry)
     for h in star.histories:
