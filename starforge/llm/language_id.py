@@ -28,7 +28,7 @@ from .common import SLICE_BYTES, crc_split, slices, sums
 SIZES = (3, 4)
 SLOT_BITS = 20
 PROBES = 3
-# Learning: rows per language at most (about; drawn by the text's hash), how
+# Learning: distinct texts per language at most (about; drawn by the text's hash), how
 # often an n-gram must occur, and how frequent it must be against the
 # language in which it is most frequent.
 SAMPLE_ROWS = 2000
@@ -92,19 +92,20 @@ def probes(hashes: np.ndarray) -> list[np.ndarray]:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The filters of every language of ``labelled`` (rows without text or language are ignored).
 
-    About ``sample_rows`` rows per language at most are read for n-grams; with
-    no labelled row the model has no languages.
+    About ``sample_rows`` distinct texts per language at most are read for
+    n-grams, each once however many copies it has; with no labelled row the
+    model has no languages.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    held = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    held = {r["lang"]: r["count"] for r in rows.select("lang", "hash").distinct().groupBy("lang").count().collect()}  # distinct texts; one row per language
     langs = sorted(held)
     if not langs:
         return Model([], np.zeros(1 << SLOT_BITS, np.uint8), np.zeros(0))
-    place = F.col("lang")
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    keep = F.lit(False)
-    for name in langs:
-        keep = keep | ((place == name) & (draw < min(1 << 20, (sample_rows << 20) // held[name])))
+    draw = F.shiftrightunsigned("hash", 1)
+    limits = [(name, min(1 << 63, max(1, (sample_rows << 63) // held[name])) - 1) for name in langs]
+    limits = labelled.sparkSession.createDataFrame(limits, "lang string, last long")
+    drawn = rows.join(F.broadcast(limits), "lang").where(draw <= F.col("last")).dropDuplicates(["lang", "hash"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,14 +117,17 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_ro
                     values, n = np.unique(hashes[own == name], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(values)), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
-    grams = rows.where(keep).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    grams = drawn.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = grams.groupBy("lang").agg(F.sum("n").alias("n"), F.max("n").alias("top")).collect()
+    totals = {r["lang"]: r["n"] for r in counted}
+    least = {r["lang"]: min(MIN_COUNT, held[r["lang"]], r["top"]) for r in counted}  # a language of one text has a filter too
     bits = {name: 1 << i for i, name in enumerate(langs)}
     word = lambda name: F.when(F.col("lang") == name, F.lit(bits[name] - (1 << 64) if bits[name] >> 63 else bits[name]))
     share = F.coalesce(*[F.when(F.col("lang") == name, F.col("n") / F.lit(totals[name])) for name in langs if name in totals], F.lit(0.0))
+    enough = F.coalesce(*[F.when(F.col("lang") == name, F.lit(least[name])) for name in langs if name in least], F.lit(MIN_COUNT))
     by_gram = grams.withColumn("share", share)
     most = by_gram.groupBy("gram").agg(F.max("share").alias("most"))
-    kept = by_gram.join(most, "gram").where((F.col("n") >= F.least(F.lit(MIN_COUNT), F.lit(min(held.values())))) & (F.col("share") >= MIN_SHARE * F.col("most")))
+    kept = by_gram.join(most, "gram").where((F.col("n") >= enough) & (F.col("share") >= MIN_SHARE * F.col("most")))
     if len(langs) > 64:
         raise ValueError("one table holds 64 languages; learn them in groups")
     slots = F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * j).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for j in range(PROBES)])

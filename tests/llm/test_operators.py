@@ -184,6 +184,18 @@ def test_bloom_shares_are_corrected(spark):
     assert got[0].argmax() == 0 and got[1].argmax() == 1 and got[0, 0] > 0.9 and got[0, 1] < 0.1
 
 
+def test_language_sample_counts_distinct_texts(spark):
+    """A language of few texts in many copies keeps its filter; a hot text counts once."""
+    rows = [("aa", f"aba bab abab aab{c} " * 5) for c in "cdefg" for _ in range(4000)] + [("bb", f"xyz zyx xyzzy {a}{b}q " * 5) for a in "klmnopqrst" for b in "klmnopqrst"]
+    rows += [("bb", "wuw uwu wuuw " * 50)] * 3000
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    model = language_id.learn(labelled, sample_rows=40)
+    got, _ = language_id.shares(model, [b"abab bab", b"xyz zyx"])
+    assert got[0].argmax() == 0 and got[0, 0] > 0.9 and got[1].argmax() == 1 and got[1, 1] > 0.9
+    once = language_id.learn(labelled.distinct(), sample_rows=40)
+    assert np.array_equal(model.table, once.table)
+
+
 # SimHash near duplicates
 
 
