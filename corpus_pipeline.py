@@ -59,7 +59,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix's pieces packed into sequences."""
-    return pack_documents(docs)
+    return pack_documents(docs, special=True)
 
 
 STAGES = [

@@ -23,6 +23,7 @@ number does not depend on the input's size, are broadcast.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -47,6 +48,18 @@ CHUNK_ROWS = 10_000  # pieces of one length that one task puts in order
 CACHE_WORDS = 600_000  # words whose ids a worker remembers
 END = b"\0\0\0\0"  # id 0, after every document
 
+@lru_cache(2)
+def added_tokens(path: str) -> dict[str, int]:
+    """The file's special tokens and their ids."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    special = {t["content"]: t["id"] for t in added if t.get("special")}
+    odd = [t["content"] for t in added if t.get("special") and (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])]
+    if odd:
+        raise ValueError(f"special tokens that take more than their own text: {odd}")
+    return special
+
+
 @lru_cache(2)
 def encoder(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizers file (its ids are the merge ranks)."""
@@ -103,15 +116,42 @@ def token_ids(text: str, path: str) -> bytes:
     return array("I", known.encode(first)).tobytes() + b"".join(ids) + END
 
 
+@lru_cache(2)
+def special_split(path: str) -> re.Pattern | None:
+    """A pattern that splits a text at the file's special tokens and keeps them (longer ones first)."""
+    names = sorted(added_tokens(path), key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+
+
+def special_token_ids(text: str, path: str) -> bytes:
+    """``token_ids``, but a special token inside the text is its own id, as the tokenizers library has it by default."""
+    split = special_split(path)
+    if split is None or not split.search(text):
+        return token_ids(text, path)
+    ids = added_tokens(path)
+    out = []
+    for part in split.split(text):
+        if part in ids:
+            out.append(array("I", [ids[part]]).tobytes())
+        elif part:
+            out.append(token_ids(part, path)[: -len(END)])
+    return b"".join(out) + END
+
+
 def cuts(n: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole if it fits, else a shorter first piece and full ones."""
     first = n % most or most
     return [(0, first)] + [(s, most) for s in range(first, n, most)] if n > most else [(0, n)]
 
 
-def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): a row per piece; null text: empty."""
+def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS, with_ids: bool = False, special: bool = False) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids]): a row per piece; null text: empty.
+
+    ``special``: the file's special tokens inside a text are their own ids,
+    else they are plain text.
+    """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
+    encode = special_token_ids if special else token_ids
 
     @F.arrow_udf("array<struct<start: bigint, length: bigint, crc: bigint, ids: binary>>")
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -120,7 +160,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
             rows = []
             for _, held in slices(texts):
                 for raw in held:
-                    ids = token_ids(raw.decode("utf-8", "replace"), path)
+                    ids = encode(raw.decode("utf-8", "replace"), path)
                     own = []
                     for start, n in cuts(len(ids) // 4, most):
                         part = ids[4 * start : 4 * (start + n)]
@@ -301,18 +341,19 @@ def best_fit_pack(cut: DataFrame, most: int = SEQUENCE_TOKENS, small: int = SMAL
     return out.select(*columns, F.col("sequence_id").cast("long").alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS) -> DataFrame:
+def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS, special: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece.
 
     A null or empty text is one piece of the end token. Only documents of more
     than ``most`` tokens are cut. Repeated rows are packed each; null ids
-    stay; an empty table gives no rows; other columns are ignored.
+    stay; an empty table gives no rows; other columns are ignored. ``special`` as in ``pieces``; the registered query and the
+    pipeline set it.
     """
-    return best_fit_pack(pieces(docs, doc_id, text, tokenizer, most), most)
+    return best_fit_pack(pieces(docs, doc_id, text, tokenizer, most, special=special), most)
 
 
-def packed_ids(docs: DataFrame, packed: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS) -> DataFrame:
-    """(sequence_id, ids): the sequences' token ids (little-endian unsigned 32-bit), for documents with unique ids."""
-    held = pieces(docs, doc_id, text, tokenizer, most, with_ids=True).select("doc_id", "piece", "ids")
+def packed_ids(docs: DataFrame, packed: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS, special: bool = False) -> DataFrame:
+    """(sequence_id, ids): the sequences' token ids (little-endian unsigned 32-bit), for documents with unique ids; ``special`` as they were packed."""
+    held = pieces(docs, doc_id, text, tokenizer, most, with_ids=True, special=special).select("doc_id", "piece", "ids")
     rows = packed.join(held, ["doc_id", "piece"]).groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return rows.select("sequence_id", F.aggregate(F.col("parts.ids"), F.lit(b""), lambda a, b: F.concat(a, b)).alias("ids"))

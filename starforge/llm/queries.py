@@ -52,7 +52,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents"), special=True)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,6 +350,37 @@ def test_token_ids_equal_the_tokenizers_library(text):
     assert np.frombuffer(packing.token_ids(text, path), "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
+SPECIAL_TEXTS = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x \n<|endoftext|>\n y", "a  <|endoftext|>  b", "it's<|endoftext|>'ll", "<|endoftext|", "no token at all \n", ""]
+
+
+@pytest.mark.parametrize("text", SPECIAL_TEXTS)
+def test_special_token_ids_equal_the_tokenizers_library(text):
+    from tokenizers import Tokenizer
+
+    path = packing.public_tokenizers.path(packing.TOKENIZER)
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.special_token_ids(text, path), "<u4").tolist() == [*want, 0]
+
+
+def test_registered_packing_gives_the_librarys_default_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from starforge.llm import queries
+
+    texts = [*SPECIAL_TEXTS, "word <|endoftext|> " * 1500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(packing.public_tokenizers.path(packing.TOKENIZER))
+    want = []
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        for n, (start, length) in enumerate(packing.cuts(len(ids), 2048)):
+            want.append((i, n, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())))
+    for out in (queries.op8_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out.collect()) == want
+
+
 # quality classifier
 
 
