@@ -8,14 +8,14 @@ of its n-grams found in a language is corrected for the filter's false positives
 corrected share decides.
 
 Learning counts n-grams per language in Spark, on a bounded sample of labelled
-rows, and combines the bits per slot; only the table, whose size is fixed, comes to
-the driver and is broadcast. Prediction reads every whole text in slices.
+rows, and combines the bits per slot; only the tables, one of fixed size for each
+64 languages, come to the driver and are broadcast. Prediction reads every whole text in slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, crc_split, slices, sums
+from .common import SLICE_BYTES, crc_split, slices, stage, sums
 
 SIZES = (3, 4)
 SLOT_BITS = 20
 PROBES = 3
+WORD_BITS = 64  # languages in one table
 # Learning: distinct texts per language at most (about; drawn by the text's hash), how
 # often an n-gram must occur, and how frequent it must be against the
 # language in which it is most frequent.
@@ -45,11 +46,15 @@ def letters() -> np.ndarray:
 
 @dataclass
 class Model:
-    """``langs`` in order; ``table``: one word per slot, a bit per language; ``chance``: false-positive rates."""
+    """``langs`` in order; ``table``: one word per slot, a bit per language; ``chance``: false-positive rates.
+
+    A word holds ``WORD_BITS`` languages; ``more``: the tables of the next ones.
+    """
 
     langs: list[str]
     table: np.ndarray
     chance: np.ndarray
+    more: list[np.ndarray] = field(default_factory=list)
 
 
 def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,35 +126,45 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_ro
     counted = grams.groupBy("lang").agg(F.sum("n").alias("n"), F.max("n").alias("top")).collect()
     totals = {r["lang"]: r["n"] for r in counted}
     least = {r["lang"]: min(MIN_COUNT, held[r["lang"]], r["top"]) for r in counted}  # a language of one text has a filter too
-    bits = {name: 1 << i for i, name in enumerate(langs)}
-    word = lambda name: F.when(F.col("lang") == name, F.lit(bits[name] - (1 << 64) if bits[name] >> 63 else bits[name]))
-    share = F.coalesce(*[F.when(F.col("lang") == name, F.col("n") / F.lit(totals[name])) for name in langs if name in totals], F.lit(0.0))
-    enough = F.coalesce(*[F.when(F.col("lang") == name, F.lit(least[name])) for name in langs if name in least], F.lit(MIN_COUNT))
-    by_gram = grams.withColumn("share", share)
+    facts = []
+    for i, name in enumerate(langs):
+        if name in totals:
+            bit = 1 << i % WORD_BITS
+            facts.append((name, i // WORD_BITS, bit - (1 << 64) if bit >> 63 else bit, totals[name], least[name]))
+    facts = labelled.sparkSession.createDataFrame(facts, "lang string, word int, bit long, total long, least long")
+    by_gram = grams.join(F.broadcast(facts), "lang").withColumn("share", F.col("n") / F.col("total"))
     most = by_gram.groupBy("gram").agg(F.max("share").alias("most"))
-    kept = by_gram.join(most, "gram").where((F.col("n") >= enough) & (F.col("share") >= MIN_SHARE * F.col("most")))
-    if len(langs) > 64:
-        raise ValueError("one table holds 64 languages; learn them in groups")
+    kept = by_gram.join(most, "gram").where((F.col("n") >= F.col("least")) & (F.col("share") >= MIN_SHARE * F.col("most")))
     slots = F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * j).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for j in range(PROBES)])
-    found = kept.select(F.coalesce(*map(word, langs)).cast("long").alias("bits"), F.explode(slots).alias("slot")).groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(langs) <= k(0).itemsize * 8)
-    table = np.zeros(1 << SLOT_BITS, np.uint64)
-    table[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    fill = np.array([np.count_nonzero(table >> np.uint64(i) & np.uint64(1)) for i in range(len(langs))]) / len(table)
-    return Model(langs, table.astype(kind), fill**PROBES)
+    found = kept.select("word", "bit", F.explode(slots).alias("slot")).groupBy("word", "slot").agg(F.bit_or("bit").alias("bits"))
+    words = -(-len(langs) // WORD_BITS)
+    if words > 1:
+        found = stage(found, "language-bits")  # read word by word
+    tables, fill = [], []
+    for w in range(words):
+        n = min(WORD_BITS, len(langs) - w * WORD_BITS)
+        got = found.where(F.col("word") == w).select("slot", "bits").toArrow()
+        table = np.zeros(1 << SLOT_BITS, np.uint64)
+        table[got["slot"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+        fill += [np.count_nonzero(table >> np.uint64(i) & np.uint64(1)) / len(table) for i in range(n)]
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if n <= k(0).itemsize * 8)
+        tables.append(table.astype(kind))
+    return Model(langs, tables[0], np.array(fill) ** PROBES, tables[1:])
 
 
 def shares(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(corrected share per text and language, whether the text has a letter)."""
     hashes, owner, lettered = ngrams(texts)
-    found = None
-    for slot in probes(hashes):
-        found = model.table[slot] if found is None else found & model.table[slot]
+    at = probes(hashes)
     n = np.bincount(owner, minlength=len(texts)).astype(float)
     out = np.zeros((len(texts), len(model.langs)))
-    for i in range(len(model.langs)):
-        hit = np.bincount(owner, weights=(found >> model.table.dtype.type(i)) & model.table.dtype.type(1), minlength=len(texts))
-        out[:, i] = (hit / np.maximum(n, 1) - model.chance[i]) / max(1 - model.chance[i], 1e-9)
+    for w, table in enumerate([model.table, *model.more]):
+        found = table[at[0]]
+        for slot in at[1:]:
+            found = found & table[slot]
+        for i in range(w * WORD_BITS, min((w + 1) * WORD_BITS, len(model.langs))):
+            hit = np.bincount(owner, weights=(found >> table.dtype.type(i % WORD_BITS)) & table.dtype.type(1), minlength=len(texts))
+            out[:, i] = (hit / np.maximum(n, 1) - model.chance[i]) / max(1 - model.chance[i], 1e-9)
     return np.clip(out, 0, 1), lettered
 
 

@@ -196,6 +196,17 @@ def test_language_sample_counts_distinct_texts(spark):
     assert np.array_equal(model.table, once.table)
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    """130 languages, each with three letters of its own, need three tables."""
+    own = [chr(0x4E00 + 3 * i) + chr(0x4E01 + 3 * i) + chr(0x4E02 + 3 * i) for i in range(130)]
+    rows = [(2 * n, f"{w} {w[::-1]} {w}{w[0]} " * 20, f"l{i:03}") for n, (i, w) in enumerate(enumerate(own))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    assert len(model.langs) == 130 and [t.dtype.itemsize for t in (model.table, *model.more)] == [8, 8, 1]
+    out = language_id.with_language(docs, model).collect()
+    assert all(r.language.lang == r.lang and r.language.score > 0.9 for r in out)
+
+
 # SimHash near duplicates
 
 
