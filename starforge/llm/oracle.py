@@ -94,4 +94,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op3_quality_rules": QUALITY_RULES, "op4_url_filters": URL_FILTERS, "op10_chat_formatting": CHAT_FORMATTING}
+RANKED_SEARCH = r"""
+WITH lowered AS (
+    SELECT row_number() OVER () AS row_no, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+),
+counts AS (
+    SELECT row_no, doc_id, term, count(*) AS tf
+    FROM (SELECT row_no, doc_id, unnest(regexp_extract_all(text, '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM lowered) GROUP BY row_no, doc_id, term
+),
+lengths AS (SELECT row_no, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY row_no),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+    FROM benchmark
+),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, corpus WHERE term IN (SELECT term FROM wanted) GROUP BY term
+),
+parts AS (
+    SELECT row_no, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))) AS part
+    FROM counts JOIN weights USING (term) JOIN lengths USING (row_no), corpus
+),
+scores AS (
+    SELECT item_id, row_no, doc_id, CAST(sum(part) AS BIGINT) AS score FROM wanted JOIN parts USING (term) GROUP BY item_id, row_no, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 50
+"""
+
+SQL: dict[str, str] = {"op3_quality_rules": QUALITY_RULES, "op4_url_filters": URL_FILTERS, "op10_chat_formatting": CHAT_FORMATTING, "op12_ranked_search": RANKED_SEARCH}

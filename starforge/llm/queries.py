@@ -15,6 +15,7 @@ from .mixing import mix_report
 from .packing import pack_documents
 from .quality_classifier import quality_report
 from .quality_rules import quality_rules
+from .ranked_search import ranked_search
 from .simhash_near_dup import near_duplicates
 from .token_counts import token_counts
 from .url_filter import filter_urls, registered_rules
@@ -82,6 +83,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(turns.unionByName(tricky))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_quality_classifier,
         op10_chat_formatting,
+        op12_ranked_search,
     )
 }
