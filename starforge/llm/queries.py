@@ -17,6 +17,7 @@ from .quality_classifier import quality_report
 from .quality_rules import quality_rules
 from .ranked_search import ranked_search
 from .simhash_near_dup import near_duplicates
+from .token_alignment import align_tokenizers
 from .token_counts import token_counts
 from .url_filter import filter_urls, registered_rules
 
@@ -83,6 +84,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(turns.unionByName(tricky))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_quality_classifier,
         op10_chat_formatting,
+        op11_token_alignment,
         op12_ranked_search,
     )
 }
