@@ -13,6 +13,7 @@ from .fingerprints import fingerprint_report
 from .language_id import language_report
 from .mixing import mix_report
 from .packing import pack_documents
+from .pii import find_personal_data
 from .quality_classifier import quality_report
 from .quality_rules import quality_rules
 from .ranked_search import ranked_search
@@ -92,6 +93,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_chat_formatting,
         op11_token_alignment,
         op12_ranked_search,
+        op13_pii,
     )
 }
