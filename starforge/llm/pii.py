@@ -15,8 +15,9 @@ that cannot be of a kind excludes its labels (hard potentials), and an added spa
 must pass the kind's own check (Luhn, digit counts, parts).
 
 Steps: (1) every whole text once: base spans and tokens, written; (2) the
-weights, by pseudo-likelihood: each token of a base span or outside any match,
-given its neighbours' labels and its other occurrences' kind. Equal cases are
+weights, by piecewise training on the tokens of base spans and those outside any
+match that are nowhere in one: their forms, their neighbours' labels and their
+other occurrences' kind. Equal cases are
 counted in Spark, so the driver gets one row per different case of a fixed
 alphabet, over all documents; (3) loopy belief propagation for all tokens of some
 documents at once, in numpy, and the added spans.
@@ -60,9 +61,10 @@ LABELS = 7
 KIND_OF = np.array([0, 1, 2, 3, 3, 4, 4])  # 0: none, then KINDS
 FIRST = {1: EMAIL, 2: IP, 3: CARD_B, 4: PHONE_B}
 FURTHER = {1: EMAIL, 2: IP, 3: CARD_I, 4: PHONE_I}
-NONE, UNSURE = 7, 8  # neighbour: there is none; label: inside a match that failed
+NONE, UNSURE = 7, 8  # neighbour: there is none; label: in a failed match together with another token
 NO_ENTITY = 5
 NEVER = -1e3
+CONSISTENT = 0.01  # cases of disagreement to one of agreement that are added to an entity's occurrences
 
 # Bits of a token's form
 IS_EMAIL, IS_MAILBOX, IS_IP, BAD_IP, IS_DOTTED, PLUS, PAREN, HYPHEN, LUHN = (1 << i for i in range(9))
@@ -195,7 +197,7 @@ def tokens(text: str, spans: list[tuple[int, int, int]], failed: list[tuple[int,
     out = Tokens([], [], [], [], [], [], [], [])
     begins = sorted((s, e, k) for k, s, e in spans)
     at, open_ = 0, []
-    lost, lost_at, lost_end = sorted(failed), 0, 0
+    lost, lost_at, lost_start, lost_end = sorted(failed), 0, 0, 0
     seen: set[tuple[int, int, int]] = set()
     for start, end, mail in parts(text):
         while at < len(begins) and begins[at][0] < end:
@@ -203,6 +205,8 @@ def tokens(text: str, spans: list[tuple[int, int, int]], failed: list[tuple[int,
             at += 1
         open_ = [x for x in open_ if x[1] > start]
         while lost_at < len(lost) and lost[lost_at][0] < end:
+            if lost[lost_at][0] >= lost_end:
+                lost_start = lost[lost_at][0]
             lost_end = max(lost_end, lost[lost_at][1])
             lost_at += 1
         bits, key, value, digits = form(text, start, end, mail)
@@ -211,7 +215,7 @@ def tokens(text: str, spans: list[tuple[int, int, int]], failed: list[tuple[int,
             label = (FURTHER if over in seen else FIRST)[over[2]]
             seen.add(over)
         else:
-            label = UNSURE if lost_end > start else OUTSIDE
+            label = UNSURE if lost_end > start and (lost_start < start or lost_end > end) else OUTSIDE
         joined = bool(out.end) and start > out.end[-1] and not text[out.end[-1] : start].strip(" ")
         if joined:
             out.joins[-1] = 1
@@ -258,36 +262,48 @@ def possible_steps() -> np.ndarray:
     return out
 
 
-def fit(cases: np.ndarray, weight: np.ndarray, rounds: int = 400, decay: float = 1e-4) -> Field:
-    """Pseudo-likelihood of ``cases`` (form, label, label before, label after, other occurrences' kind), each
-    counted ``weight`` times. Without cases every token is outside."""
-    bits, pairs = np.zeros((FORM_BITS + 1, LABELS)), np.zeros((LABELS, LABELS))
-    entity, hard = np.zeros((5, 5)), possible_steps()
+def _association(a: np.ndarray, b: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """log of how often a and b meet against how often they would by chance, one case added to either."""
+    n = np.zeros(shape)
+    np.add.at(n, (a, b), weight)
+    return np.log((n + 1) / (np.outer(n.sum(axis=1), n.sum(axis=0)) / max(1.0, n.sum()) + 1))
+
+
+def fit(cases: np.ndarray, weight: np.ndarray, rounds: int = 1500, rate: float = 0.5, decay: float = 1e-4) -> Field:
+    """The field of ``cases`` (form, label, label before, label after, other occurrences' kind), each counted
+    ``weight`` times.
+
+    Each kind of potential is learned as a piece of its own (together, a clear form
+    would explain a label before its other occurrences do): forms by logistic
+    regression, adjacent labels by their association, an entity's occurrences by the
+    share of each kind among them.
+    """
+    bits, hard = np.zeros((FORM_BITS + 1, LABELS)), possible_steps()
     bits[-1, OUTSIDE] = 2.0
+    start = bits
+    fits = allowed(cases[:, 0])[np.arange(len(cases)), cases[:, 1]] if len(cases) else np.zeros(0, bool)  # a base span may cut its token's form
+    cases, weight = cases[fits], weight[fits]
     if not len(cases):
-        return Field(bits, hard, entity)
-    form, label, before, after, kind = cases.T
-    x = np.column_stack([form[:, None] >> np.arange(FORM_BITS) & 1, np.ones(len(form))]).astype(float)
-    can = allowed(form)
-    can[before == NONE] &= ~np.isin(np.arange(LABELS), (CARD_I, PHONE_I))
-    w = np.log1p(weight) / np.log1p(weight).sum()  # frequent cases do not drown the rare ones
-    goal = np.eye(LABELS)[label]
-    left, right = np.eye(LABELS + 1)[before][:, :LABELS], np.eye(LABELS + 1)[after][:, :LABELS]
-    other, fold = np.eye(6)[kind][:, :5], np.eye(5)[KIND_OF].T  # (kinds, labels)
-    params, first, second = [bits, pairs, entity], [0.0] * 3, [0.0] * 3
-    start = [p.copy() for p in params]
-    for step in range(1, rounds + 1):
-        bits, pairs, entity = params
-        z = x @ bits + left @ (pairs + hard) + right @ (pairs + hard).T + other @ entity @ fold
-        z = np.where(can, z, NEVER)
+        return Field(bits, hard, np.zeros((5, 5)))
+    joined, again = cases[:, 3] != NONE, cases[:, 4] != NO_ENTITY
+    steps = _association(cases[joined, 1], cases[joined, 3], weight[joined], (LABELS, LABELS))
+    entity = np.eye(5) + CONSISTENT  # how often an occurrence is of a kind if the others are of another
+    np.add.at(entity, (cases[again, 4], KIND_OF[cases[again, 1]]), weight[again])
+    entity = np.log(entity / entity.sum(axis=1, keepdims=True))
+    # a form that no pattern knows is outside unless the corpus says otherwise
+    unknown = np.array([1 << i for i in range(FORM_BITS) if not 1 << i & (IS_EMAIL | IS_IP | LUHN)])
+    form, label = np.concatenate([cases[:, 0], unknown]), np.concatenate([cases[:, 1], np.full(len(unknown), OUTSIDE)])
+    w = np.log1p(np.concatenate([weight, np.ones(len(unknown))]))[:, None]  # frequent cases do not drown the rare ones
+    w /= w.sum()
+    x, can, goal = np.column_stack([form[:, None] >> np.arange(FORM_BITS) & 1, np.ones(len(form))]).astype(float), allowed(form), np.eye(LABELS)[label]
+    speed = np.zeros_like(bits)
+    for _ in range(rounds):
+        ahead = bits + 0.9 * speed
+        z = np.where(can, x @ ahead, NEVER)
         p = np.exp(z - z.max(axis=1, keepdims=True))
-        d = w[:, None] * (p / p.sum(axis=1, keepdims=True) - goal)
-        grads = [x.T @ d, left.T @ d + (right.T @ d).T, other.T @ d @ fold.T]
-        for i, g in enumerate(grads):
-            g = g + decay * (params[i] - start[i])
-            first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.999 * second[i] + 0.001 * g * g
-            params[i] = params[i] - 0.1 * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    return Field(params[0], params[1] + hard, params[2])
+        speed = 0.9 * speed - rate * (x.T @ (w * (p / p.sum(axis=1, keepdims=True) - goal)) + decay * (ahead - start))
+        bits = bits + speed
+    return Field(bits, steps + hard, entity)
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -424,10 +440,13 @@ def cases(b: Batch) -> np.ndarray:
         votes = np.zeros((int(b.entity.max()) + 1, 5), np.int64)
         own = KIND_OF[label[member]]
         np.add.at(votes, (b.entity[member], own), 1)
+        votes[votes[:, 1:].any(axis=1), 0] = 0  # what the patterns did not find there is not known to be outside
+        own = np.where(votes[b.entity[member], 0] + own > 0, own, -1)
         others = votes[b.entity[member]]
-        others[np.arange(len(member)), own] -= 1
+        others[np.flatnonzero(own >= 0), own[own >= 0]] -= 1
         kind[member] = np.where(others.sum(axis=1) > 0, others.argmax(axis=1), NO_ENTITY)
-    known = b.label != UNSURE
+    # outside by the patterns, but personal data where it occurs again: what the field is to decide
+    known = (b.label != UNSURE) & ~((b.label == OUTSIDE) & (kind > 0) & (kind != NO_ENTITY))
     return np.column_stack([b.form, label, before, after, kind])[known].astype(np.int64)
 
 
