@@ -48,10 +48,9 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, lis
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    rows = texts.cast(pa.large_binary()).fill_null(b"")
     first, held, room = 0, [], limit
-    for i, value in enumerate(rows):
-        raw = value.as_py()
+    for i, value in enumerate(texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary())):
+        raw = value.as_py() or b""
         if held and len(raw) > room:
             yield first, held
             first, held, room = i, [], limit

@@ -36,6 +36,10 @@ SAMPLE_ROWS = 2000
 MIN_COUNT = 3
 MIN_SHARE = 0.05
 UNDETERMINED = "und"
+# Up to so many languages a row per language is broadcast (some hundred bytes each); beyond, joined by shuffle.
+BROADCAST_LANGS = 10_000
+# The n-grams of a slice take about 90 bytes a byte of text.
+PART_BYTES = SLICE_BYTES // 4
 
 
 @lru_cache(1)
@@ -94,6 +98,10 @@ def probes(hashes: np.ndarray) -> list[np.ndarray]:
     return [(hashes >> np.uint64(SLOT_BITS * j) & mask).astype(np.int64) for j in range(PROBES)]
 
 
+def _small(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= BROADCAST_LANGS else rows
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The filters of every language of ``labelled`` (rows without text or language are ignored).
 
@@ -108,31 +116,29 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_ro
     if not langs:
         return Model([], np.zeros(1 << SLOT_BITS, np.uint8), np.zeros(0))
     draw = F.shiftrightunsigned("hash", 1)
-    limits = [(name, min(1 << 63, max(1, (sample_rows << 63) // held[name])) - 1) for name in langs]
-    limits = labelled.sparkSession.createDataFrame(limits, "lang string, last long")
-    drawn = rows.join(F.broadcast(limits), "lang").where(draw <= F.col("last")).dropDuplicates(["lang", "hash"]).select("lang", "text")
+    limits = [(code, name, min(1 << 63, max(1, (sample_rows << 63) // held[name])) - 1) for code, name in enumerate(langs)]
+    limits = labelled.sparkSession.createDataFrame(limits, "code int, lang string, last long")
+    drawn = rows.join(_small(limits, len(langs)), "lang").where(draw <= F.col("last")).dropDuplicates(["code", "hash"]).select("code", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = np.array(batch.column(0).to_pylist(), object)
-            for first, part in slices(batch.column(1)):
-                hashes, owner, _ = ngrams(part)
-                own = names[first : first + len(part)][owner]
-                for name in set(own.tolist()):
-                    values, n = np.unique(hashes[own == name], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(values)), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
-
-    grams = drawn.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counted = grams.groupBy("lang").agg(F.sum("n").alias("n"), F.max("n").alias("top")).collect()
-    totals = {r["lang"]: r["n"] for r in counted}
-    least = {r["lang"]: min(MIN_COUNT, held[r["lang"]], r["top"]) for r in counted}  # a language of one text has a filter too
+            codes = batch.column(0).to_numpy()
+            for first, part in slices(batch.column(1), PART_BYTES):
+                own = codes[first : first + len(part)]
+                for code in np.unique(own):
+                    hashes, _, _ = ngrams([t for t, c in zip(part, own) if c == code])
+                    values, n = np.unique(hashes, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), code, np.int32)), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["code", "gram", "n"])
+
+    grams = drawn.mapInArrow(count, "code int, gram long, n long").groupBy("code", "gram").agg(F.sum("n").alias("n"))
+    counted = grams.groupBy("code").agg(F.sum("n").alias("n"), F.max("n").alias("top")).collect()
     facts = []
-    for i, name in enumerate(langs):
-        if name in totals:
-            bit = 1 << i % WORD_BITS
-            facts.append((name, i // WORD_BITS, bit - (1 << 64) if bit >> 63 else bit, totals[name], least[name]))
-    facts = labelled.sparkSession.createDataFrame(facts, "lang string, word int, bit long, total long, least long")
-    by_gram = grams.join(F.broadcast(facts), "lang").withColumn("share", F.col("n") / F.col("total"))
+    for r in counted:
+        code, bit = r["code"], 1 << r["code"] % WORD_BITS
+        least = min(MIN_COUNT, held[langs[code]], r["top"])  # a language of one text has a filter too
+        facts.append((code, code // WORD_BITS, bit - (1 << 64) if bit >> 63 else bit, r["n"], least))
+    facts_table = labelled.sparkSession.createDataFrame(facts, "code int, word int, bit long, total long, least long")
+    by_gram = grams.join(_small(facts_table, len(facts)), "code").withColumn("share", F.col("n") / F.col("total"))
     most = by_gram.groupBy("gram").agg(F.max("share").alias("most"))
     kept = by_gram.join(most, "gram").where((F.col("n") >= F.col("least")) & (F.col("share") >= MIN_SHARE * F.col("most")))
     slots = F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * j).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for j in range(PROBES)])
@@ -162,9 +168,18 @@ def shares(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = table[at[0]]
         for slot in at[1:]:
             found = found & table[slot]
-        for i in range(w * WORD_BITS, min((w + 1) * WORD_BITS, len(model.langs))):
-            hit = np.bincount(owner, weights=(found >> table.dtype.type(i % WORD_BITS)) & table.dtype.type(1), minlength=len(texts))
-            out[:, i] = (hit / np.maximum(n, 1) - model.chance[i]) / max(1 - model.chance[i], 1e-9)
+        # bits of the n-grams that any of these languages contains, added up per text
+        some = np.flatnonzero(found)
+        own = owner[some]
+        runs = np.flatnonzero(np.concatenate([np.ones(min(1, len(own)), bool), own[1:] != own[:-1]]))
+        first = w * WORD_BITS
+        last = min(first + WORD_BITS, len(model.langs))
+        bits = np.unpackbits(found[some].view(np.uint8).reshape(len(some), table.itemsize), axis=1, bitorder="little")[:, : last - first]
+        hit = np.zeros((len(texts), last - first))
+        if len(runs):
+            np.add.at(hit, own[runs], np.add.reduceat(bits, runs, axis=0, dtype=np.int32))
+        chance = model.chance[first:last]
+        out[:, first:last] = (hit / np.maximum(n, 1)[:, None] - chance) / np.maximum(1 - chance, 1e-9)
     return np.clip(out, 0, 1), lettered
 
 
@@ -182,7 +197,7 @@ def with_language(docs: DataFrame, model: Model, text: str = "text", out: str =
         m = held.value
         for texts in parts:
             names, scores = [], []
-            for _, part in slices(texts, SLICE_BYTES // 2):
+            for _, part in slices(texts, PART_BYTES):
                 got, lettered = shares(m, part)
                 known = lettered & bool(m.langs)
                 best = got.argmax(axis=1) if m.langs else np.zeros(len(part), int)

@@ -45,7 +45,7 @@ SEQUENCE_TOKENS = 2048
 SMALL = 384  # pieces up to this length are placed last, by best fit
 GROUPS = 1024  # of equal cardinality among the larger ones
 CHUNK_ROWS = 10_000  # pieces of one length that one task puts in order
-CACHE_WORDS = 600_000  # words whose ids a worker remembers
+CACHE_WORDS = 150_000  # words whose ids a task remembers (about 25 MB)
 END = b"\0\0\0\0"  # id 0, after every document
 
 @lru_cache(2)
@@ -98,17 +98,14 @@ class Words(dict):
         return ids
 
 
-_WORDS: dict[str, Words] = {}
-
-
-def token_ids(text: str, path: str) -> bytes:
+def token_ids(text: str, path: str, known: Words | None = None) -> bytes:
     """Little-endian unsigned 32-bit ids of a text, id 0 last.
 
     White space after something else always begins a token, so a text is cut
     before its blanks and line feeds and each word's ids are remembered. A
     text with a longer run of white space is encoded in one piece.
     """
-    known = _WORDS.get(path) or _WORDS.setdefault(path, Words(path))
+    known = Words(path) if known is None else known
     first, *words = text.replace("\n", " \n").split(" ")
     ids = list(map(known.__getitem__, words))
     if None in ids or first[-1:].isspace():
@@ -123,18 +120,18 @@ def special_split(path: str) -> re.Pattern | None:
     return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
 
-def special_token_ids(text: str, path: str) -> bytes:
+def special_token_ids(text: str, path: str, known: Words | None = None) -> bytes:
     """``token_ids``, but a special token inside the text is its own id, as the tokenizers library has it by default."""
     split = special_split(path)
     if split is None or not split.search(text):
-        return token_ids(text, path)
+        return token_ids(text, path, known)
     ids = added_tokens(path)
     out = []
     for part in split.split(text):
         if part in ids:
             out.append(array("I", [ids[part]]).tobytes())
         elif part:
-            out.append(token_ids(part, path)[: -len(END)])
+            out.append(token_ids(part, path, known)[: -len(END)])
     return b"".join(out) + END
 
 
@@ -156,11 +153,12 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     @F.arrow_udf("array<struct<start: bigint, length: bigint, crc: bigint, ids: binary>>")
     def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())]))
+        known = Words(path)  # of this task, so that a reused worker keeps none
         for texts in parts:
             rows = []
             for _, held in slices(texts):
                 for raw in held:
-                    ids = encode(raw.decode("utf-8", "replace"), path)
+                    ids = encode(raw.decode("utf-8", "replace"), path, known)
                     own = []
                     for start, n in cuts(len(ids) // 4, most):
                         part = ids[4 * start : 4 * (start + n)]
