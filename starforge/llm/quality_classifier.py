@@ -163,27 +163,33 @@ def training_labels(labels: DataFrame, doc_id: str = "doc_id", label: str = "qua
     return rows.where(rows["doc_id"].isNotNull() & rows["label"].isin(0, 1) & (crc_split(rows["doc_id"], 5) != 0)).distinct()
 
 
+def _share(wanted: int, of: int) -> int:
+    """The last 63-bit number that is drawn, for ``wanted`` of ``of`` rows."""
+    return min(1 << 63, max(1, (wanted << 63) // of)) - 1
+
+
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS, sample_chunks: int = SAMPLE_CHUNKS) -> Network:
     """The network for ``labels`` (doc_id, label) of ``docs``; without both classes a constant."""
     counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
     keep = F.lit(False)
     for k, n in counts.items():
-        keep = keep | ((F.col("label") == k) & (draw < min(1 << 20, (sample_rows << 20) // n)))
+        keep = keep | ((F.col("label") == k) & (draw <= _share(sample_rows, n)))
     # at most about 2 * sample_rows small rows, so their broadcast is bounded
     chosen = F.broadcast(labels.where(keep).select(F.col("doc_id").alias("_id"), "label"))
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.join(chosen, docs[doc_id] == chosen["_id"]).select("label", F.xxhash64("_id", F.col(text)).alias("doc"), raw.alias("raw"))
     last = F.greatest(F.lit(0), F.ceil(F.octet_length("raw") / HALF).cast("int") - 2)
     cut = rows.select("label", "doc", F.explode(F.sequence(F.lit(0), last)).alias("i"), "raw")
-    chunks = stage(cut.select("label", "doc", F.substring("raw", F.col("i") * HALF + 1, F.lit(CHUNK)).alias("chunk")), "quality-chunks")
+    chunks = stage(cut.select("label", "doc", "i", F.substring("raw", F.col("i") * HALF + 1, F.lit(CHUNK)).alias("chunk")), "quality-chunks")
     held = {r["label"]: r["count"] for r in chunks.groupBy("label").count().collect()}
-    draw = F.pmod(F.xxhash64("chunk", "label"), F.lit(1 << 20))
+    # by document and place: equal chunks of different documents are drawn one by one
+    draw = F.shiftrightunsigned(F.xxhash64("doc", "i", "label"), 1)
     keep = F.lit(False)
     for k, n in held.items():
-        keep = keep | ((F.col("label") == k) & (draw < min(1 << 20, (sample_chunks << 20) // n)))
-    got = chunks.where(keep).orderBy("label", "chunk").toArrow()  # bounded by sample_chunks
+        keep = keep | ((F.col("label") == k) & (draw <= _share(sample_chunks, n)))
+    got = chunks.where(keep).orderBy("label", "chunk").select("label", "chunk").toArrow()  # bounded by sample_chunks
     net = fit([c or b"" for c in got["chunk"].to_pylist()], got["label"].to_numpy().astype(np.int64), share)
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
