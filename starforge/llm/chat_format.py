@@ -98,12 +98,13 @@ def read_turns(formatted: Column) -> Column:
     parts = F.filter(F.split(formatted, r"(?=[\[<])"), lambda p: (p != "") & ~p.rlike(r"^[\[<]/"))
 
     def turn(p: Column) -> Column:
-        mark = F.regexp_extract(p, r"^[\[<]\+?([^\]>]*)[\]>]", 1)
+        # a mark ends at the closing sign that belongs to its opening one
+        mark = F.concat(F.regexp_extract(p, r"^\[\+?([^\]]*)\]", 1), F.regexp_extract(p, r"^<\+?([^>]*)>", 1))
         role = F.when(mark == "NOROLE", F.lit(None).cast("string"))
         for name, marks in MARKS.items():
             role = role.when(mark == marks[0][1:-1], F.lit(name))
         role = role.otherwise(unescape(F.replace(F.substring(mark, F.lit(6), F.length(mark)), F.lit("&#93;"), F.lit("]"))))
-        return F.struct(role.alias("role"), unescape(F.regexp_replace(p, r"^[\[<][^\]>]*[\]>]", "")).alias("text"))
+        return F.struct(role.alias("role"), unescape(F.regexp_replace(p, r"^(?:\[[^\]]*\]|<[^>]*>)", "")).alias("text"))
 
     return F.transform(parts, turn)
 

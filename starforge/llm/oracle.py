@@ -44,7 +44,10 @@ prior AS (
         CASE WHEN d < 2 OR v = 0 OR v >= mu * (1 - mu) THEN 1 - mu + 1e-6 ELSE (1 - mu) * (mu * (1 - mu) / v - 1) END AS b
     FROM moments
 ),
-verdict AS (SELECT source, max((k + a) / (n + a + b)) > 0.5 AS domain_failed FROM fails JOIN prior USING (rule) GROUP BY source)
+verdict AS (
+    SELECT source, bool_or((k + a) / (n + a + b) > a / (a + b) + 3 * sqrt(a / (a + b) * (b / (a + b)) / (a + b + 1))) AS domain_failed
+    FROM fails JOIN prior USING (rule) GROUP BY source
+)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, domain_failed,
     NOT base_failed AND NOT domain_failed AS kept
 FROM failed f JOIN verdict v ON f.source IS NOT DISTINCT FROM v.source

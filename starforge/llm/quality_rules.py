@@ -6,8 +6,9 @@ document. Failures are counted per domain and rule (two small sums per domain,
 combined before the shuffle, so a hot domain is no hot task), the domains' rates
 give a beta prior per rule by the method of moments, and a domain's rate is
 shrunk to its posterior mean: a domain of few documents stays near the prior. A
-domain with a shrunk rate above a rule's limit is rejected, and the verdict is
-joined back to its documents.
+domain is rejected if, for some rule, its shrunk rate lies more than ``LIMIT``
+standard deviations of the prior above the prior's mean, so what counts as bad
+follows from the other domains; the verdict is joined back to its documents.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\f\r"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 
-# rule: (failure of a document, domain limit of the shrunk failure rate)
+# rule: failure of a document
 RULES = {
-    "base": ("n_words < 20 or 100 * n_repeat_words > 30 * n_words", 0.5),
-    "symbols": ("10 * n_symbols > n_words", 0.5),
-    "lines": ("10 * n_dup_lines > 3 * n_lines", 0.5),
-    "word_length": ("word_chars < 2 * n_words or word_chars > 15 * n_words", 0.5),
+    "base": "n_words < 20 or 100 * n_repeat_words > 30 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "10 * n_dup_lines > 3 * n_lines",
+    "word_length": "word_chars < 2 * n_words or word_chars > 15 * n_words",
 }
+LIMIT = 3.0
 
 
 def repeated_words(ids: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -104,6 +106,11 @@ class Beta:
     a: float
     b: float
 
+    def limit(self, deviations: float) -> float:
+        """The prior's mean and so many of its standard deviations."""
+        mean = self.a / (self.a + self.b)
+        return mean + deviations * (mean * (1 - mean) / (self.a + self.b + 1)) ** 0.5
+
 
 def prior(domains: int, mean: float | None, variance: float | None) -> Beta:
     """Method of moments over the domains' rates; with fewer than two domains,
@@ -116,27 +123,27 @@ def prior(domains: int, mean: float | None, variance: float | None) -> Beta:
     return Beta(mean * strength, (1 - mean) * strength)
 
 
-def domain_verdicts(measured: DataFrame, domain: str, rules: dict = RULES) -> DataFrame:
+def domain_verdicts(measured: DataFrame, domain: str, rules: dict = RULES, limit: float = LIMIT) -> DataFrame:
     """(domain, n_docs, per rule its shrunk rate, domain_failed).
 
     ``measured`` holds one row per document with the rules' columns. The
     prior's moments are one row; a null domain is a domain.
     """
     counts = stage(
-        measured.groupBy(F.col(domain).alias("domain")).agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(F.expr(f"cast({test} as bigint)")).alias(f"fail_{r}") for r, (test, _) in rules.items()]),
+        measured.groupBy(F.col(domain).alias("domain")).agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(F.expr(f"cast({test} as bigint)")).alias(f"fail_{r}") for r, test in rules.items()]),
         "domain-counts",
     )
     rate = {r: F.col(f"fail_{r}") / F.col("n_docs") for r in rules}
     moments = counts.agg(F.count(F.lit(1)).alias("domains"), *[x for r in rules for x in (F.avg(rate[r]).alias(f"m_{r}"), F.var_samp(rate[r]).alias(f"v_{r}"))]).first()
     out, failed = counts, F.lit(False)
-    for r, (_, limit) in rules.items():
+    for r in rules:
         p = prior(moments["domains"], moments[f"m_{r}"], moments[f"v_{r}"])
         out = out.withColumn(f"rate_{r}", (F.col(f"fail_{r}") + p.a) / (F.col("n_docs") + p.a + p.b))
-        failed = failed | (F.col(f"rate_{r}") > limit)
+        failed = failed | (F.col(f"rate_{r}") > p.limit(limit))
     return out.select("domain", "n_docs", *[f"rate_{r}" for r in rules], failed.alias("domain_failed"))
 
 
-def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", domain: str = "source", rules: dict = RULES) -> DataFrame:
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", domain: str = "source", rules: dict = RULES, limit: float = LIMIT) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, domain_failed, kept: one row per input row.
 
@@ -146,8 +153,8 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", d
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(domain).alias("domain"), F.col(text).alias("text"))
     measured = stage(with_measures(rows).select("doc_id", "domain", "m.*"), "quality-measures")
-    verdict = domain_verdicts(measured, "domain", rules).select(F.col("domain").alias("_domain"), "domain_failed")
-    base = F.expr(rules["base"][0])
+    verdict = domain_verdicts(measured, "domain", rules, limit).select(F.col("domain").alias("_domain"), "domain_failed")
+    base = F.expr(rules["base"])
     return measured.join(verdict, F.col("domain").eqNullSafe(F.col("_domain"))).select(
         "doc_id", *[m for m in MEASURES if m != "n_lines"], base.alias("base_failed"), "domain_failed", (~base & ~F.col("domain_failed")).alias("kept")
     )
