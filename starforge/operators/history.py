@@ -9,11 +9,14 @@ date of the entity's next observation, and the last row is open (``''``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import OPEN_END
+from ..session import stage
+from .merge import check_unique_keys
 from .sequence import carry_forward, next_value, previous_value
 
 
@@ -83,7 +86,8 @@ def merge_history(
     """Merge a newer batch of intervals into the published history.
 
     1. New rows whose start is after the entity's latest known start are kept
-       (later-or-unknown rule); the rest are late and dropped.
+       (later-or-unknown rule, the reference's); the rest are late and
+       dropped (``splice_history`` puts them where they belong).
     2. The entity's open row is closed at the first kept new start.
     3. The kept new rows are appended.
 
@@ -200,3 +204,77 @@ def point_in_time(
         F.when(valid, F.col(f"_match.{start}")).alias(start),
         F.when(valid, F.col(f"_match.{end}")).alias(end),
     )
+
+
+def observed_history(obs: DataFrame, entity: str, cond: str, ts: str, record: str, start: str = "start_date", end: str = "end_date", chunks: int | None = None) -> DataFrame:
+    """``build_history`` that keeps each row's observation: (entity, cond, start, end, ts, record).
+
+    ``record`` is the observation's id; it also orders observations of one
+    instant. With these columns a published history is its own log, and
+    ``splice_history`` can change it at any place.
+    """
+    seq = next_value(obs.select(entity, cond, ts, record), [entity], [ts, record], value=ts, out="_next_ts", chunks=chunks, dedupe=True)
+    ends = F.coalesce(F.to_date("_next_ts").cast("string"), F.lit(OPEN_END))
+    return seq.select(entity, cond, F.to_date(ts).cast("string").alias(start), ends.alias(end), ts, record)
+
+
+@dataclass
+class Splice:
+    """What a batch changes in a history: rows that go (as they are published) and rows that come.
+
+    A row whose end moves is in both. All other rows stay as they are.
+    """
+
+    removed: DataFrame
+    added: DataFrame
+
+
+def splice_history(
+    log: DataFrame,
+    batch: DataFrame,
+    entity: str,
+    cond: str,
+    ts: str,
+    record: str,
+    withdrawn: DataFrame | None = None,
+    start: str = "start_date",
+    end: str = "end_date",
+    chunks: int | None = None,
+) -> Splice:
+    """Put a batch of observations into a history, at whatever times they are.
+
+    ``log`` has the columns of ``observed_history`` (others are kept in
+    ``removed``). An observation of the batch replaces the one with its record id
+    (its time, entity or condition may have moved); ``withdrawn`` holds record ids
+    that are no longer observations (those in the batch as well stay). The
+    history afterwards is the one ``observed_history`` gives for all observations.
+
+    Only what can change is put in order again: an entity's rows whose
+    interval meets the days between its first and last changed position. The row
+    before these days meets them (it ends at its next observation's day), and the
+    day on which the row after them starts is a minimum per entity. So a batch
+    sorts its own neighbourhood, not the entity's whole history.
+    """
+    obs = [entity, cond, ts, record]
+    src = stage(batch.select(*obs).distinct(), "splice-batch")
+    check_unique_keys(src, [record])
+    ids = src.select(record)
+    gone_ids = ids if withdrawn is None else ids.unionByName(withdrawn.select(F.col(withdrawn.columns[0]).alias(record))).distinct()
+    held = stage(log.join(gone_ids, record, "left_semi").select(*log.columns), "splice-held")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in obs]
+    changed = src.alias("a").join(held.alias("b"), same, "left_anti")
+    gone = held.alias("a").join(src.alias("b"), same, "left_anti")
+    day = F.to_date(ts).cast("string")
+    places = changed.select(entity, day.alias("_day")).unionByName(gone.select(entity, F.col(start).alias("_day")))
+    days = stage(places.groupBy(entity).agg(F.min("_day").alias("_first"), F.max("_day").alias("_last")), "splice-days")
+    near = log.join(days, entity).where(((F.col(end) == F.lit(OPEN_END)) | (F.col(end) >= F.col("_first"))) & (F.col(start) <= F.col("_last")))
+    rest = near.drop("_first", "_last").select(*log.columns).join(gone.select(record), record, "left_anti")
+    after = log.select(entity, start).join(days, entity).where(F.col(start) > F.col("_last")).groupBy(entity).agg(F.min(start).alias("_after"))
+    rows = rest.select(*obs, F.struct(*log.columns).alias("_old"))
+    rows = rows.unionByName(changed.select(*obs, F.lit(None).cast(rows.schema["_old"].dataType).alias("_old")))
+    seq = next_value(rows, [entity], [ts, record], value=ts, out="_next_ts", chunks=chunks).join(after, entity, "left")
+    new_end = F.coalesce(F.to_date("_next_ts").cast("string"), F.col("_after"), F.lit(OPEN_END))
+    moved = seq.withColumn("_end", new_end).where(F.col("_old").isNull() | (F.col(f"_old.{end}") != F.col("_end")))
+    moved = stage(moved.select(*obs, "_old", "_end"), "splice-moved")
+    old = moved.where(F.col("_old").isNotNull()).select("_old.*")
+    return Splice(gone.unionByName(old), moved.select(entity, cond, day.alias(start), F.col("_end").alias(end), ts, record))

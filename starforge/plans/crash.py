@@ -75,8 +75,8 @@ def crash_star(bits: int = 512, compat: bool = False, typed_measures: bool = Tru
             Bridge("bridge_person_group", "people", "crash_record_id", "person_id", "person_group_key", partition_ts="crash_date"),
         ),
         histories=(
-            History("road_cond_mini_dim", "dim_location", "dim_road_cond"),
-            History("control_device_cond_mini_dim", "dim_location", "dim_control_device_cond"),
+            History("road_cond_mini_dim", "dim_location", "dim_road_cond", observed=True),
+            History("control_device_cond_mini_dim", "dim_location", "dim_control_device_cond", observed=True),
         ),
         group_keys=("person_group_key", "vehicle_group_key"),
         measures={m: (None if m == "damage" or not typed_measures else "int") for m in MEASURES},

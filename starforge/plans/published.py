@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import window_extract
+from ..functions.keys import surrogate_key
+from ..operators.bridge import bridge
+from ..operators.history import observed_history
 from ..session import scratch_path, stage, staging
 from ..sources.catalog import register_tables
 from ..sources.feeds import PARTITION_COLS, FeedSpec, batch_cutoff, prepare
 from ..sources.store import TableStore
 from ..sources.watermark import MARKS_TABLE, batch_mark, publish_mark, read_mark
 from ..streaming.ingest import ingest_stream
-from .analogues import AS_OF, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, WINDOW_DAYS, customer_locations
-from .oracle import key, part
-from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
+from .analogues import AS_OF, BITS, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, WINDOW_DAYS, customer_locations
+from .oracle import history_sql, key, part
+from .observed import OBSERVED_AT, publish_observed, read_observed
+from .star import MONTH_KEY, Bridge, EntityDim, History, Rule, Star, ValueDim, build_star, publish_rules, publish_star, publish_table
 from .tables import table
 
 EVENT_FEED = FeedSpec(
@@ -206,6 +210,63 @@ def q_raw_window_extract(spark: SparkSession, sf: str) -> DataFrame:
     return window_extract(store.read("raw_events"), "ts", AS_OF, WINDOW_DAYS, drop=("props",), day_parts=PARTITION_COLS)
 
 
+# A batch that ends in the middle of a day.
+LATE_SPLIT = "2024-01-20 12:00:00"
+
+
+def q_history_merge_late(spark: SparkSession, sf: str) -> DataFrame:
+    """A published history after late, moved and withdrawn observations.
+
+    The first batch has no purchases, and clicks a day late at another user; the
+    second brings the purchases of all days, the clicks as they were and the
+    rest, and withdraws the errors.
+    """
+    ev = table(spark, sf, "events")
+    rule = Rule("observed", ("event_id",), entity="user_id", cond="cond_key", sort=("user_id", "start_date"))
+    store = TableStore(spark, scratch_path(spark, "served"))
+    early = F.col("ts") < F.lit(LATE_SPLIT).cast("timestamp_ntz")
+    click, purchase, error = (F.col("event_type") == t for t in ("click", "purchase", "error"))
+    first = ev.where(early & ~purchase).withColumns(
+        {"ts": F.when(click, F.col("ts") + F.expr("interval 1 day")).otherwise(F.col("ts")), "user_id": F.when(click, F.col("user_id") + 1).otherwise(F.col("user_id"))}
+    )
+    second = ev.where((~early | purchase | click) & ~error)
+
+    def observations(df: DataFrame) -> DataFrame:
+        return df.select("user_id", surrogate_key(["event_type"], BITS).alias("cond_key"), F.col("ts").alias(OBSERVED_AT), "event_id")
+
+    with staging(spark):
+        built = observed_history(observations(first), "user_id", "cond_key", OBSERVED_AT, "event_id")
+        publish_table(store, "event_history", built, rule)
+        publish_observed(store, "event_history", observations(second), rule, ev.where(error).select("event_id"))
+    return read_observed(store, "event_history").select("user_id", "cond_key", "start_date", "end_date")
+
+
+def q_bridge_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """A published bridge whose second batch moves orders to another month and withdraws members.
+
+    The first batch has the overlap's orders a month late, with a member that
+    the second no longer holds.
+    """
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    rule = Rule("groups", ("order_group_key", "part_id"), partition_by=(MONTH_KEY,))
+    store = TableStore(spark, scratch_path(spark, "served"))
+    overlap = F.col("o_orderdate") >= F.lit(ORDER_OVERLAP).cast("timestamp_ntz")
+
+    def pairs(orders: DataFrame, members: DataFrame) -> DataFrame:
+        rows = members.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = rows.withColumn(MONTH_KEY, (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
+        return bridge(rows, "l_orderkey", "l_partkey", "order_group_key", "part_id", carry=(MONTH_KEY,))
+
+    late = o.where(F.col("o_orderdate") < F.lit(ORDER_SPLIT).cast("timestamp_ntz"))
+    late = late.withColumn("o_orderdate", F.when(overlap, F.col("o_orderdate") + F.expr("interval 1 month")).otherwise(F.col("o_orderdate")))
+    wrong = li.withColumn("l_partkey", -F.col("l_suppkey")).join(o.where(overlap), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    with staging(spark):
+        for batch in (pairs(late, li.unionByName(wrong)), pairs(o.where(overlap), li)):
+            publish_table(store, "bridge_part_group", batch, rule)
+    return store.read("bridge_part_group").select("order_group_key", "part_id", MONTH_KEY)
+
+
 PUBLISHED = {
     "feed_ingest": q_feed_ingest,
     "feed_marks": q_feed_marks,
@@ -213,6 +274,8 @@ PUBLISHED = {
     "publish_star": q_publish_star,
     "publish_fact": q_publish_fact,
     "raw_window_extract": q_raw_window_extract,
+    "history_merge_late": q_history_merge_late,
+    "bridge_corrected": q_bridge_corrected,
 }
 
 def _published_sql() -> str:
@@ -286,4 +349,10 @@ SQL = {
                CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(dayofmonth(ts) AS INTEGER) AS day
         FROM events WHERE ts >= DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AND ts < DATE '{AS_OF}' + INTERVAL 1 DAY
     """,
+    "history_merge_late": history_sql(where="WHERE event_type <> 'error'"),
+    "bridge_corrected": """
+        SELECT DISTINCT l_orderkey AS order_group_key, l_partkey AS part_id,
+               CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
 }

@@ -24,6 +24,7 @@ from ..session import adopt_scope, current_scope, stage
 from ..sources.catalog import repoint
 from ..sources.feeds import partition_filter, without_key
 from ..sources.store import TableStore
+from .observed import OBSERVED_AT, compact_observed, create_observed, publish_observed
 
 
 @dataclass(frozen=True)
@@ -55,8 +56,7 @@ class Bridge:
     group_key: str
     member_key: str | None = None
     # A timestamp that is the same for every row of a group (the crash date
-    # of a crash): the bridge is then partitioned by its month and merged
-    # against the batch's months only.
+    # of a crash): the bridge is then partitioned by its month.
     partition_ts: str | None = None
 
 
@@ -65,6 +65,10 @@ class History:
     name: str
     entity_dim: str  # a ValueDim name (e.g. the location)
     cond_dim: str  # a ValueDim name (the changing condition)
+    # Publish the observations with the intervals (``plans.observed``): late, moved
+    # and withdrawn ones change the history where they belong. Else only rows that
+    # start after an entity's latest known start are added.
+    observed: bool = False
 
 
 @dataclass(frozen=True)
@@ -121,6 +125,9 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
             TS,
             star.record_id,
         ).where(F.col(TS).isNotNull())
+        if h.observed:
+            out[h.name] = history.observed_history(obs.withColumnRenamed(TS, OBSERVED_AT), ent.key, cond.key, OBSERVED_AT, star.record_id)
+            continue
         out[h.name] = history.build_history(obs, ent.key, cond.key, TS, tiebreak=[star.record_id])
     keys = {d.key: fact.dim_key(main, d.attrs, d.fill, b, c) for d in star.value_dims if d.in_fact}
     if star.time_dim:
@@ -137,7 +144,7 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
 
 @dataclass(frozen=True)
 class Rule:
-    mode: str  # insert | upsert | history | static (created once, fixed content)
+    mode: str  # insert | upsert | groups | history | observed | static (created once, fixed content)
     keys: tuple[str, ...] = ()
     entity: str | None = None
     cond: str | None = None
@@ -156,9 +163,9 @@ def fact_keys(star: Star) -> list[str]:
 
 
 def publish_rules(star: Star) -> dict[str, Rule]:
-    """Merge rule per table: insert-only for value/date/time dimensions,
-    bridges; update-all for entity dimensions and the fact; history merge for
-    the mini-dimensions."""
+    """Merge rule per table: insert-only for value and date dimensions, the
+    time dimension once; update-all for entity dimensions and the fact; the
+    batch's groups replaced in bridges; history merge for the mini-dimensions."""
     rules: dict[str, Rule] = {}
     for d in star.value_dims:
         rules[d.name] = Rule("insert", (d.key,))
@@ -170,14 +177,15 @@ def publish_rules(star: Star) -> dict[str, Rule]:
         rules[e.name] = Rule("upsert", (e.key,))
     for br in star.bridges:
         rules[br.name] = Rule(
-            "insert",
+            "groups",
             (br.group_key, br.member_key or br.member_col),
             partition_by=(MONTH_KEY,) if br.partition_ts else (),
             tier=1,
         )
     for h in star.histories:
         ent = star.dim(h.entity_dim).key
-        rules[h.name] = Rule("history", entity=ent, cond=star.dim(h.cond_dim).key, sort=(ent, "start_date"))
+        mode, keys = ("observed", (star.record_id,)) if h.observed else ("history", ())
+        rules[h.name] = Rule(mode, keys, entity=ent, cond=star.dim(h.cond_dim).key, sort=(ent, "start_date"))
     # The fact is partitioned by month (``month_key`` = yyyymm, 12 values a
     # year). A record is one fact: a corrected record replaces its fact, found
     # by the record's id (the group keys are copies of it). Only the batch's
@@ -286,7 +294,36 @@ def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: Data
     store.overwrite_partitions(name, out, parts, touched=touched, sort=rule.sort)
 
 
-PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "history": 2}
+def replace_groups(store: TableStore, name: str, current: DataFrame, df: DataFrame, rule: Rule) -> None:
+    """A bridge's groups as the batch has them: pairs the source no longer holds go.
+
+    Only the groups of the batch are compared, wherever they are published
+    (found by the group key alone): a pair in another month, or with a member
+    that was withdrawn, is stale. Without stale pairs the new ones are appended;
+    else the partitions that hold stale or new pairs are rewritten. A group
+    without any row in the batch stays as it is.
+    """
+    group, parts = rule.keys[0], list(rule.partition_by)
+    src = stage(df.select(*current.columns).distinct(), f"groups-{name}")
+    in_batch = current.alias("c").join(src.select(F.col(group).alias("g")).distinct(), F.col(f"c.{group}").eqNullSafe(F.col("g")), "left_semi")
+    held = stage(in_batch, f"held-{name}")
+    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in current.columns]
+    stale = stage(held.alias("h").join(src.alias("s"), same("h", "s"), "left_anti"), f"stale-{name}")
+    new = src.alias("s").join(held.alias("h"), same("s", "h"), "left_anti")
+    if not stale.take(1):
+        store.append(name, new, parts, rule.sort)
+        return
+    if not parts:
+        store.replace(name, current.alias("c").join(stale.alias("t"), same("c", "t"), "left_anti").unionByName(new))
+        return
+    vals = [tuple(r) for r in stale.select(*parts).unionByName(new.select(*parts)).distinct().collect()]  # partitions, not rows
+    affected = current.where(partition_filter(parts, vals))
+    out = affected.alias("c").join(stale.alias("t"), same("c", "t"), "left_anti").unionByName(new)
+    touched = store.spark.createDataFrame(vals, current.select(*parts).schema)
+    store.overwrite_partitions(name, out, parts, touched=touched, sort=rule.sort)
+
+
+PUBLISH_ORDER = {"static": 0, "insert": 0, "upsert": 1, "groups": 1, "history": 2, "observed": 2}
 
 
 def publish_tiers(tables: Mapping[str, DataFrame], rules: Mapping[str, Rule], fact_name: str) -> list[list[str]]:
@@ -308,6 +345,9 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         if rule.mode == "history":
             store.create(name, _history_layout(df, "end_date", 1), HISTORY_PARTS, rule.sort, marks=(generation_mark(1),))
             return
+        if rule.mode == "observed":
+            create_observed(store, name, df, rule)
+            return
         if rule.mode == "upsert":
             unknown = without_key(rule.keys)
             df = merge.dedupe_source(df.where(~unknown), rule.keys, "error").unionByName(df.where(unknown))
@@ -339,8 +379,13 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         if not changed.take(1):
             return
         store.replace(name, merge.upsert_all(current, changed, rule.keys))
+    elif rule.mode == "groups":
+        replace_groups(store, name, current, df, rule)
     elif rule.mode == "history":
         publish_history(store, name, df, rule)
+    elif rule.mode == "observed":
+        publish_observed(store, name, df, rule)
+        compact_observed(store, name, rule)
     else:
         raise ValueError(rule.mode)
 

@@ -110,6 +110,9 @@ class TableStore:
     def mark(self, name: str, mark: str) -> None:
         touch(self.spark, f"{self.location(name)}/{mark}")
 
+    def unmark(self, name: str, mark: str) -> None:
+        remove_path(self.spark, f"{self.location(name)}/{mark}")
+
     def drop_partition(self, name: str, cols: Sequence[str], values: Sequence) -> None:
         remove_path(self.spark, f"{self.location(name)}/{partition_dir(cols, values)}")
 

@@ -12,8 +12,8 @@ EXPECTED = {
     "dim_time": ["time_id", "hour", "minute", "second"],
     "dim_date": ["date_id", "day", "dayofweek", "month", "week", "year", "quarter"],
     "dim_location": ["location_id", *LOCATION_ATTRS],
-    "road_cond_mini_dim": ["location_id", "road_cond_key", "start_date", "end_date"],
-    "control_device_cond_mini_dim": ["location_id", "device_cond_key", "start_date", "end_date"],
+    "road_cond_mini_dim": ["location_id", "road_cond_key", "start_date", "end_date", "observed_at", "crash_record_id"],
+    "control_device_cond_mini_dim": ["location_id", "device_cond_key", "start_date", "end_date", "observed_at", "crash_record_id"],
     "dim_road_cond": ["road_cond_key", "roadway_surface_cond", "road_defect"],
     "dim_control_device_cond": ["device_cond_key", "traffic_control_device", "device_condition"],
     "bridge_vehicle_group": ["vehicle_group_key", "vehicle_id", "month_key"],

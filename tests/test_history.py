@@ -68,7 +68,7 @@ def test_reference_close_rule_rewrites_closed_rows(spark):
     assert ref.exceptAll(full).count() > 0  # same-day closed rows were overwritten
 
 
-def test_late_rows_are_dropped(spark):
+def test_the_reference_rule_drops_late_rows(spark):
     old = spark.createDataFrame([("L1", "dry", "2024-01-05", "")], "loc string, cond string, start_date string, end_date string")
     new = spark.createDataFrame(
         [("L1", "wet", "2024-01-04", "2024-01-06"), ("L1", "icy", "2024-01-06", ""), ("L2", "dry", "2024-01-01", "")],
