@@ -21,6 +21,7 @@ from ..functions.clean import DIM_NULL
 from ..operators import bridge as bridge_ops
 from ..operators import dims, fact, history, merge
 from ..session import adopt_scope, current_scope, stage
+from ..sources import keyindex
 from ..sources.catalog import repoint
 from ..sources.feeds import partition_filter, without_key
 from ..sources.store import TableStore
@@ -267,8 +268,8 @@ def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: Data
 
     A batch that changes no published row is appended (its new rows only).
     Otherwise the partitions of the batch's rows, and those an updated row
-    has left, are rewritten. Where a row is published is found by the keys
-    alone. Rows whose key is unknown are added unless a row with the same
+    has left, are rewritten. Where a row is published is found through the
+    table's key index, so no other partition's files are opened. Rows whose key is unknown are added unless a row with the same
     ``else_keys`` is there.
     """
     keys, parts = list(rule.keys), list(rule.partition_by)
@@ -276,10 +277,13 @@ def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: Data
     unknown = without_key(keys)
     keyed = src.where(~unknown)
     merge.check_unique_keys(keyed, keys)
-    held = current.select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
+    keyindex.ensure(store, name, keys, parts)
+    candidates = keyindex.partitions_of(store, name, keyed, keys, parts)
+    held = current.where(partition_filter(parts, candidates)).select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
     vals = [tuple(r) for r in src.select(*parts).unionByName(held).distinct().collect()]
     if not vals:
         return
+    keyindex.add(store, name, keyed, keys, parts)
     affected = current.where(partition_filter(parts, vals))
     known, rest = affected.where(~unknown), affected.where(unknown)
     added = merge.insert_only(rest, src.where(unknown), rule.else_keys or keys).select(*current.columns)
@@ -298,18 +302,24 @@ def replace_groups(store: TableStore, name: str, current: DataFrame, df: DataFra
     """A bridge's groups as the batch has them: pairs the source no longer holds go.
 
     Only the groups of the batch are compared, wherever they are published
-    (found by the group key alone): a pair in another month, or with a member
+    (found through the key index of the group key): a pair in another month, or with a member
     that was withdrawn, is stale. Without stale pairs the new ones are appended;
     else the partitions that hold stale or new pairs are rewritten. A group
     without any row in the batch stays as it is.
     """
     group, parts = rule.keys[0], list(rule.partition_by)
     src = stage(df.select(*current.columns).distinct(), f"groups-{name}")
-    in_batch = current.alias("c").join(src.select(F.col(group).alias("g")).distinct(), F.col(f"c.{group}").eqNullSafe(F.col("g")), "left_semi")
+    published = current
+    if parts:
+        keyindex.ensure(store, name, [group], parts)
+        published = current.where(partition_filter(parts, keyindex.partitions_of(store, name, src, [group], parts)))
+    in_batch = published.alias("c").join(src.select(F.col(group).alias("g")).distinct(), F.col(f"c.{group}").eqNullSafe(F.col("g")), "left_semi")
     held = stage(in_batch, f"held-{name}")
     same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in current.columns]
     stale = stage(held.alias("h").join(src.alias("s"), same("h", "s"), "left_anti"), f"stale-{name}")
     new = src.alias("s").join(held.alias("h"), same("s", "h"), "left_anti")
+    if parts:
+        keyindex.add(store, name, src, [group], parts)
     if not stale.take(1):
         store.append(name, new, parts, rule.sort)
         return

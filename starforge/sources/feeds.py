@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import parse_timestamp
 from ..functions.clean import RAW_NULL, fill_strings
 from ..operators.merge import dedupe_source, upsert_all
+from . import keyindex
 from .store import TableStore
 
 PARTITION_COLS = ("year", "month", "day")
@@ -89,22 +90,25 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
 
     Only partitions that the batch touches are rewritten: those of the batch
     rows, plus those holding an older version of a batch key (a record whose
-    date moved). Only key and partition columns of the whole table are read
-    to find the latter.
+    date moved). The latter are found through the table's key index, so a batch
+    opens the files of these partitions only.
     """
     parts = list(spec.partition_by)
     keys = list(spec.keys)
     if not store.exists(spec.name):
         keyed, unkeyed = latest_versions(batch, keys)
+        keyindex.add(store, spec.name, batch, keys, parts)
         store.create(spec.name, keyed.unionByName(unkeyed), parts)
         return
+    keyindex.ensure(store, spec.name, keys, parts)
     target = store.read(spec.name, merge_schema=spec.allow_new_columns)
     cols = list(target.columns)
     if spec.allow_new_columns:
         cols += [c for c in batch.columns if c not in cols]
     landed = [c for c in batch.columns if c == LANDED]
     keyed, unkeyed = latest_versions(align(batch, [*cols, *landed], target.schema), keys)
-    moved = target.select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
+    candidates = keyindex.partitions_of(store, spec.name, keyed, keys, parts)
+    moved = target.where(partition_filter(parts, candidates)).select(*keys, *parts).join(keyed.select(*keys), keys, "left_semi").select(*parts)
     # The touched partitions (the batch's dates plus those a moved record
     # left) are few - bounded by the days a batch spans - so they become a
     # literal partition filter: only their files are listed and read.
@@ -113,6 +117,7 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
     touched = batch.sparkSession.createDataFrame(touched_vals, target.select(*parts).schema)
     known = upsert_all(affected.where(~without_key(keys)), keyed, keys)
     rest = affected.where(without_key(keys)).unionByName(unkeyed).distinct()
+    keyindex.add(store, spec.name, keyed, keys, parts)
     store.overwrite_partitions(spec.name, known.unionByName(rest), parts, touched=touched)
 
 
