@@ -46,6 +46,9 @@ class EntityDim:
     key: str
     cols: tuple[str, ...]
     latest_by: str | None = None
+    # Folders the published table is dealt to by its key's hash. A batch rewrites
+    # those that hold a changed row: choose so many that a folder is a few files.
+    buckets: int = 16
 
 
 @dataclass(frozen=True)
@@ -153,6 +156,7 @@ class Rule:
     partition_by: tuple[str, ...] = ()  # insert-only tables: also prunes the merge read
     tier: int = 0  # publish order: 0 dimensions and histories, 1 bridges, 2 fact
     else_keys: tuple[str, ...] = ()  # upsert: these tell rows apart whose key is unknown
+    buckets: int = 0  # upsert: folders by key hash
 
 
 def fact_keys(star: Star) -> list[str]:
@@ -175,7 +179,7 @@ def publish_rules(star: Star) -> dict[str, Rule]:
     if star.time_dim:
         rules[star.time_dim] = Rule("static", ("time_id",))
     for e in star.entity_dims:
-        rules[e.name] = Rule("upsert", (e.key,))
+        rules[e.name] = Rule("upsert", (e.key,), buckets=e.buckets)
     for br in star.bridges:
         rules[br.name] = Rule(
             "groups",
@@ -298,6 +302,39 @@ def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: Data
     store.overwrite_partitions(name, out, parts, touched=touched, sort=rule.sort)
 
 
+BUCKET = "bucket"
+
+
+def in_buckets(df: DataFrame, rule: Rule) -> DataFrame:
+    """``df`` with the folder its key belongs to."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in rule.keys]), F.lit(rule.buckets)).cast("int"))
+
+
+def upsert_buckets(store: TableStore, name: str, current: DataFrame, df: DataFrame, rule: Rule) -> None:
+    """Update-all / insert-rest of a table dealt to folders by its key's hash.
+
+    The batch is compared with its own folders; only those that hold a new or
+    changed row are rewritten, none if nothing differs. Rows without a key are
+    compared as a whole.
+    """
+    cols = [c for c in current.columns if c != BUCKET]
+    if BUCKET not in current.columns:  # published before it had folders
+        store.create(name, in_buckets(current, rule), (BUCKET,))
+        current = store.read(name)
+    src = stage(in_buckets(df.select(*cols), rule), f"upsert-{name}")
+    merge.check_unique_keys(src, rule.keys)
+    folders = lambda rows: [tuple(r) for r in rows.select(BUCKET).distinct().collect()]
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in rule.keys]
+    near = current.where(partition_filter((BUCKET,), folders(src)))
+    published = near.alias("a").join(src.select(*rule.keys).alias("b"), same, "left_semi").select(*src.columns)
+    changed = stage(src.exceptAll(published), f"changed-{name}")
+    vals = folders(changed)
+    if not vals:
+        return
+    kept = current.where(partition_filter((BUCKET,), vals)).join(changed.select(*rule.keys), list(rule.keys), "left_anti")
+    store.overwrite_partitions(name, kept.select(*src.columns).unionByName(changed), (BUCKET,), sort=rule.sort)
+
+
 def replace_groups(store: TableStore, name: str, current: DataFrame, df: DataFrame, rule: Rule) -> None:
     """A bridge's groups as the batch has them: pairs the source no longer holds go.
 
@@ -361,6 +398,9 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
         if rule.mode == "upsert":
             unknown = without_key(rule.keys)
             df = merge.dedupe_source(df.where(~unknown), rule.keys, "error").unionByName(df.where(unknown))
+        if rule.buckets:
+            store.create(name, in_buckets(df, rule), (BUCKET,), rule.sort)
+            return
         store.create(name, df, rule.partition_by, rule.sort)
         return
     if rule.mode == "static":
@@ -376,6 +416,8 @@ def publish_table(store: TableStore, name: str, df: DataFrame, rule: Rule) -> No
             current = current.where(partition_filter(rule.partition_by, vals))
         new_rows = merge.insert_only(current, df, rule.keys).select(*current.columns)
         store.append(name, new_rows, rule.partition_by)
+    elif rule.mode == "upsert" and rule.buckets:
+        upsert_buckets(store, name, current, df, rule)
     elif rule.mode == "upsert" and rule.partition_by:
         upsert_partitions(store, name, current, df, rule)
     elif rule.mode == "upsert":
