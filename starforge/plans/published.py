@@ -6,6 +6,8 @@ published, so the result can be compared with SQL over the inputs.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +81,23 @@ def q_feed_marks(spark: SparkSession, sf: str) -> DataFrame:
     return marks.withColumn("WatermarkValue", F.col("WatermarkValue").cast("timestamp_ntz"))
 
 
+def q_feed_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed that grows a field: the schema does not name ``props``, the first landing
+    does not have it, the second (overlapping) one has."""
+    ev = table(spark, sf, "events")
+    fields = [f for f in EVENT_FEED.schema if f.name != "props"]
+    spec = replace(EVENT_FEED, name="raw_growing", schema=T.StructType(fields), allow_new_columns=True)
+    landing = scratch_path(spark, "landing", "growing")
+    store = TableStore(spark, scratch_path(spark, "raw"))
+    first = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")).drop("props")
+    second = ev.where(F.col("ts") >= F.lit(EVENT_OVERLAP).cast("timestamp_ntz"))
+    for i, batch in enumerate((first, second)):
+        batch.withColumn("ts", F.col("ts").cast("string")).write.mode("overwrite").json(f"{landing}/batch-{i}")
+        ingest_stream(spark, spec, f"{landing}/*", store)
+    raw = store.read(spec.name, merge_schema=True)
+    return raw.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*EVENT_FEED.schema.names, *PARTITION_COLS)
+
+
 CUTOFF_DAYS = 2
 
 
@@ -270,6 +289,7 @@ def q_bridge_corrected(spark: SparkSession, sf: str) -> DataFrame:
 PUBLISHED = {
     "feed_ingest": q_feed_ingest,
     "feed_marks": q_feed_marks,
+    "feed_new_column": q_feed_new_column,
     "feed_cutoff": q_feed_cutoff,
     "publish_star": q_publish_star,
     "publish_fact": q_publish_fact,
@@ -332,6 +352,12 @@ SQL = {
         FROM events
     """,
     "feed_marks": """SELECT 'Events' AS "TableName", max(ts) AS "WatermarkValue" FROM events""",
+    "feed_new_column": f"""
+        SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts >= TIMESTAMP '{EVENT_OVERLAP}' THEN props END AS props,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(dayofmonth(ts) AS INTEGER) AS day
+        FROM events
+    """,
     "feed_cutoff": f"""
         SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
                CAST(dayofmonth(ts) AS INTEGER) AS day

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -20,6 +21,11 @@ PARTITION_COLS = ("year", "month", "day")
 # Column of a streamed batch that orders the landings of one record (the
 # file's time, then its path); never stored.
 LANDED = "_landed"
+# Landed fields that the schema does not name: a map while the batch is worked on;
+# stored (as JSON text) only for what cannot become a column.
+RESCUED = "_rescued"
+COLUMN_NAME = r"[A-Za-z][A-Za-z0-9_]*"
+MOST_COLUMNS = 2000  # of a raw table; further new fields stay in the rescue column
 
 
 @dataclass(frozen=True)
@@ -33,7 +39,7 @@ class FeedSpec:
     date_col: str = "crash_date"
     partition_by: tuple[str, ...] = PARTITION_COLS
     exclude: tuple[tuple[str, str], ...] = field(default_factory=tuple)  # (column, value) dropped with <>
-    allow_new_columns: bool = False
+    allow_new_columns: bool = False  # landed fields beyond the schema become columns of the raw table
 
 
 def read_landing(spark: SparkSession, spec: FeedSpec, path: str, fmt: str = "json") -> DataFrame:
@@ -61,6 +67,42 @@ def prepare(df: DataFrame, spec: FeedSpec, cutoff: dt.datetime | dt.date | None
     return out
 
 
+def parse_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landed JSON lines (column ``value``) by the declared schema, with the fields it does not name as a map."""
+    fields = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    others = F.map_filter(fields, lambda k, _: ~k.isin(*schema.names))
+    rows = lines.where(F.trim("value") != "")
+    kept = [c for c in lines.columns if c != "value"]
+    return rows.select(F.from_json("value", schema).alias("_record"), others.alias(RESCUED), *kept).select("_record.*", RESCUED, *kept)
+
+
+def promote_new_fields(batch: DataFrame, known: Sequence[str]) -> DataFrame:
+    """New landed fields as string columns, null where a record does not have them.
+
+    ``known``: the table's columns, whose number counts towards ``MOST_COLUMNS``. A
+    field whose name is no plain column name, or differs from a column only in
+    case, or is beyond that number, stays in the rescue column. Names are looked
+    up in the batch, so they are as many as the feed has fields.
+    """
+    if RESCUED not in batch.columns:
+        return batch
+    names = [r[0] for r in batch.select(F.explode(F.map_keys(RESCUED)).alias("name")).distinct().orderBy("name").collect()]
+    taken = {c.lower() for c in [*known, *batch.columns]}
+    earlier, new = set(known), []
+    for n in names:
+        if n in earlier:
+            new.append(n)
+        elif re.fullmatch(COLUMN_NAME, n) and n.lower() not in taken and len(taken) < MOST_COLUMNS:
+            new.append(n)
+            taken.add(n.lower())
+    rest = [n for n in names if n not in new]
+    left = F.map_filter(RESCUED, lambda k, _: k.isin(*rest)) if rest else None
+    out = batch.withColumns({n: F.element_at(RESCUED, n) for n in new}) if new else batch
+    if left is None:
+        return out.drop(RESCUED)
+    return out.withColumn(RESCUED, F.when(F.size(left) > 0, F.to_json(left)))
+
+
 def without_key(keys: Sequence[str]):
     """Rows with an unknown key part (null or the ``'N/A'`` that stands for it)."""
     cond = F.lit(False)
@@ -104,7 +146,7 @@ def upsert_feed(store: TableStore, spec: FeedSpec, batch: DataFrame) -> None:
     target = store.read(spec.name, merge_schema=spec.allow_new_columns)
     cols = list(target.columns)
     if spec.allow_new_columns:
-        cols += [c for c in batch.columns if c not in cols]
+        cols += [c for c in batch.columns if c not in cols and c != LANDED]
     landed = [c for c in batch.columns if c == LANDED]
     keyed, unkeyed = latest_versions(align(batch, [*cols, *landed], target.schema), keys)
     candidates = keyindex.partitions_of(store, spec.name, keyed, keys, parts)
@@ -166,9 +208,9 @@ def feed_specs() -> dict[str, FeedSpec]:
     from .schemas import CRASH_SCHEMA, PEOPLE_SCHEMA, VEHICLE_SCHEMA
 
     return {
-        "crashes": FeedSpec("crashes", "Crashes", CRASH_SCHEMA, ("crash_record_id",)),
-        "people": FeedSpec("people", "People", PEOPLE_SCHEMA, ("person_id", "crash_record_id")),
+        "crashes": FeedSpec("crashes", "Crashes", CRASH_SCHEMA, ("crash_record_id",), allow_new_columns=True),
+        "people": FeedSpec("people", "People", PEOPLE_SCHEMA, ("person_id", "crash_record_id"), allow_new_columns=True),
         "vehicles": FeedSpec(
-            "vehicles", "Vehicles", VEHICLE_SCHEMA, ("vehicle_id", "crash_record_id"), exclude=(("unit_type", "PEDESTRIAN"),)
+            "vehicles", "Vehicles", VEHICLE_SCHEMA, ("vehicle_id", "crash_record_id"), exclude=(("unit_type", "PEDESTRIAN"),), allow_new_columns=True
         ),
     }
