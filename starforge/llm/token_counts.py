@@ -8,7 +8,8 @@ bytes and no piece is ever built. A word begins with a blank in the vocabulary
 
 The automaton is three integer arrays whose size is the vocabulary's; they are
 built on the driver and broadcast. All words of a slice step through it at once,
-one byte position at a time, each distinct word once.
+one byte position at a time, each distinct word once; the last few, long words are
+walked one by one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import slices, sums
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+FEW_WORDS = 64  # so many words left are walked one by one: an array step costs as much as some hundred plain ones
 
 
 @dataclass
@@ -40,6 +43,26 @@ class Automaton:
     pops: np.ndarray
     ends: np.ndarray
 
+    @cached_property
+    def plain(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """(edges, fail, pops) as Python objects, for the last few long words of a slice."""
+        return dict(zip(self.keys.tolist(), self.to.tolist())), self.fail.tolist(), self.pops.tolist()
+
+    def walk(self, node: int, raw: bytes) -> tuple[int, int] | None:
+        """(last node, pieces popped) of stepping through ``raw`` byte by byte; None if it cannot be split."""
+        edges, fail, pops = self.plain
+        child, count = edges.get, 0
+        for byte in raw:
+            to = child(node << 8 | byte)
+            while to is None:
+                if node == 0 or fail[node] < 0:
+                    return None
+                count += pops[node]
+                node = fail[node]
+                to = child(node << 8 | byte)
+            node = to
+        return node, count
+
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Child of each node by its byte, -1 where there is none."""
         want = node.astype(np.int64) * 256 + byte
@@ -100,7 +123,16 @@ def piece_counts(a: Automaton, words: list[bytes]) -> np.ndarray:
     live = np.argsort(-lengths, kind="stable")
     for i in range(int(lengths.max(initial=0))):
         live = live[: np.searchsorted(-lengths[live], -i)]
-        todo = live[~stuck[live]]
+        live = live[~stuck[live]]
+        if len(live) <= FEW_WORDS:
+            for w in live.tolist():
+                end = a.walk(int(node[w]), raw[starts[w] + i : starts[w] + lengths[w]].tobytes())
+                stuck[w] = end is None
+                if end:
+                    node[w] = end[0]
+                    count[w] += end[1]
+            break
+        todo = live
         while len(todo):
             to = a.step(node[todo], raw[starts[todo] + i])
             went = to >= 0

@@ -6,6 +6,7 @@ import hashlib
 import math
 import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -103,10 +104,31 @@ def test_automaton_is_greedy_longest_match(vocabulary, words):
     assert got.tolist() == [greedy(vocabulary, w) for w in words]
 
 
+def test_long_words_beside_short_ones():
+    """Words of all lengths, so that some are stepped together and the last ones walked."""
+    rng = np.random.default_rng(4)
+    vocabulary = sorted({bytes(rng.integers(97, 100, int(n)).astype(np.uint8)) for n in rng.integers(1, 6, 60)} | {b"a", b"b"})
+    words = [bytes(rng.integers(97, 100, int(n)).astype(np.uint8)) for n in [*rng.integers(1, 30, 300), 400, 900]]
+    assert token_counts.piece_counts(token_counts.build(vocabulary), words).tolist() == [greedy(set(vocabulary), w) for w in words]
+
+
+def test_a_word_of_a_megabyte():
+    automaton = token_counts.build(token_counts.read_vocabulary())
+    assert automaton.plain
+    word = b"ab0Zq-" * 170_000
+    began = time.time()
+    n = token_counts.piece_counts(automaton, [b" x", b" " + word])
+    assert time.time() - began < 3 and n[1] > len(word) // 6
+
+
 def test_token_counts_of_documents(docs):
     vocabulary = set(token_counts.read_vocabulary())
-    want = sorted((repr(i), len(w), sum(greedy(vocabulary, b" " + x) for x in w)) for i, t, _, _ in ROWS if len(t or "") < 1000 for w in [(t or "").encode().split()])
-    got = sorted((repr(r.doc_id), r.n_words, r.n_tokens) for r in token_counts.token_counts(docs.where("text is null or length(text) < 1000")).collect())
+    known = {}
+    for _, t, _, _ in ROWS:
+        for x in (t or "").encode().split():
+            known.setdefault(x, greedy(vocabulary, b" " + x))
+    want = sorted((repr(i), len(w), sum(known[x] for x in w)) for i, t, _, _ in ROWS for w in [(t or "").encode().split()])
+    got = sorted((repr(r.doc_id), r.n_words, r.n_tokens) for r in token_counts.token_counts(docs).collect())
     assert got == want
 
 
