@@ -9,14 +9,19 @@ device-condition history mini-dimensions; the crash fact.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.calendar import week_year, window_extract
+from ..operators import reports
+from ..operators.history import point_in_time
 from ..session import stage, staging
 from ..sources.feeds import PARTITION_COLS
 from ..sources.store import TableStore
-from .star import Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
+from .kept import KeptReport, count_rows, read_kept, refresh, sum_of
+from .star import MONTH_KEY, Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
 
 # Fixed column lists of the crash star (dimension attributes in table order).
 LOCATION_ATTRS = (
@@ -139,10 +144,6 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     on the fact joined to small dimensions (the planner broadcasts them when
     their size allows, AQE at runtime otherwise).
     """
-    from pyspark.sql import functions as F
-
-    from ..operators import reports
-
     f = t["fact_crash"]
     cal = (
         f.join(t["dim_date"], "date_id")
@@ -177,8 +178,6 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out["top_collision_type"] = reports.top_k(coll.select("collision_type", "n"), "collision_type", 1)
     # Road condition at each crash's place as it stood on the crash's date
     # (the purpose of the history mini-dimension): a point-in-time lookup.
-    from ..operators.history import point_in_time
-
     dated = f.join(t["dim_date"].select("date_id", "year", "month", "day"), "date_id").select(
         "person_group_key", "location_id", F.make_date("year", "month", "day").alias("crash_day")
     )
@@ -192,6 +191,64 @@ def crash_reports(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+# The same reports from kept partial aggregates (``plans.kept``), by month. The road
+# condition at crash time is not among them: late observations change it in any month.
+
+def _calendar_rows(t: Mapping[str, DataFrame]) -> DataFrame:
+    fatal = F.col("injuries_fatal").try_cast("int")
+    return t["fact_crash"].join(t["dim_time"].select("time_id", "hour"), "time_id").withColumn("fatal", fatal)
+
+
+def _category_rows(t: Mapping[str, DataFrame]) -> DataFrame:
+    """A row per crash and question, so that one pass serves all of them."""
+    cols = ("cause_id", "weather_id", "collision_type_id", "damage")
+    asked = F.explode(F.array(*[F.struct(F.lit(c).alias("asked"), F.col(c).cast("string").alias("value")) for c in cols]))
+    return t["fact_crash"].select(MONTH_KEY, asked.alias("a")).select(MONTH_KEY, "a.asked", "a.value")
+
+
+def _driver_rows(t: Mapping[str, DataFrame]) -> DataFrame:
+    drivers = t["dim_person"].where(F.col("person_type") == "DRIVER").select("person_id", "sex")
+    pairs = t["fact_crash"].select(MONTH_KEY, "person_group_key").join(t["bridge_person_group"], [MONTH_KEY, "person_group_key"])
+    return pairs.join(drivers, "person_id").select(MONTH_KEY, "person_group_key", "person_id", "sex").distinct()
+
+
+KEPT_CALENDAR = KeptReport(
+    "kept_calendar", ("fact_crash",), MONTH_KEY, ("date_id", "hour"),
+    {"n_crashes": count_rows(), "fatal_injuries": sum_of("fatal")}, _calendar_rows, whole=("dim_time",),
+)
+KEPT_CATEGORIES = KeptReport("kept_categories", ("fact_crash",), MONTH_KEY, ("asked", "value"), {"n": count_rows()}, _category_rows)
+KEPT_DRIVERS = KeptReport(
+    "kept_drivers", ("fact_crash", "bridge_person_group"), MONTH_KEY, ("sex",), {"n_drivers": count_rows()}, _driver_rows, whole=("dim_person",)
+)
+CRASH_KEPT = (KEPT_CALENDAR, KEPT_CATEGORIES, KEPT_DRIVERS)
+
+
+def crash_reports_kept(served: TableStore) -> dict[str, DataFrame]:
+    """``crash_reports`` (but the road condition at crash time) from partial
+    aggregates that are brought up to date first: the fact's rows are read only
+    in months that were rewritten since the last call."""
+    for report in CRASH_KEPT:
+        refresh(served, report)
+    cal = read_kept(served, KEPT_CALENDAR).join(served.read("dim_date"), "date_id").withColumn("week_year", week_year())
+    counts = read_kept(served, KEPT_CATEGORIES)
+
+    def asked(col: str, n: str = "n") -> DataFrame:
+        return counts.where(F.col("asked") == col).select(F.col("value").alias(col), F.col("n").alias(n))
+
+    causes = asked("cause_id").join(served.read("dim_cause"), "cause_id").groupBy("prim_contributory_cause").agg(F.sum("n").alias("n"))
+    weather = asked("weather_id", "n_crashes").join(served.read("dim_weather"), "weather_id")
+    collisions = asked("collision_type_id").join(served.read("dim_collision"), "collision_type_id").select("collision_type", "n")
+    return {
+        "crashes_by_grain": reports.by_grains(cal, [F.sum("n_crashes").alias("n_crashes")], CRASH_GRAINS),
+        "fatal_by_grain": reports.by_grains(cal, [F.sum("fatal_injuries").alias("fatal_injuries")], CRASH_GRAINS),
+        "drivers_by_sex": reports.share(read_kept(served, KEPT_DRIVERS), "n_drivers"),
+        "top_primary_cause": reports.top_k(causes, "prim_contributory_cause", 1),
+        "crashes_by_weather": weather.select("weather_condition", "lighting_condition", "n_crashes"),
+        "damage_distribution": reports.share(asked("damage", "n_crashes"), "n_crashes"),
+        "top_collision_type": reports.top_k(collisions, "collision_type", 1),
+    }
+
+
 def ingest_all(
     spark: SparkSession,
     landing_root: str,

@@ -12,18 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import window_extract
+from ..functions.calendar import week_year, window_extract
 from ..functions.keys import surrogate_key
 from ..operators.bridge import bridge
 from ..operators.history import observed_history
+from ..operators.reports import by_grains, share
 from ..session import scratch_path, stage, staging
 from ..sources.catalog import register_tables
 from ..sources.feeds import PARTITION_COLS, FeedSpec, batch_cutoff, prepare
 from ..sources.store import TableStore
 from ..sources.watermark import MARKS_TABLE, batch_mark, publish_mark, read_mark
 from ..streaming.ingest import ingest_stream
-from .analogues import AS_OF, BITS, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, WINDOW_DAYS, customer_locations
-from .oracle import history_sql, key, part
+from .analogues import AS_OF, BITS, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS, ORDER_OVERLAP, ORDER_SPLIT, PRICE_BUCKETS, WINDOW_DAYS, customer_locations, price_bucket
+from .kept import KeptReport, count_rows, read_kept, refresh, sum_of
+from .oracle import SQL as QUERY_SQL
+from .oracle import grains_select, history_sql, key, part
 from .observed import OBSERVED_AT, publish_observed, read_observed
 from .star import MONTH_KEY, Bridge, EntityDim, History, Rule, Star, ValueDim, build_star, publish_rules, publish_star, publish_table
 from .tables import table
@@ -286,6 +289,99 @@ def q_bridge_corrected(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("bridge_part_group").select("order_group_key", "part_id", MONTH_KEY)
 
 
+# Corrected orders: the first batch has them a month late and without their price.
+def _kept_orders_star(members: bool) -> Star:
+    """A fact by month, with ``members`` the bridge to its parts too."""
+    return Star(
+        main="orders",
+        ts="o_orderdate",
+        record_id="o_orderkey",
+        fact_name="fact_orders",
+        value_dims=(ValueDim("dim_priority", "priority_id", ("o_orderpriority",)), ValueDim("dim_status", "status_id", ("o_orderstatus",))),
+        time_dim=None,
+        entity_dims=(EntityDim("dim_part", "parts", "p_partkey", ("p_partkey", "p_brand", "p_type")),) if members else (),
+        bridges=(Bridge("bridge_part_group", "lineitem", "l_orderkey", "l_partkey", "part_group_key", "part_id", partition_ts="o_orderdate"),) if members else (),
+        group_keys=("part_group_key",),
+        measures={"o_totalprice": None},
+        bits=256,
+    )
+
+
+def _order_categories(t) -> DataFrame:
+    named = {"priority": F.col("priority_id"), "status": F.col("status_id"), "price": price_bucket("o_totalprice")}
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("asked"), c.alias("value")) for n, c in named.items()]))
+    return t["fact_orders"].select(MONTH_KEY, asked.alias("a")).select(MONTH_KEY, "a.asked", "a.value")
+
+
+def _economy_pairs(t) -> DataFrame:
+    parts = t["dim_part"].where(F.col("p_type") == "ECONOMY").select(F.col("p_partkey").alias("part_id"), "p_brand")
+    pairs = t["fact_orders"].select(MONTH_KEY, "part_group_key").join(t["bridge_part_group"], [MONTH_KEY, "part_group_key"])
+    return pairs.join(parts, "part_id").select(MONTH_KEY, "p_brand", "part_group_key").distinct()
+
+
+KEPT_DAYS = KeptReport(
+    "kept_days", ("fact_orders",), MONTH_KEY, ("date_id",),
+    {"n_orders": count_rows(), "total_cents": sum_of("cents")},
+    lambda t: t["fact_orders"].withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long")),
+)
+KEPT_CATEGORIES = KeptReport("kept_categories", ("fact_orders",), MONTH_KEY, ("asked", "value"), {"n_orders": count_rows()}, _order_categories)
+KEPT_MEMBERS = KeptReport(
+    "kept_members", ("fact_orders", "bridge_part_group"), MONTH_KEY, ("p_brand",), {"n_orders": count_rows()}, _economy_pairs, whole=("dim_part",)
+)
+
+
+def kept_orders(spark: SparkSession, sf: str, *kept: KeptReport) -> tuple[TableStore, list[dict[str, list[str]]]]:
+    """Orders published twice, the reports refreshed after each; also which months each refresh computed."""
+    star = _kept_orders_star(any("bridge_part_group" in r.tables for r in kept))
+    store = TableStore(spark, scratch_path(spark, "served"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    overlap = F.col("o_orderdate") >= F.lit(ORDER_OVERLAP).cast("timestamp_ntz")
+    first = o.where(F.col("o_orderdate") < F.lit(ORDER_SPLIT).cast("timestamp_ntz")).withColumns(
+        {
+            "o_orderdate": F.when(overlap, F.col("o_orderdate") + F.expr("interval 1 month")).otherwise(F.col("o_orderdate")),
+            "o_totalprice": F.when(overlap, F.lit(0.0)).otherwise(F.col("o_totalprice")),
+        }
+    )
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
+    computed = []
+    for orders in (first, o.where(overlap)):
+        with staging(spark):
+            orders = stage(orders, "extract-orders")
+            members = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+            tables = build_star(spark, star, {"orders": orders, "lineitem": members, "parts": parts})
+            publish_star(store, tables, publish_rules(star), star.fact_name)
+        computed.append({r.name: refresh(store, r) for r in kept})
+    return store, computed
+
+
+def q_report_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and their total per calendar grain, from months' partial aggregates kept through a correction."""
+    store, _ = kept_orders(spark, sf, KEPT_DAYS)
+    days = read_kept(store, KEPT_DAYS).join(store.read("dim_date"), "date_id").withColumn("week_year", week_year())
+    return by_grains(days, [F.sum("n_orders").alias("n_orders"), F.sum("total_cents").alias("total_cents")])
+
+
+def q_report_incremental_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by priority, status and price class (count, share), from kept partial aggregates."""
+    store, _ = kept_orders(spark, sf, KEPT_CATEGORIES)
+    counts = read_kept(store, KEPT_CATEGORIES)
+    out = None
+    for asked, dim, key_col, attr in (("priority", "dim_priority", "priority_id", "o_orderpriority"), ("status", "dim_status", "status_id", "o_orderstatus"), ("price", None, None, None)):
+        one = share(counts.where(F.col("asked") == asked), "n_orders")
+        if dim:
+            one = one.withColumnRenamed("value", key_col).join(store.read(dim), key_col).withColumnRenamed(attr, "value")
+        one = one.select("asked", "value", "n_orders", "share")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_report_incremental_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with an ECONOMY part by the part's brand, through the bridge, from kept partial aggregates."""
+    store, _ = kept_orders(spark, sf, KEPT_MEMBERS)
+    return share(read_kept(store, KEPT_MEMBERS), "n_orders")
+
+
 PUBLISHED = {
     "feed_ingest": q_feed_ingest,
     "feed_marks": q_feed_marks,
@@ -296,6 +392,9 @@ PUBLISHED = {
     "raw_window_extract": q_raw_window_extract,
     "history_merge_late": q_history_merge_late,
     "bridge_corrected": q_bridge_corrected,
+    "report_incremental": q_report_incremental,
+    "report_incremental_categories": q_report_incremental_categories,
+    "report_incremental_members": q_report_incremental_members,
 }
 
 def _published_sql() -> str:
@@ -381,4 +480,21 @@ SQL = {
                CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     """,
+    "report_incremental": grains_select(
+        "year quarter month week day dayofweek",
+        "count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents",
+        "o_orderdate",
+        "orders",
+    ),
+    "report_incremental_categories": f"""
+        WITH asked AS (
+            SELECT 'priority' AS asked, o_orderpriority AS value FROM orders
+            UNION ALL SELECT 'status', o_orderstatus FROM orders
+            UNION ALL SELECT 'price', CASE WHEN o_totalprice <= 100000 THEN '{PRICE_BUCKETS[0]}'
+                                           WHEN o_totalprice <= 250000 THEN '{PRICE_BUCKETS[1]}'
+                                           ELSE '{PRICE_BUCKETS[2]}' END FROM orders),
+        c AS (SELECT asked, value, count(*) AS n_orders FROM asked GROUP BY ALL)
+        SELECT asked, value, n_orders, n_orders / sum(n_orders) OVER (PARTITION BY asked) AS share FROM c
+    """,
+    "report_incremental_members": QUERY_SQL["report_member_distribution"],
 }

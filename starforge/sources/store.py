@@ -16,6 +16,7 @@ plain parquet, not a table format:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from ..session import remove_path, stage, staging
 
 SNAP_PREFIX = "snap-"
 COMMIT_MARK = "_COMMITTED"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -48,7 +50,7 @@ def partition_dir(cols: Sequence[str], values: Sequence) -> str:
     """Hive-style partition folder (``year=2024/month=1``), as the writer names it."""
     parts = []
     for c, v in zip(cols, values):
-        text = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+        text = NULL_PARTITION if v is None else str(v)
         parts.append(f"{c}={text}")
     return "/".join(parts)
 
@@ -65,6 +67,16 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()] if fs.exists(p) else []
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's data files and partition folders, sorted; one listing, names only."""
+    p, fs = _hadoop_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
+    # one string for the whole folder instead of a call per file
+    names = [f.rsplit("/", 1)[-1] for f in jvm.org.apache.commons.lang3.ArrayUtils.toString(paths).strip("{}").split(",")]
+    return sorted(n for n in names if n and not n.startswith(("_", ".")))
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -103,6 +115,19 @@ class TableStore:
         base = self.location(name) + (f"/{under}" if under else "")
         return [d.split("=", 1)[1] for d in list_dirs(self.spark, base) if d.startswith(f"{column}=")]
 
+    def files_version(self, name: str, under: str = "") -> str:
+        """Digest of the data files' names (new with every write) of the current
+        snapshot, or of the partition folder ``under`` it. A listing per folder."""
+        base = self.location(name) + (f"/{under}" if under else "")
+        names = [base.rsplit("/", 1)[-1]]
+        for d in data_files(self.spark, base):
+            names.append(self.files_version(name, f"{under}/{d}" if under else d) if "=" in d else d)
+        return hashlib.sha256("\n".join(names).encode()).hexdigest()
+
+    def partition_versions(self, name: str, column: str) -> dict[str, str]:
+        """``files_version`` per value of the (first) partition column."""
+        return {v: self.files_version(name, f"{column}={v}") for v in self.partition_values(name, column)}
+
     def marks(self, name: str, prefix: str) -> list[str]:
         """Marker files of the current snapshot (hidden from readers by their underscore)."""
         return [f for f in list_files(self.spark, self.location(name)) if f.startswith(prefix)]
