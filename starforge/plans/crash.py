@@ -9,16 +9,19 @@ device-condition history mini-dimensions; the crash fact.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_year, window_extract
+from ..functions.clean import RAW_NULL
 from ..operators import reports
+from ..operators.dims import date_key
 from ..operators.history import point_in_time
 from ..session import stage, staging
-from ..sources.feeds import PARTITION_COLS
+from ..sources import keyindex
+from ..sources.feeds import PARTITION_COLS, feed_specs, partition_filter, without_key
 from ..sources.store import TableStore
 from .kept import KeptReport, count_rows, read_kept, refresh, sum_of
 from .star import MONTH_KEY, Bridge, EntityDim, History, Star, ValueDim, build_star, publish_rules, publish_star
@@ -112,16 +115,59 @@ def extract(raw: TableStore, as_of: dt.date, days_back: int = 7) -> dict[str, Da
     }
 
 
-def transform(spark: SparkSession, frames: dict[str, DataFrame], star: Star | None = None) -> dict[str, DataFrame]:
-    return build_star(spark, star or crash_star(), frames)
+def moved_records(
+    raw: TableStore, served: TableStore, frames: Mapping[str, DataFrame], as_of: dt.date, days_back: int, star: Star
+) -> dict[str, DataFrame]:
+    """Published records of the window's days that are dated on other days now.
+
+    The window extract no longer holds them, so their facts, pairs and observations
+    would stay where they were. They are the facts of the window's days (by date
+    key, in the window's months) without a record in the extract; raw rows are found
+    through the raw tables' key indexes, so only the days they lie on or have
+    lain on are opened. A record whose date can't be read any more keeps its last fact.
+    """
+    if not served.exists(star.fact_name):
+        return {}
+    spark = raw.spark
+    days = [as_of - dt.timedelta(days=i) for i in range(days_back + 1)]
+    in_months = F.col(MONTH_KEY).isin(sorted({d.year * 100 + d.month for d in days}))
+    dates = spark.createDataFrame([(d,) for d in days], "day date").select(date_key("day", star.bits, star.compat).alias("date_id"))
+    facts = served.read(star.fact_name).where(in_months).join(dates, "date_id", "left_semi")
+    known = facts.select(F.col(star.group_keys[0]).alias(star.record_id)).where(~without_key([star.record_id]))
+    gone = stage(known.join(frames[star.main].select(star.record_id), star.record_id, "left_anti").distinct(), "moved-ids")
+    if not gone.take(1):
+        return {}
+    specs = feed_specs()
+
+    def now(name: str, ids: DataFrame, known: DataFrame, also: Sequence[tuple] = ()) -> DataFrame:
+        keys, parts = list(specs[name].keys), list(specs[name].partition_by)
+        keyindex.ensure(raw, name, keys, parts)
+        vals = {v for v in [*keyindex.partitions_of(raw, name, known, keys, parts), *also] if None not in v}
+        held = raw.read(name).where(partition_filter(parts, sorted(vals)))
+        return held.join(ids, star.record_id, "left_semi").select(*frames[name].columns)
+
+    out = {star.main: stage(now(star.main, gone, gone), f"moved-{star.main}")}
+    found = out[star.main].select(star.record_id)
+    new_days = [tuple(r) for r in out[star.main].select(*PARTITION_COLS).distinct().collect()]  # days, not rows
+    for br in star.bridges:
+        pairs = served.read(br.name).where(in_months).withColumnRenamed(br.group_key, br.group_col).join(found, br.group_col, "left_semi")
+        out[br.source] = stage(now(br.source, found, pairs, new_days).where(F.col(br.member_col) != RAW_NULL), f"moved-{br.source}")
+    return out
+
+
+def transform(
+    spark: SparkSession, frames: dict[str, DataFrame], star: Star | None = None, moved: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    return build_star(spark, star or crash_star(), frames, moved)
 
 
 def build_and_publish(spark: SparkSession, raw: TableStore, served: TableStore, as_of: dt.date, days_back: int = 7, star: Star | None = None) -> list[str]:
-    """One warehouse run: extract the window, build the star, publish it.
+    """One warehouse run: extract the window and what has left it, build the star, publish it.
     Staged intermediates are removed when the run ends."""
     star = star or crash_star()
     with staging(spark):
-        tables = transform(spark, extract(raw, as_of, days_back), star)
+        frames = extract(raw, as_of, days_back)
+        tables = transform(spark, frames, star, moved_records(raw, served, frames, as_of, days_back, star))
         return publish_star(served, tables, publish_rules(star), star.fact_name)
 
 
@@ -263,7 +309,6 @@ def ingest_all(
     beside the raw tables (or below ``checkpoint_root``), so a daily
     application reads only what was landed since the last one.
     """
-    from ..sources.feeds import feed_specs
     from ..streaming.ingest import STREAMS, ingest_stream
 
     ckpt = checkpoint_root or f"{raw.root}/{STREAMS}"

@@ -100,10 +100,19 @@ TS = "_event_ts"
 MONTH_KEY = "month_key"
 
 
-def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_star(
+    spark: SparkSession, star: Star, frames: Mapping[str, DataFrame], moved: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Lazy tables of the star. ``frames[star.main]`` is read by every
-    dimension, the histories and the fact: pass a staged frame."""
-    main = frames[star.main]
+    dimension, the histories and the fact: pass a staged frame.
+
+    ``moved`` holds published records that have left the extract's window. Fact,
+    bridges and histories follow them; entity dimensions do not, whose latest
+    version is that of the window.
+    """
+    moved = moved or {}
+    whole = {n: f.unionByName(moved[n].select(*f.columns)) if n in moved else f for n, f in frames.items()}
+    main = whole[star.main]
     main = main.withColumn(TS, event_time(main, star.ts))
     b, c = star.bits, star.compat
     out: dict[str, DataFrame] = {}
@@ -116,7 +125,7 @@ def build_star(spark: SparkSession, star: Star, frames: Mapping[str, DataFrame])
     for e in star.entity_dims:
         out[e.name] = dims.entity_dim(frames[e.source], e.cols, e.key, e.latest_by)
     for br in star.bridges:
-        src, carry = frames[br.source], ()
+        src, carry = whole[br.source], ()
         if br.partition_ts:
             t = event_time(src, br.partition_ts)
             src, carry = src.withColumn(MONTH_KEY, (F.year(t) * 100 + F.month(t)).cast("int")), (MONTH_KEY,)
