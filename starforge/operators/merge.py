@@ -147,6 +147,33 @@ def upsert_all(
     return kept.unionByName(src.select(*target.columns))
 
 
+def _merge_in_one_join(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str] | str, condition: str | Column | None, check: bool
+) -> DataFrame:
+    cols = target.columns
+    upd = set(cols) - set(keys) if update == "all" else set(update)
+    hashed = [c for c in cols if c in source.columns and "map<" not in target.schema[c].dataType.simpleString()]
+    spread = F.when(_any_null(keys), F.xxhash64(*hashed)).otherwise(F.lit(0))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_spread")) if check else F.lit(1)
+    a = target.withColumns({"_spread": spread, "_in": F.lit(1)}).alias("a")
+    b = source.withColumn("_spread", spread).withColumn("_n", n).alias("b")
+    j = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_spread"]], "full_outer")
+    known = F.col("a._in").isNotNull()
+    matched = known & F.col("b._n").isNotNull()
+    if check:
+        matched = F.when(known & (F.col("b._n") > 1), _several(keys)).otherwise(matched)
+    if condition is not None:
+        c = F.expr(condition) if isinstance(condition, str) else condition
+        matched = matched & F.coalesce(c, F.lit(False))
+
+    def merged(c: str) -> Column:
+        new = F.col(f"b.{c}") if c in source.columns else F.lit(None)
+        from_source = ~known | matched if c in upd else ~known
+        return F.when(from_source, new).otherwise(F.col(f"a.{c}")).cast(target.schema[c].dataType).alias(c)
+
+    return j.select(*[merged(c) for c in cols])
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -156,25 +183,30 @@ def merge(
     insert: bool = True,
     on_duplicate: str = "error",
     order: str | Column | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
-    """General merge: matched rows by a left join, new rows by an anti join.
+    """General merge: update matched rows, insert the source rows that match nothing.
 
     ``update``: ``'all'``, a list of columns to set from the source (partial
     update), or ``None`` (no update). ``condition`` is evaluated on matched
     rows with the target aliased ``a`` and the source ``b`` (e.g.
     ``"b.mark > a.mark"``); where it is not true the target row is kept as is.
 
-    Both joins and the duplicate count use the same keys, so each side is
-    exchanged once at most; a batch-sized source is broadcast and the target
-    then stays where it is (the new rows are found among the few target keys
-    that the source matches). Rows with a null key match nothing and go past
-    the joins, so they never meet in one task. Both sides are read more than
-    once: pass stored or staged frames where computing them is dear.
+    One full outer join: each side is read once and exchanged once (the
+    duplicate count uses the same partitioning). Rows with a null key match
+    nothing; a hash of the row joins the exchange keys, so that they do not
+    meet in one task. ``small_source`` is for a batch that is small beside the
+    target: a left join for matched and an anti join for new rows, where the
+    planner broadcasts the source if its size allows and the target stays where
+    it is; both sides are then read more than once (pass stored frames). So
+    are merges without update or without insert planned.
     """
     cols = target.columns
     types = {c: target.schema[c].dataType for c in cols}
     if update is not None and on_duplicate == "latest":
         source = dedupe_source(source, keys, on_duplicate, order)
+    if update is not None and insert and not small_source:
+        return _merge_in_one_join(target, source, keys, update, condition, on_duplicate == "error")
     keyed_t, keyed_s = target.where(~_any_null(keys)), source.where(~_any_null(keys))
     if update is None:
         old = target

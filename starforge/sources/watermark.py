@@ -30,7 +30,7 @@ def batch_mark(df: DataFrame, ts_col: str, name: str) -> DataFrame:
 
 def advance_marks(current: DataFrame, new: DataFrame) -> DataFrame:
     """Conditional upsert: a mark only moves forward; unknown feeds are added."""
-    return merge(current, new, ["TableName"], update=["WatermarkValue"], condition="b.WatermarkValue > a.WatermarkValue")
+    return merge(current, new, ["TableName"], update=["WatermarkValue"], condition="b.WatermarkValue > a.WatermarkValue", small_source=True)
 
 
 def publish_mark(store: TableStore, new: DataFrame) -> None:
