@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import week_year, window_extract
+from ..functions.calendar import date_window, week_year, window_extract
 from ..functions.keys import surrogate_key
 from ..operators.bridge import bridge
 from ..operators.history import observed_history
@@ -27,7 +27,7 @@ from .analogues import AS_OF, BITS, EVENT_OVERLAP, EVENT_SPLIT, LOCATION_ATTRS,
 from .kept import KeptReport, count_rows, read_kept, refresh, sum_of
 from .oracle import SQL as QUERY_SQL
 from .oracle import grains_select, history_sql, key, part
-from .observed import OBSERVED_AT, publish_observed, read_observed
+from .observed import OBSERVED_AT, point_in_time_published, publish_observed, read_observed
 from .star import MONTH_KEY, Bridge, EntityDim, History, Rule, Star, ValueDim, build_star, publish_rules, publish_star, publish_table
 from .tables import table
 
@@ -263,6 +263,21 @@ def q_history_merge_late(spark: SparkSession, sf: str) -> DataFrame:
     return read_observed(store, "event_history").select("user_id", "cond_key", "start_date", "end_date")
 
 
+def q_point_in_time_published(spark: SparkSession, sf: str) -> DataFrame:
+    """The last window's events looked up in a published history (two batches, the second late in part)."""
+    ev = table(spark, sf, "events")
+    rule = Rule("observed", ("event_id",), entity="user_id", cond="cond_key", sort=("user_id", "start_date"))
+    store = TableStore(spark, scratch_path(spark, "served"))
+    early = (F.col("ts") < F.lit(LATE_SPLIT).cast("timestamp_ntz")) & (F.col("event_type") != "purchase")
+    obs = ev.select("user_id", surrogate_key(["event_type"], BITS).alias("cond_key"), F.col("ts").alias(OBSERVED_AT), "event_id", early.alias("early"))
+    with staging(spark):
+        built = observed_history(obs.where("early").drop("early"), "user_id", "cond_key", OBSERVED_AT, "event_id")
+        publish_table(store, "event_history", built, rule)
+        publish_observed(store, "event_history", obs.where("not early").drop("early"), rule)
+    probes = ev.where(date_window("ts", AS_OF, WINDOW_DAYS)).select("event_id", "user_id", "ts")
+    return point_in_time_published(store, "event_history", probes, "user_id", "ts", "event_id", rule)
+
+
 def q_bridge_corrected(spark: SparkSession, sf: str) -> DataFrame:
     """A published bridge whose second batch moves orders to another month and withdraws members.
 
@@ -391,6 +406,7 @@ PUBLISHED = {
     "publish_fact": q_publish_fact,
     "raw_window_extract": q_raw_window_extract,
     "history_merge_late": q_history_merge_late,
+    "point_in_time_published": q_point_in_time_published,
     "bridge_corrected": q_bridge_corrected,
     "report_incremental": q_report_incremental,
     "report_incremental_categories": q_report_incremental_categories,
@@ -475,6 +491,14 @@ SQL = {
         FROM events WHERE ts >= DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AND ts < DATE '{AS_OF}' + INTERVAL 1 DAY
     """,
     "history_merge_late": history_sql(where="WHERE event_type <> 'error'"),
+    "point_in_time_published": f"""
+        WITH h AS ({history_sql()}),
+             e AS (SELECT event_id, user_id, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events
+                   WHERE ts >= DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AND ts < DATE '{AS_OF}' + INTERVAL 1 DAY)
+        SELECT e.event_id, e.user_id, e.ts, h.cond_key, h.start_date, h.end_date
+        FROM e LEFT JOIN h
+          ON h.user_id = e.user_id AND h.start_date <= e.day AND (h.end_date = '' OR e.day < h.end_date)
+    """,
     "bridge_corrected": """
         SELECT DISTINCT l_orderkey AS order_group_key, l_partkey AS part_id,
                CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key
