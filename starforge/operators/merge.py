@@ -183,7 +183,7 @@ def merge(
     insert: bool = True,
     on_duplicate: str = "error",
     order: str | Column | None = None,
-    small_source: bool = False,
+    read_once: bool = False,
 ) -> DataFrame:
     """General merge: update matched rows, insert the source rows that match nothing.
 
@@ -192,20 +192,21 @@ def merge(
     rows with the target aliased ``a`` and the source ``b`` (e.g.
     ``"b.mark > a.mark"``); where it is not true the target row is kept as is.
 
-    One full outer join: each side is read once and exchanged once (the
-    duplicate count uses the same partitioning). Rows with a null key match
-    nothing; a hash of the row joins the exchange keys, so that they do not
-    meet in one task. ``small_source`` is for a batch that is small beside the
-    target: a left join for matched and an anti join for new rows, where the
-    planner broadcasts the source if its size allows and the target stays where
-    it is; both sides are then read more than once (pass stored frames). So
-    are merges without update or without insert planned.
+    Matched rows come from a left join, new rows from an anti join: the planner
+    broadcasts a source whose size allows it and the target stays where it is.
+    Rows with a null key match nothing and go past the joins, so they never meet
+    in one task. Both sides are read more than once: pass stored or staged frames.
+
+    ``read_once`` is for sides that are dear to compute and of like size: one
+    full outer join, each side read and exchanged once (the duplicate count uses
+    the same partitioning). A hash of the row joins the exchange keys of rows
+    with a null key, so that they do not meet in one task.
     """
     cols = target.columns
     types = {c: target.schema[c].dataType for c in cols}
     if update is not None and on_duplicate == "latest":
         source = dedupe_source(source, keys, on_duplicate, order)
-    if update is not None and insert and not small_source:
+    if update is not None and insert and read_once:
         return _merge_in_one_join(target, source, keys, update, condition, on_duplicate == "error")
     keyed_t, keyed_s = target.where(~_any_null(keys)), source.where(~_any_null(keys))
     if update is None:

@@ -301,7 +301,7 @@ def q_merge_conditional(spark, sf):
     ev = table(spark, sf, "events").withColumn("hour", F.hour("ts"))
     target = ev.where(F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")).groupBy("user_id", "hour").agg(F.max("ts").alias("mark_ts"))
     source = ev.where(F.col("event_type") == "purchase").groupBy("user_id", "hour").agg(F.max("ts").alias("mark_ts"))
-    return merge.merge(target, source, ["user_id", "hour"], update=["mark_ts"], condition="b.mark_ts > a.mark_ts")
+    return merge.merge(target, source, ["user_id", "hour"], update=["mark_ts"], condition="b.mark_ts > a.mark_ts", read_once=True)
 
 
 def q_merge_partial_update(spark, sf):
@@ -315,7 +315,7 @@ def q_merge_partial_update(spark, sf):
     source = revised.select(
         "o_orderkey", "o_orderstatus", F.lit("X-REVISED").alias("o_orderpriority"), F.col("new_total").alias("o_totalprice")
     )
-    return merge.merge(target, source, ["o_orderkey"], update=["o_totalprice"])
+    return merge.merge(target, source, ["o_orderkey"], update=["o_totalprice"], read_once=True)
 
 
 def _star_views(spark, sf):

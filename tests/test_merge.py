@@ -81,17 +81,17 @@ def test_insert_only_is_idempotent(target, source):
 def test_several_source_rows_fail_in_both_plans_only_where_they_match(spark, target):
     dup = spark.createDataFrame([("2", "a", 1), ("2", "b", 2)], SCHEMA)
     new = spark.createDataFrame([("9", "a", 1), ("9", "b", 2)], SCHEMA)
-    for small in (False, True):
+    for once in (False, True):
         with pytest.raises(Exception, match="several source rows"):
-            merge.merge(target, dup, ["k"], update=["n"], small_source=small).collect()
-        assert rows(merge.merge(target, new, ["k"], update=["n"], small_source=small)) == sorted(rows(target) + rows(new), key=repr)
+            merge.merge(target, dup, ["k"], update=["n"], read_once=once).collect()
+        assert rows(merge.merge(target, new, ["k"], update=["n"], read_once=once)) == sorted(rows(target) + rows(new), key=repr)
 
 
 def test_repeated_null_keys_and_further_columns(spark):
     t = spark.createDataFrame([(None, 1, {"a": 1}), (None, 1, {"a": 1}), ("x", 2, {})], "k string, n int, m map<string,int>")
     s = spark.createDataFrame([(5, None, "extra"), (5, None, "extra"), (6, "x", "extra")], "n int, k string, other string")
     want = [(None, 1), (None, 1), (None, 5), (None, 5), ("x", 6)]
-    assert rows(merge.merge(t, s, ["k"]).select("k", "n")) == sorted(want, key=repr)
+    assert rows(merge.merge(t, s, ["k"], read_once=True).select("k", "n")) == sorted(want, key=repr)
 
 
 def test_each_side_is_read_and_exchanged_once(spark, tmp_path):
@@ -99,11 +99,11 @@ def test_each_side_is_read_and_exchanged_once(spark, tmp_path):
         spark.range(100).selectExpr("cast(id as string) k", "'a' a", "cast(id as int) n").write.parquet(f"{tmp_path}/{name}")
     t, s = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("t", "s"))
     for update, condition in (("all", None), (["n"], "b.n > a.n")):
-        plan = merge.merge(t, s, ["k"], update=update, condition=condition)._jdf.queryExecution().executedPlan().toString()
+        plan = merge.merge(t, s, ["k"], update=update, condition=condition, read_once=True)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2, plan
 
 
 def test_empty_sides(spark, target):
     none = spark.createDataFrame([], SCHEMA)
-    assert rows(merge.merge(target, none, ["k"])) == rows(target)
-    assert rows(merge.merge(none, target, ["k"])) == rows(target)
+    assert rows(merge.merge(target, none, ["k"], read_once=True)) == rows(target)
+    assert rows(merge.merge(none, target, ["k"], read_once=True)) == rows(target)

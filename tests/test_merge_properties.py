@@ -47,12 +47,12 @@ settings_ = settings(max_examples=16, deadline=None, suppress_health_check=[Heal
 
 @settings_
 @given(st.lists(ROW, max_size=6), st.lists(ROW, max_size=6), st.sampled_from(["all", ("x",), ("y",)]), st.booleans(), st.booleans(), st.booleans())
-def test_merge_matches_model(spark, target, source, update, conditional, insert, small_source):
+def test_merge_matches_model(spark, target, source, update, conditional, insert, read_once):
     target, source = unique_keys(target), unique_keys(source)
     t = spark.createDataFrame(target, SCHEMA)
     s = spark.createDataFrame(source, SCHEMA)
     cond = "b.x > a.x" if conditional else None
-    got = run(merge.merge(t, s, ["k"], update=update if update == "all" else list(update), condition=cond, insert=insert, small_source=small_source))
+    got = run(merge.merge(t, s, ["k"], update=update if update == "all" else list(update), condition=cond, insert=insert, read_once=read_once))
     want = model(target, source, update, (lambda a, b: b[1] > a[1]) if conditional else (lambda a, b: True), insert)
     assert got == want
 
