@@ -301,7 +301,9 @@ def upsert_partitions(store: TableStore, name: str, current: DataFrame, df: Data
     known, rest = affected.where(~unknown), affected.where(unknown)
     added = merge.insert_only(rest, src.where(unknown), rule.else_keys or keys).select(*current.columns)
     published = known.join(keyed.select(*keys), keys, "left_semi").select(*current.columns)
-    changed = stage(keyed.exceptAll(published), f"changed-{name}")
+    # a join, not exceptAll: keys are unique here, and exceptAll would hash a scan task's whole rows at once
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*keys, *(c for c in current.columns if c not in keys)]]
+    changed = stage(keyed.alias("k").join(published.alias("p"), same, "left_anti"), f"changed-{name}")
     if not changed.join(published.select(*keys), keys, "left_semi").take(1):
         store.append(name, changed.unionByName(added), parts, rule.sort)
         return

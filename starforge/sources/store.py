@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import remove_path, stage, staging
+from ..session import remove_path, stage, staging, task_count
 
 SNAP_PREFIX = "snap-"
 COMMIT_MARK = "_COMMITTED"
@@ -77,6 +77,17 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if n and not n.startswith(("_", ".")))
 
 
+def _sorted_ranges(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Staged rows in sorted ranges of a bounded number of rows, one per task.
+
+    The tasks follow from the row count: a partition value with most of the rows (the
+    closed rows of a history) is dealt to many tasks, small ones share one. The
+    row's place in the staged files splits rows that are equal in ``order``.
+    """
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    return placed.repartitionByRange(task_count(rows), *order, "_place").sortWithinPartitions(*order).drop("_place")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -159,14 +170,21 @@ class TableStore:
         return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(self.location(name))
 
     # -- write
-    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False, sort: Sequence[str] = ()) -> None:
+    def _write(
+        self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool = False, sort: Sequence[str] = (), staged: bool = False
+    ) -> None:
+        if sort:
+            with staging(self.spark):
+                rows = df if staged else stage(df, "sorted")
+                self._write_files(_sorted_ranges(rows, [*partition_by, *sort]), path, mode, partition_by, dynamic)
+            return
         if partition_by:
             # rows of one partition value together (few files per partition),
             # large values split by AQE into advisory-sized tasks
             df = df.hint("rebalance", *partition_by)
-        if sort:
-            # after the rebalance (an exchange), so that each file is sorted
-            df = df.sortWithinPartitions(*partition_by, *sort)
+        self._write_files(df, path, mode, partition_by, dynamic)
+
+    def _write_files(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool) -> None:
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -235,7 +253,7 @@ class TableStore:
                 t = touched.select(*parts).distinct().alias("t")
                 same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
                 emptied = [partition_dir(parts, list(r)) for r in t.join(present, same, "left_anti").collect()]
-            self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True, sort=sort)
+            self._write(staged, self.location(name), "overwrite", partition_by, dynamic=True, sort=sort, staged=True)
             # after the write: a failure in between leaves stale rows that a
             # re-run of the batch removes, never lost ones
             for d in emptied:

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starforge import session
 from starforge.session import scratch_path
 from starforge.sources.catalog import create_table_sql, register_tables
 from starforge.sources.feeds import FeedSpec, batch_cutoff, prepare, read_landing, upsert_feed
@@ -237,3 +238,18 @@ def test_files_are_sorted_after_the_rebalance(spark):
         files.setdefault(r.f, []).append(r.a)
     assert sum(map(len, files.values())) == 20000
     assert all(v == sorted(v) for v in files.values())
+
+
+def test_sorted_rows_of_one_folder_are_dealt_to_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 500, raising=False)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    # most rows in one folder, and most of these equal
+    df = spark.range(6000).select(F.when(F.col("id") < 4000, F.lit(7)).otherwise(F.col("id")).alias("a"), F.when(F.col("id") < 10, "x").otherwise("y").alias("p"))
+    store.create("t", df, ["p"], sort=("a",))
+    store.overwrite_partitions("t", df, ["p"], sort=("a",))
+    store.append("t", df, ["p"], sort=("a",))
+    got = store.read("t")
+    assert rows(got, "a", "p") == sorted(rows(df, "a", "p") * 2, key=repr)
+    per_file = got.groupBy("p", F.input_file_name().alias("f")).count().collect()
+    assert max(r["count"] for r in per_file) <= 1000
+    assert len([r for r in per_file if r.p == "x"]) <= 4  # small folders are few files
