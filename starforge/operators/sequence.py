@@ -12,8 +12,8 @@ chunks instead:
    checkpoint folder: the sampled bounds are not reproducible between two
    executions of the exchange, and every branch below must see the same
    chunk ids (staging also cuts the lineage).
-2. The window runs per ``(entity, chunk)``: every task is bounded by the range
-   size.
+2. The window runs per ``(entity, chunk)``, dealt to as many tasks as the row
+   count needs: every task is bounded by that and by the range size.
 3. Only the chunk boundaries need repair. A one-row-per-(entity, chunk)
    aggregate (at most ``entities + n`` rows) is scanned per entity to find
    the value that crosses each boundary, then joined back on
@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions, stage
+from ..session import shuffle_partitions, stage, task_count
 
 CHUNK = "_chunk"
 
@@ -45,6 +45,11 @@ def _chunked(df: DataFrame, by: Sequence[str], order: Sequence[str], chunks: int
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
+def _dealt(ranged: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The window's exchange: as many tasks as the rows need (a task of the advisory size may be far larger in memory)."""
+    return ranged.repartition(task_count(ranged), *by, CHUNK)
+
+
 def next_value(
     df: DataFrame,
     by: Sequence[str],
@@ -62,7 +67,7 @@ def next_value(
     """
     ranged = _chunked(df, by, order, chunks, dedupe)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    local = ranged.withColumns({
+    local = _dealt(ranged, by).withColumns({
         out: F.lead(value).over(w),
         "_last": F.lead(F.lit(1)).over(w).isNull(),
     })
@@ -97,7 +102,7 @@ def previous_value(
     """
     ranged = _chunked(df, by, order, chunks)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    local = ranged.withColumns({
+    local = _dealt(ranged, by).withColumns({
         out: F.lag(value).over(w),
         "_first_row": F.lag(F.lit(1)).over(w).isNull(),
     })
@@ -126,7 +131,7 @@ def carry_forward(
     v = F.col(value) if isinstance(value, str) else value
     ranged = _chunked(df.withColumn("_v", v), by, order, chunks)
     running = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn(out, F.last("_v", ignorenulls=True).over(running))
+    local = _dealt(ranged, by).withColumn(out, F.last("_v", ignorenulls=True).over(running))
     # Last anchor of every chunk, then for each chunk the last anchor of any
     # earlier chunk of the same entity.
     lasts = (

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starforge.operators.sequence import carry_forward, next_value
+from starforge import session
+from starforge.operators.sequence import carry_forward, next_value, previous_value
 from tests.conftest import rows
 
 
@@ -45,3 +46,17 @@ def test_hot_entity_is_split_across_chunks(spark):
     per_chunk = ch.where("e = 0").groupBy("_chunk").count().collect()
     assert len(per_chunk) > 1
     assert max(r["count"] for r in per_chunk) < ch.where("e = 0").count()
+
+
+def test_windows_run_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 200, raising=False)
+    df = skewed(spark)
+    outs = [
+        next_value(df, ["e"], ["t", "id"], "id", "out", chunks=16),
+        previous_value(df, ["e"], ["t", "id"], "id", "out", chunks=16),
+        carry_forward(df, ["e"], ["t", "id"], "v", "out", chunks=16),
+    ]
+    for out in outs:
+        per_task = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in per_task) == 3000
+        assert max(r["count"] for r in per_task) < 1200
